@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 # Centres travel as literals inside the plan, so their number is checked, never cut.
 MAX_CENTRES = 10_000
 
-# Up to this many centres the nearest one is a flat expression compiled into the scan's stage.
-_FLAT_CENTRES = 64
+# Up to this many centres the nearest one is a flat expression, compiled into the scan's stage.
+# Beyond it the generated method would pass the 8000 bytecodes up to which the JVM compiles one.
+_FLAT_CENTRES = 32
 
 _STATES = T.StructType(
     [
@@ -25,56 +26,46 @@ _STATES = T.StructType(
 )
 
 
-def nearest_centre(x: Column, y: Column, centres: Sequence[Row]) -> Column:
-    """Place, in the sequence, of the centre nearest to an integer point; the first on ties.
+def nearest_centre(x: str, y: str, centres: Sequence[Row]) -> Column:
+    """Place, in the sequence, of the centre nearest to the INT columns x, y; the first on ties.
 
     The squared distance less the point's own square is c.x^2 + c.y^2 - 2(x c.x + y c.y). Times k,
-    plus the place, it is one BIGINT for each centre whose least value names the winner and
-    settles ties: two multiplications for a centre and no square root, all exact.
+    plus the place, it is one whole number for each centre whose least value names the winner and
+    settles ties: two multiplications for a centre and no square root. All of it is exact; doubles
+    are used only where every value stays within their 53 bits.
     """
     k = len(centres)
-    x, y = x.cast("int").cast("bigint"), y.cast("int").cast("bigint")
+    if k == 1:
+        return F.lit(0)
     rows = [
         (k * (c["x"] ** 2 + c["y"] ** 2) + place, 2 * k * c["x"], 2 * k * c["y"])
         for place, c in enumerate(centres)
     ]
     widest = max(abs(fixed) + 2**31 * (abs(fx) + abs(fy)) for fixed, fx, fy in rows)
-    number = "bigint"
-    if widest >= 2**63:
-        # Centres far from the origin: the same integers, in decimals that cannot overflow.
-        number = "decimal(38,0)"
-        x, y = x.cast("decimal(10,0)"), y.cast("decimal(10,0)")
-
-    def constant(value: int) -> Column:
-        return F.lit(value) if number == "bigint" else F.lit(str(value)).cast("decimal(27,0)")
-
-    if k == 1:
-        return F.lit(0)
-    if k <= _FLAT_CENTRES:
-        best = F.least(
-            *[(constant(fixed) - x * constant(fx) - y * constant(fy)).cast(number)
-              for fixed, fx, fy in rows]
-        )
+    if widest < 2**53:
+        number, coordinate = "{}D", "cast({} as double)"
+    elif widest < 2**63:
+        number, coordinate = "{}L", "cast({} as bigint)"
     else:
-        table = F.array(*[
-            F.struct(constant(fixed).alias("f"), constant(fx).alias("fx"), constant(fy).alias("fy"))
-            for fixed, fx, fy in rows
-        ])
-        best = F.array_min(
-            F.transform(table, lambda c: (c["f"] - x * c["fx"] - y * c["fy"]).cast(number))
-        )
-    return F.pmod(best, F.lit(k)).cast("int")
+        number, coordinate = "cast({} as decimal(27,0))", "cast({} as decimal(10,0))"
+    px, py = coordinate.format(x), coordinate.format(y)
+    table = [[number.format(value) for value in row] for row in rows]
+    # Text, not Column operators: one call into the JVM for each round instead of hundreds.
+    if k <= _FLAT_CENTRES and widest < 2**63:
+        costs = ", ".join(f"{fixed} - {px} * {fx} - {py} * {fy}" for fixed, fx, fy in table)
+        best = f"least({costs})"
+    else:
+        structs = ", ".join(f"named_struct('f', {f}, 'fx', {fx}, 'fy', {fy})" for f, fx, fy in table)
+        best = f"array_min(transform(array({structs}), c -> c.f - {px} * c.fx - {py} * c.fy))"
+    return F.expr(f"cast(pmod(cast({best} as decimal(38,0)), {k}) as int)"
+                  if widest >= 2**63 else f"cast(pmod(cast({best} as bigint), {k}) as int)")
 
 
 def _step(points: DataFrame, centres: Sequence[Row], tol: int, iteration: int) -> list[Row]:
     """One round over all points; brings back one row for each centre that has points."""
     sums = (
-        points.groupBy(nearest_centre(F.col("x"), F.col("y"), centres).alias("place"))
-        .agg(
-            F.sum(F.col("x").cast("bigint")).alias("sx"),
-            F.sum(F.col("y").cast("bigint")).alias("sy"),
-            F.count(F.lit(1)).alias("n"),
-        )
+        points.groupBy(nearest_centre("x", "y", centres).alias("place"))
+        .agg(F.sum("x").alias("sx"), F.sum("y").alias("sy"), F.count("*").alias("n"))
         .selectExpr("place", "cast(sx div n as int) as x", "cast(sy div n as int) as y")
         .collect()
     )
@@ -117,7 +108,9 @@ def kmeans(
     if len({seed["idx"] for seed in centres}) < len(centres):
         raise ValueError("seeds share an idx")
 
-    placed = points.where(F.col("x").isNotNull() & F.col("y").isNotNull()).select("x", "y")
+    placed = points.where("x is not null and y is not null").selectExpr(
+        "cast(x as int) as x", "cast(y as int) as y"
+    )
     rounds: list[list[Row]] = []
     for iteration in range(max_iter):
         states = _step(placed, centres, tol, iteration)

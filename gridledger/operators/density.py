@@ -6,10 +6,11 @@ Points outside [1, extent] on either axis are left out. A cell is numbered
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.grid import NEIGHBOUR_OFFSETS, cell_index, shifts
+# The eight neighbours of a grid cell as (row offset, column offset).
+NEIGHBOUR_OFFSETS = [(-1, -1), (-1, 0), (-1, 1), (0, -1), (0, 1), (1, -1), (1, 0), (1, 1)]
 
 
 def _columns(cell: int, extent: int) -> int:
@@ -18,37 +19,21 @@ def _columns(cell: int, extent: int) -> int:
     return -(-extent // cell)
 
 
-def _neighbours(df: DataFrame, offsets: list[tuple[int, int]], columns: int, keep: list[str | Column]) -> DataFrame:
-    """One row for each in-grid cell at the given offsets from ``cell_id``."""
-    row, col = cell_index(F.col("cell_id"), F.lit(columns)), F.col("cell_id") % F.lit(columns)
+def _count_by(points: DataFrame, key: str, extent: int) -> DataFrame:
+    """Number of in-extent points for each key. Copies and full cells shrink on the map side."""
     return (
-        df.select(*keep, row.alias("row"), col.alias("col"), F.explode(shifts(offsets)).alias("s"))
-        .select(
-            *keep,
-            (F.col("row") + F.col("s.d0")).alias("row"),
-            (F.col("col") + F.col("s.d1")).alias("col"),
-            ((F.col("s.d0") == 0) & (F.col("s.d1") == 0)).alias("is_self"),
-        )
-        .where(F.col("row").between(0, columns - 1) & F.col("col").between(0, columns - 1))
-        .select(*keep, (F.col("row") * columns + F.col("col")).alias("neighbor_cell_id"), "is_self")
+        points.where(f"x between 1 and {extent} and y between 1 and {extent}")
+        .groupBy(F.expr(f"cast({key} as bigint)").alias("key"))
+        .agg(F.count("*").alias("cell_count"))
     )
 
 
 def grid_cell_counts(points: DataFrame, cell: int = 20, extent: int = 10000) -> DataFrame:
     """Number of points in each occupied cell."""
     columns = _columns(cell, extent)
-    row = cell_index(F.col("y") - 1, F.lit(cell))
-    col = cell_index(F.col("x") - 1, F.lit(cell))
-    return (
-        points.where(F.col("x").between(1, extent) & F.col("y").between(1, extent))
-        .groupBy((row * columns + col).alias("cell_id"))
-        .agg(F.count(F.lit(1)).alias("cell_count"))
-        .select(
-            "cell_id",
-            cell_index(F.col("cell_id"), F.lit(columns)).alias("row"),
-            (F.col("cell_id") % columns).alias("col"),
-            "cell_count",
-        )
+    key = f"floor((y - 1) / {cell}) * {columns} + floor((x - 1) / {cell})"
+    return _count_by(points, key, extent).selectExpr(
+        "key as cell_id", f"key div {columns} as row", f"key % {columns} as col", "cell_count"
     )
 
 
@@ -57,19 +42,29 @@ def relative_density(points: DataFrame, cell: int = 20, extent: int = 10000) ->
 
     I_X is null for a cell without occupied neighbours. Each cell hands its count to itself and
     its neighbours and one aggregate collects them: no self-join, cells counted once, and the
-    rows moved number nine for each occupied cell whatever the number of points.
+    rows moved number nine for each occupied cell whatever the number of points. The grid is keyed
+    with a spare column on either side, so a neighbour is one addition away and what is handed
+    past an edge lands on a key no cell has.
     """
     columns = _columns(cell, extent)
-    counts = grid_cell_counts(points, cell, extent).select("cell_id", "cell_count")
-    handed = _neighbours(counts, [(0, 0), *NEIGHBOUR_OFFSETS], columns, ["cell_count"])
+    stride = columns + 2
+    key = f"floor((y - 1) / {cell}) * {stride} + floor((x - 1) / {cell}) + 1"
+    shifts = ", ".join(f"{dr * stride + dc}L" for dr, dc in [(0, 0), *NEIGHBOUR_OFFSETS])
     return (
-        handed.groupBy(F.col("neighbor_cell_id").alias("cell_id"))
+        _count_by(points, key, extent)
+        .selectExpr("key", "cell_count", f"explode(array({shifts})) as shift")
+        .groupBy(F.expr("key + shift").alias("key"))
         .agg(
-            F.max(F.when(F.col("is_self"), F.col("cell_count"))).alias("cell_count"),
-            F.avg(F.when(~F.col("is_self"), F.col("cell_count"))).alias("neighbor_avg"),
+            F.expr("max(if(shift = 0, cell_count, null))").alias("cell_count"),
+            F.expr("avg(if(shift <> 0, cell_count, null))").alias("neighbor_avg"),
+        )
+        .where("cell_count is not null")
+        .selectExpr(
+            f"key div {stride} * {columns} + key % {stride} - 1 as cell_id",
+            "cell_count",
+            "neighbor_avg",
+            "cell_count / neighbor_avg as I_X",
         )
-        .where(F.col("cell_count").isNotNull())
-        .withColumn("I_X", F.col("cell_count") / F.col("neighbor_avg"))
     )
 
 
@@ -85,13 +80,13 @@ def top_dense_cells(density: DataFrame, k: int = 50) -> DataFrame:
         raise ValueError("k must be at least 1")
     cut = (
         density.select("I_X")
-        .where(F.col("I_X").isNotNull())
+        .where("I_X is not null")
         .orderBy(F.desc("I_X"))
         .limit(k)
-        .agg(F.when(F.count("I_X") == k, F.min("I_X")).otherwise(F.lit(float("-inf"))))
+        # No value ranks below -Infinity, which stands for "fewer than k": then nulls count too.
+        .agg(F.expr(f"if(count(I_X) = {k}, min(I_X), double('-Infinity'))"))
     )
-    # No value ranks below -inf, which stands for "fewer than k values": then nulls count too.
-    value = F.coalesce(F.col("I_X"), F.lit(float("-inf")))
+    value = F.expr("coalesce(I_X, double('-Infinity'))")
     return density.where(value >= cut.scalar()).select("cell_id", "I_X")
 
 
@@ -100,17 +95,24 @@ def top_dense_neighbors(
 ) -> DataFrame:
     """Every in-grid neighbour of the top cells with its I_X, null if empty; densest cells first."""
     columns = _columns(cell, extent)
-    around = _neighbours(top_dense_cells(density, k), NEIGHBOUR_OFFSETS, columns, ["cell_id", "I_X"])
-    known = density.select(
-        F.col("cell_id").alias("neighbor_cell_id"), F.col("I_X").alias("neighbor_I_X")
+    offsets = ", ".join(f"struct({dr}L as r, {dc}L as c)" for dr, dc in NEIGHBOUR_OFFSETS)
+    around = (
+        top_dense_cells(density, k)
+        .selectExpr(
+            "cell_id as top_cell_id",
+            "I_X as top_cell_I_X",
+            f"cell_id div {columns} as row",
+            f"cell_id % {columns} as col",
+            f"explode(array({offsets})) as d",
+        )
+        .where(f"row + d.r between 0 and {columns - 1} and col + d.c between 0 and {columns - 1}")
+        .selectExpr(
+            "top_cell_id", "top_cell_I_X", f"(row + d.r) * {columns} + col + d.c as neighbor_cell_id"
+        )
     )
+    known = density.selectExpr("cell_id as neighbor_cell_id", "I_X as neighbor_I_X")
     return (
         around.join(known, "neighbor_cell_id", "left")
-        .select(
-            F.col("cell_id").alias("top_cell_id"),
-            F.col("I_X").alias("top_cell_I_X"),
-            "neighbor_cell_id",
-            "neighbor_I_X",
-        )
+        .select("top_cell_id", "top_cell_I_X", "neighbor_cell_id", "neighbor_I_X")
         .orderBy(F.desc("top_cell_I_X"), "top_cell_id", "neighbor_cell_id")
     )

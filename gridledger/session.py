@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Call-site capture costs several milliseconds for every Column operation.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
