@@ -1,7 +1,7 @@
-"""Column helpers used by the operators."""
+"""Expression helpers used by the operators."""
 
 from .bands import AGE_BANDS, age_band
-from .grid import NEIGHBOUR_OFFSETS, cell_index, shifts
+from .grid import NEIGHBOUR_OFFSETS, cell_index, offset_rows
 from .money import from_minor_units, minor_units
 from .sizing import BROADCAST_BYTES, fits_broadcast
 from .synthetic import letters, uniform_int
@@ -16,6 +16,6 @@ __all__ = [
     "from_minor_units",
     "letters",
     "minor_units",
-    "shifts",
+    "offset_rows",
     "uniform_int",
 ]

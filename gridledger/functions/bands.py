@@ -1,10 +1,7 @@
-"""Age bands."""
+"""Age bands, as SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Fixed values: (lowest age, first age above, label); the last band includes its upper bound.
 AGE_BANDS = [
     (10, 20, "[10,20)"),
@@ -16,9 +13,9 @@ AGE_BANDS = [
 ]
 
 
-def age_band(age: Column, other: str = "UNKNOWN") -> Column:
+def age_band(age: str, other: str = "UNKNOWN") -> str:
     """Label of the band an integer age falls in, ``other`` outside all bands, null for null."""
-    label = F.when(age.isNull(), F.lit(None).cast("string"))
-    for low, above, name in AGE_BANDS:
-        label = label.when((age >= low) & (age < above), F.lit(name))
-    return label.otherwise(F.lit(other))
+    bands = " ".join(
+        f"when {age} >= {low} and {age} < {above} then '{name}'" for low, above, name in AGE_BANDS
+    )
+    return f"case when {age} is null then null {bands} else '{other}' end"

@@ -1,20 +1,17 @@
-"""Uniform-grid helpers shared by the spatial and density operators."""
+"""Uniform-grid helpers, as SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+# The eight neighbours of a grid cell as (row offset, column offset).
+NEIGHBOUR_OFFSETS = [(-1, -1), (-1, 0), (-1, 1), (0, -1), (0, 1), (1, -1), (1, 0), (1, 1)]
 
 
-def cell_index(coordinate: Column, size: int | Column) -> Column:
+def cell_index(coordinate: str, size: int | str) -> str:
     """Index of the cell holding the coordinate; floors, so negatives are right too."""
-    return F.floor(coordinate / size).cast("bigint")
-
+    return f"cast(floor({coordinate} / {size}) as bigint)"
 
-def shifts(pairs: list[tuple[int, int]]) -> Column:
-    """Literal ``array<struct<d0 int, d1 int>>`` to ``explode``: plans as Generate, not a join."""
-    return F.array(*[F.struct(F.lit(a).alias("d0"), F.lit(b).alias("d1")) for a, b in pairs])
 
-
-# The eight neighbours of a grid cell as (row offset, column offset).
-NEIGHBOUR_OFFSETS = [(-1, -1), (-1, 0), (-1, 1), (0, -1), (0, 1), (1, -1), (1, 0), (1, 1)]
+def offset_rows(pairs: list[tuple[int, int]]) -> str:
+    """``explode`` of literal structs (d0, d1): plans as Generate, not as a join."""
+    structs = ", ".join(f"struct({a}L as d0, {b}L as d1)" for a, b in pairs)
+    return f"explode(array({structs}))"

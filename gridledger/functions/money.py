@@ -3,23 +3,21 @@
 Summing doubles gives a result that depends on how rows were split over tasks. Amounts are
 written with a fixed number of decimals, so they are summed as whole minor units (BIGINT) and
 divided once at the end: exact, independent of partitioning, and a primitive long in codegen.
+Both functions take and give SQL text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def minor_units(amount: Column, digits: int | None) -> Column:
+def minor_units(amount: str, digits: int | None) -> str:
     """The amount in units of 10**-digits; ``digits=None`` keeps the double as it is."""
     if digits is None:
         return amount
-    return F.rint(amount * F.lit(float(10**digits))).cast("bigint")
+    return f"cast(rint({amount} * {10**digits}D) as bigint)"
 
 
-def from_minor_units(units: Column, digits: int | None) -> Column:
+def from_minor_units(units: str, digits: int | None) -> str:
     """Back to a double amount."""
     if digits is None:
         return units
-    return units / F.lit(float(10**digits))
+    return f"{units} / {10**digits}D"

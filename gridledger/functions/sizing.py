@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,19 +13,22 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 48
 
 
-def row_bytes(df: DataFrame) -> Column:
-    """Upper estimate of one row's size in a broadcast hash table."""
-    size = F.lit(ROW_OVERHEAD + 8 * len(df.columns)).cast("bigint")
+def row_bytes(df: DataFrame) -> str:
+    """Upper estimate of one row's size in a broadcast hash table, as SQL text."""
+    fixed = ROW_OVERHEAD + 8 * len(df.columns)
+    text = []
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            size = size + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) + F.lit(8)
-        elif not isinstance(field.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)):
+            text.append(f"coalesce(octet_length(`{field.name}`), 0) + 8L")
+        elif not isinstance(
+            field.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+        ):
             raise TypeError(f"no size bound for column {field.name}: {field.dataType}")
-    return size
+    return " + ".join([f"{fixed}L", *text])
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Measure ``df`` (one distributed aggregate, no shuffle of its rows) against ``limit``."""
     if limit <= 0:
         return False
-    return (df.agg(F.sum(row_bytes(df))).first()[0] or 0) <= limit
+    return (df.agg(F.expr(f"sum({row_bytes(df)})")).first()[0] or 0) <= limit

@@ -2,14 +2,11 @@
 
 ``rand()`` depends on how rows are partitioned and changes when a task is retried. These depend
 on the id alone, so a lost partition is recomputed with the same values and another engine can
-check them.
+check them. Both functions give SQL text over a BIGINT column ``id``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Fixed values, one triple per independent draw: (linear factor, prime modulus, square factor).
 STREAMS = [
     (7919, 99991, 31),
@@ -28,23 +25,18 @@ _SIGN_LETTERS = "bdfhjlnprtvx"
 _DIGEST_LETTERS = 22
 
 
-def uniform_int(row_id: Column, low: int, high: int, stream: int) -> Column:
+def uniform_int(low: int, high: int, stream: int) -> str:
     """An evenly spread BIGINT in [low, high]. The id must not be negative."""
     factor, prime, square = STREAMS[stream]
-    residue = row_id % F.lit(prime)
-    mixed = row_id * F.lit(factor) + (residue * residue) % F.lit(prime) * F.lit(square)
-    return F.lit(low) + mixed % F.lit(high - low + 1)
+    mixed = f"id * {factor}L + (id % {prime}) * (id % {prime}) % {prime} * {square}L"
+    return f"({low}L + ({mixed}) % {high - low + 1}L)"
 
 
-def letters(row_id: Column, shortest: int, longest: int, stream: int) -> Column:
+def letters(shortest: int, longest: int, stream: int) -> str:
     """Lowercase text of ``shortest`` to ``longest`` letters."""
-    digests = [
-        F.substring(
-            F.base64(F.unhex(F.md5(F.concat(F.lit(f"{stream}/{part}/"), row_id.cast("string"))))),
-            1,
-            _DIGEST_LETTERS,
-        )
+    digests = ", ".join(
+        f"substring(base64(unhex(md5(concat('{stream}/{part}/', id)))), 1, {_DIGEST_LETTERS})"
         for part in range(-(-longest // _DIGEST_LETTERS))
-    ]
-    text = F.translate(F.lower(F.concat(*digests)), _SIGNS, _SIGN_LETTERS)
-    return F.substring(text, F.lit(1), uniform_int(row_id, shortest, longest, stream).cast("int"))
+    )
+    text = f"translate(lower(concat({digests})), '{_SIGNS}', '{_SIGN_LETTERS}')"
+    return f"substring({text}, 1, cast({uniform_int(shortest, longest, stream)} as int))"

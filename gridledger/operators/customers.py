@@ -7,7 +7,7 @@ per customer. A customer holding a third of all transactions costs one row per t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bands import age_band
@@ -26,26 +26,26 @@ def customer_txn_summary(
     join reuses their partitioning and adds no shuffle. Rows without an ID are left out.
     """
     spent = (
-        transactions.where(F.col("CustID").isNotNull())
-        .groupBy(F.col("CustID").alias("ID"))
+        transactions.where("CustID is not null")
+        .groupBy(F.expr("CustID as ID"))
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(minor_units(F.col("TransTotal"), money_digits)).alias("units"),
-            F.min("TransNumItems").alias("least"),
+            F.expr("count(*) as n"),
+            F.expr(f"sum({minor_units('TransTotal', money_digits)}) as units"),
+            F.expr("min(TransNumItems) as least"),
         )
     )
     people = (
-        customers.where(F.col("ID").isNotNull())
+        customers.where("ID is not null")
         .groupBy("ID")
-        .agg(F.max(F.struct("Name", "Salary")).alias("person"))
+        .agg(F.expr("max(struct(Name, Salary)) as person"))
     )
-    return people.join(spent, "ID", "full_outer").select(
+    return people.join(spent, "ID", "full_outer").selectExpr(
         "ID",
-        F.coalesce(F.col("person.Name"), F.lit("")).alias("Name"),
-        F.coalesce(F.col("person.Salary"), F.lit(0.0)).alias("Salary"),
-        F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("NumTransactions"),
-        F.coalesce(from_minor_units(F.col("units"), money_digits), F.lit(0.0)).alias("TotalSum"),
-        F.coalesce(F.col("least"), F.lit(0)).alias("MinItems"),
+        "coalesce(person.Name, '') as Name",
+        "coalesce(person.Salary, 0D) as Salary",
+        "coalesce(n, 0L) as NumTransactions",
+        f"coalesce({from_minor_units('units', money_digits)}, 0D) as TotalSum",
+        "coalesce(least, 0) as MinItems",
     )
 
 
@@ -58,32 +58,31 @@ def country_txn_report(
     left out. A customer ID on several rows is looked up once, with its greatest country code, but
     each row counts as a customer.
     """
-    located = customers.where(F.col("CountryCode").isNotNull())
-    counts = located.groupBy("CountryCode").agg(F.count(F.lit(1)).alias("CustomerCount"))
+    located = customers.where("CountryCode is not null")
+    counts = located.groupBy("CountryCode").agg(F.expr("count(*) as CustomerCount"))
 
-    # Decide on the raw rows, an upper bound of the lookup's size.
-    pairs = located.where(F.col("ID").isNotNull()).select("ID", "CountryCode")
-    lookup = pairs.groupBy("ID").agg(F.max("CountryCode").alias("CountryCode"))
+    # Measured on the raw rows, an upper bound of the lookup's size.
+    pairs = located.where("ID is not null").select("ID", "CountryCode")
+    lookup = pairs.groupBy("ID").agg(F.expr("max(CountryCode) as CountryCode"))
     if fits_broadcast(pairs, broadcast_bytes):
-        matched = transactions.join(F.broadcast(lookup), transactions["CustID"] == lookup["ID"])
-        low, high = F.col("TransTotal"), F.col("TransTotal")
+        ranges = transactions.selectExpr("CustID as ID", "TransTotal as low", "TransTotal as high")
+        lookup = F.broadcast(lookup)
     else:
         ranges = (
-            transactions.where(F.col("CustID").isNotNull())
-            .groupBy(F.col("CustID").alias("ID"))
-            .agg(F.min("TransTotal").alias("low"), F.max("TransTotal").alias("high"))
+            transactions.where("CustID is not null")
+            .groupBy(F.expr("CustID as ID"))
+            .agg(F.expr("min(TransTotal) as low"), F.expr("max(TransTotal) as high"))
         )
-        matched = ranges.join(lookup, "ID")
-        low, high = F.col("low"), F.col("high")
-    totals = matched.groupBy("CountryCode").agg(
-        F.min(low).alias("low"), F.max(high).alias("high")
+    totals = (
+        ranges.join(lookup, "ID")
+        .groupBy("CountryCode")
+        .agg(F.expr("min(low) as low"), F.expr("max(high) as high"))
     )
-
-    return counts.join(totals, "CountryCode", "left").select(
+    return counts.join(totals, "CountryCode", "left").selectExpr(
         "CountryCode",
         "CustomerCount",
-        F.coalesce(F.col("low"), F.lit(0.0)).alias("MinTransTotal"),
-        F.coalesce(F.col("high"), F.lit(0.0)).alias("MaxTransTotal"),
+        "coalesce(low, 0D) as MinTransTotal",
+        "coalesce(high, 0D) as MaxTransTotal",
     )
 
 
@@ -102,62 +101,58 @@ def age_gender_spend(
     for each customer row of its ID, ages outside the bands are ``UNKNOWN``.
     Transactions of unknown customers are left out.
     """
-    known = customers.where(F.col("ID").isNotNull())
+    known = customers.where("ID is not null").select("ID", "Age", "Gender")
     if combined_key:
         traits = (
             known.groupBy("ID")
-            .agg(F.max(F.struct("Age", "Gender")).alias("t"))
-            .select(
-                "ID",
-                age_band(F.col("t.Age"), other="Unknown").alias("AgeRange"),
-                F.col("t.Gender").alias("Gender"),
-                F.lit(1).cast("bigint").alias("copies"),
+            .agg(F.expr("max(struct(Age, Gender)) as t"))
+            .selectExpr(
+                "ID", f"{age_band('t.Age', 'Unknown')} as AgeRange", "t.Gender", "1L as copies"
             )
         )
     else:
-        traits = known.groupBy("ID", age_band(F.col("Age")).alias("AgeRange"), "Gender").agg(
-            F.count(F.lit(1)).alias("copies")
+        traits = known.groupBy("ID", F.expr(f"{age_band('Age')} as AgeRange"), "Gender").agg(
+            F.expr("count(*) as copies")
         )
 
-    units = minor_units(F.col("TransTotal"), money_digits)
-    if fits_broadcast(known.select("ID", "Age", "Gender"), broadcast_bytes):
-        matched = transactions.join(
-            F.broadcast(traits), transactions["CustID"] == traits["ID"]
-        ).select(
-            "AgeRange",
-            "Gender",
-            "copies",
-            F.col("TransTotal").alias("low"),
-            F.col("TransTotal").alias("high"),
-            units.alias("units"),
-            F.when(F.col("TransTotal").isNotNull(), 1).otherwise(0).alias("n"),
+    units = minor_units("TransTotal", money_digits)
+    if fits_broadcast(known, broadcast_bytes):
+        spent = transactions.selectExpr(
+            "CustID as ID",
+            "TransTotal as low",
+            "TransTotal as high",
+            f"{units} as units",
+            "if(TransTotal is null, 0L, 1L) as n",
         )
+        traits = F.broadcast(traits)
     else:
         spent = (
-            transactions.where(F.col("CustID").isNotNull())
-            .groupBy(F.col("CustID").alias("ID"))
+            transactions.where("CustID is not null")
+            .groupBy(F.expr("CustID as ID"))
             .agg(
-                F.min("TransTotal").alias("low"),
-                F.max("TransTotal").alias("high"),
-                F.sum(units).alias("units"),
-                F.count("TransTotal").alias("n"),
+                F.expr("min(TransTotal) as low"),
+                F.expr("max(TransTotal) as high"),
+                F.expr(f"sum({units}) as units"),
+                F.expr("count(TransTotal) as n"),
             )
         )
-        matched = spent.join(traits, "ID")
-
-    total = from_minor_units(F.sum(F.col("units") * F.col("copies")), money_digits)
-    report = matched.groupBy("AgeRange", "Gender").agg(
-        F.min("low").alias("MinTransTotal"),
-        F.max("high").alias("MaxTransTotal"),
-        # nullif: a group whose totals are all null has no average
-        (total / F.nullif(F.sum(F.col("n") * F.col("copies")), F.lit(0))).alias("AvgTransTotal"),
+
+    total = from_minor_units("sum(units * copies)", money_digits)
+    report = (
+        spent.join(traits, "ID")
+        .groupBy("AgeRange", "Gender")
+        .agg(
+            F.expr("min(low) as MinTransTotal"),
+            F.expr("max(high) as MaxTransTotal"),
+            # nullif: a group whose totals are all null has no average
+            F.expr(f"({total}) / nullif(sum(n * copies), 0) as AvgTransTotal"),
+        )
     )
     if not combined_key:
         return report
-    measures: list[str | Column] = ["MinTransTotal", "MaxTransTotal", "AvgTransTotal"]
-    return report.select(
-        F.concat("AgeRange", F.lit(" "), "Gender").alias("AgeGender"),
-        *[F.coalesce(F.col(m), F.lit(0.0)).alias(m) for m in measures],
+    return report.selectExpr(
+        "concat(AgeRange, ' ', Gender) as AgeGender",
+        *[f"coalesce({m}, 0D) as {m}" for m in ("MinTransTotal", "MaxTransTotal", "AvgTransTotal")],
     )
 
 
@@ -168,16 +163,18 @@ def least_active_customers(customers: DataFrame, transactions: DataFrame) -> Dat
     minimum but not in the result. The minimum is a scalar subquery over the same aggregate, whose
     shuffle Spark reuses, and cuts the counts down before the join.
     """
-    counts = transactions.groupBy("CustID").agg(F.count("TransID").alias("TransCount"))
-    fewest = counts.agg(F.min("TransCount")).scalar()
+    counts = transactions.groupBy(F.expr("CustID as ID")).agg(
+        F.expr("count(TransID) as TransCount")
+    )
+    fewest = counts.agg(F.expr("min(TransCount)")).scalar()
     least = counts.where(F.col("TransCount") == fewest)
-    return customers.join(least, customers["ID"] == least["CustID"]).select("Name", "TransCount")
+    return customers.join(least, "ID").select("Name", "TransCount")
 
 
 def country_size_outliers(customers: DataFrame, hi: int = 5000, lo: int = 2000) -> DataFrame:
     """Countries with more than ``hi`` or fewer than ``lo`` customers."""
     return (
         customers.groupBy("CountryCode")
-        .agg(F.count("ID").alias("NumCustomers"))
-        .where((F.col("NumCustomers") > hi) | (F.col("NumCustomers") < lo))
+        .agg(F.expr("count(ID) as NumCustomers"))
+        .where(f"NumCustomers > {int(hi)} or NumCustomers < {int(lo)}")
     )

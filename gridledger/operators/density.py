@@ -9,9 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The eight neighbours of a grid cell as (row offset, column offset).
-NEIGHBOUR_OFFSETS = [(-1, -1), (-1, 0), (-1, 1), (0, -1), (0, 1), (1, -1), (1, 0), (1, 1)]
-
+from ..functions.grid import NEIGHBOUR_OFFSETS, cell_index, offset_rows
 
 def _columns(cell: int, extent: int) -> int:
     if cell < 1 or extent < 1:
@@ -23,7 +21,7 @@ def _count_by(points: DataFrame, key: str, extent: int) -> DataFrame:
     """Number of in-extent points for each key. Copies and full cells shrink on the map side."""
     return (
         points.where(f"x between 1 and {extent} and y between 1 and {extent}")
-        .groupBy(F.expr(f"cast({key} as bigint)").alias("key"))
+        .groupBy(F.expr(f"{key} as key"))
         .agg(F.count("*").alias("cell_count"))
     )
 
@@ -31,7 +29,7 @@ def _count_by(points: DataFrame, key: str, extent: int) -> DataFrame:
 def grid_cell_counts(points: DataFrame, cell: int = 20, extent: int = 10000) -> DataFrame:
     """Number of points in each occupied cell."""
     columns = _columns(cell, extent)
-    key = f"floor((y - 1) / {cell}) * {columns} + floor((x - 1) / {cell})"
+    key = f"{cell_index('(y - 1)', cell)} * {columns} + {cell_index('(x - 1)', cell)}"
     return _count_by(points, key, extent).selectExpr(
         "key as cell_id", f"key div {columns} as row", f"key % {columns} as col", "cell_count"
     )
@@ -48,15 +46,15 @@ def relative_density(points: DataFrame, cell: int = 20, extent: int = 10000) ->
     """
     columns = _columns(cell, extent)
     stride = columns + 2
-    key = f"floor((y - 1) / {cell}) * {stride} + floor((x - 1) / {cell}) + 1"
+    key = f"{cell_index('(y - 1)', cell)} * {stride} + {cell_index('(x - 1)', cell)} + 1"
     shifts = ", ".join(f"{dr * stride + dc}L" for dr, dc in [(0, 0), *NEIGHBOUR_OFFSETS])
     return (
         _count_by(points, key, extent)
         .selectExpr("key", "cell_count", f"explode(array({shifts})) as shift")
-        .groupBy(F.expr("key + shift").alias("key"))
+        .groupBy(F.expr("key + shift as key"))
         .agg(
-            F.expr("max(if(shift = 0, cell_count, null))").alias("cell_count"),
-            F.expr("avg(if(shift <> 0, cell_count, null))").alias("neighbor_avg"),
+            F.expr("max(if(shift = 0, cell_count, null)) as cell_count"),
+            F.expr("avg(if(shift <> 0, cell_count, null)) as neighbor_avg"),
         )
         .where("cell_count is not null")
         .selectExpr(
@@ -95,7 +93,6 @@ def top_dense_neighbors(
 ) -> DataFrame:
     """Every in-grid neighbour of the top cells with its I_X, null if empty; densest cells first."""
     columns = _columns(cell, extent)
-    offsets = ", ".join(f"struct({dr}L as r, {dc}L as c)" for dr, dc in NEIGHBOUR_OFFSETS)
     around = (
         top_dense_cells(density, k)
         .selectExpr(
@@ -103,11 +100,11 @@ def top_dense_neighbors(
             "I_X as top_cell_I_X",
             f"cell_id div {columns} as row",
             f"cell_id % {columns} as col",
-            f"explode(array({offsets})) as d",
+            f"{offset_rows(NEIGHBOUR_OFFSETS)} as d",
         )
-        .where(f"row + d.r between 0 and {columns - 1} and col + d.c between 0 and {columns - 1}")
+        .where(f"row + d.d0 between 0 and {columns - 1} and col + d.d1 between 0 and {columns - 1}")
         .selectExpr(
-            "top_cell_id", "top_cell_I_X", f"(row + d.r) * {columns} + col + d.c as neighbor_cell_id"
+            "top_cell_id", "top_cell_I_X", f"(row + d.d0) * {columns} + col + d.d1 as neighbor_cell_id"
         )
     )
     known = density.selectExpr("cell_id as neighbor_cell_id", "I_X as neighbor_I_X")

@@ -14,7 +14,7 @@ from ..functions.money import from_minor_units, minor_units
 
 def filter_min_total(transactions: DataFrame, min_total: float) -> DataFrame:
     """Transactions whose total is at least ``min_total``."""
-    return transactions.where(F.col("TransTotal") >= F.lit(float(min_total)))
+    return transactions.where(f"TransTotal >= {float(min_total)}D")
 
 
 def items_spend_stats(
@@ -24,15 +24,15 @@ def items_spend_stats(
 
     ``money_digits`` is the number of decimals totals are written with; None sums raw doubles.
     """
-    total = from_minor_units(F.sum(minor_units(F.col("TransTotal"), money_digits)), money_digits)
+    total = from_minor_units(f"sum({minor_units('TransTotal', money_digits)})", money_digits)
     return (
         filter_min_total(transactions, min_total)
-        .groupBy(F.col("TransNumItems").alias("transNumItems"))
+        .groupBy(F.expr("TransNumItems as transNumItems"))
         .agg(
-            total.alias("sum_transTotal"),
-            (total / F.count("TransTotal")).alias("avg_transTotal"),
-            F.min("TransTotal").alias("min_transTotal"),
-            F.max("TransTotal").alias("max_transTotal"),
+            F.expr(f"{total} as sum_transTotal"),
+            F.expr(f"({total}) / count(TransTotal) as avg_transTotal"),
+            F.expr("min(TransTotal) as min_transTotal"),
+            F.expr("max(TransTotal) as max_transTotal"),
         )
     )
 
@@ -43,8 +43,8 @@ def customer_txn_counts(
     """Number of transactions of at least ``min_total`` for each customer having one."""
     return (
         filter_min_total(transactions, min_total)
-        .groupBy(F.col("CustID").alias("customerId"))
-        .agg(F.count("TransID").alias(count_name))
+        .groupBy(F.expr("CustID as customerId"))
+        .agg(F.expr(f"count(TransID) as {count_name}"))
     )
 
 
@@ -56,19 +56,16 @@ def rare_big_spenders(
     The two counts come from one conditional aggregate: one scan and one shuffle instead of two
     of each and a join.
     """
-    total, trans = F.col("TransTotal"), F.col("TransID")
+    least, most = f"TransTotal >= {float(lo)}D", f"TransTotal >= {float(hi)}D"
     return (
         filter_min_total(transactions, min(lo, hi))
-        .where(F.col("CustID").isNotNull())
-        .groupBy(F.col("CustID").alias("customerId"))
+        .where("CustID is not null")
+        .groupBy(F.expr("CustID as customerId"))
         .agg(
-            F.count(F.when(total >= F.lit(float(hi)), trans)).alias("transaction_count_T5"),
-            F.count(F.when(total >= F.lit(float(lo)), trans)).alias("transaction_count_T3"),
-            F.count_if(total >= F.lit(float(hi))).alias("hi_rows"),
-        )
-        .where(
-            (F.col("hi_rows") > 0)
-            & (F.col("transaction_count_T5") * F.lit(ratio) < F.col("transaction_count_T3"))
+            F.expr(f"count(if({most}, TransID, null)) as transaction_count_T5"),
+            F.expr(f"count(if({least}, TransID, null)) as transaction_count_T3"),
+            F.expr(f"count_if({most}) as hi_rows"),
         )
+        .where(f"hi_rows > 0 and transaction_count_T5 * {int(ratio)} < transaction_count_T3")
         .drop("hi_rows")
     )

@@ -7,8 +7,7 @@ shuffled, and the rows do not depend on the partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.synthetic import letters, uniform_int
 
@@ -20,60 +19,54 @@ RECTANGLE_ROWS = 4_500_000
 EXTENT = 10_000
 
 
-def _hundredths(row_id: Column, low: int, above: int, stream: int) -> Column:
+def _hundredths(low: int, above: int, stream: int) -> str:
     """A double with two decimals in [low, above)."""
-    return uniform_int(row_id, low * 100, above * 100 - 1, stream) / F.lit(100.0)
+    return f"{uniform_int(low * 100, above * 100 - 1, stream)} / 100D"
+
+
+def _int(low: int, high: int, stream: int) -> str:
+    return f"cast({uniform_int(low, high, stream)} as int)"
 
 
 def customers_from_ids(ids: DataFrame) -> DataFrame:
-    i = F.col("id")
-    return ids.select(
-        i.cast("int").alias("ID"),
-        letters(i, 10, 20, 0).alias("Name"),
-        uniform_int(i, 10, 70, 1).cast("int").alias("Age"),
-        F.when(uniform_int(i, 0, 1, 2) == 1, "male").otherwise("female").alias("Gender"),
-        uniform_int(i, 1, 10, 3).cast("int").alias("CountryCode"),
-        _hundredths(i, 100, 10_000, 4).alias("Salary"),
+    return ids.selectExpr(
+        "cast(id as int) as ID",
+        f"{letters(10, 20, 0)} as Name",
+        f"{_int(10, 70, 1)} as Age",
+        f"if({uniform_int(0, 1, 2)} = 1, 'male', 'female') as Gender",
+        f"{_int(1, 10, 3)} as CountryCode",
+        f"{_hundredths(100, 10_000, 4)} as Salary",
     )
 
 
 def transactions_from_ids(ids: DataFrame, customers: int = CUSTOMER_ROWS) -> DataFrame:
-    i = F.col("id")
-    return ids.select(
-        i.cast("int").alias("TransID"),
-        uniform_int(i, 1, customers, 5).cast("int").alias("CustID"),
-        _hundredths(i, 10, 1_000, 6).alias("TransTotal"),
-        uniform_int(i, 1, 10, 7).cast("int").alias("TransNumItems"),
-        letters(i, 20, 50, 0).alias("TransDesc"),
+    return ids.selectExpr(
+        "cast(id as int) as TransID",
+        f"{_int(1, customers, 5)} as CustID",
+        f"{_hundredths(10, 1_000, 6)} as TransTotal",
+        f"{_int(1, 10, 7)} as TransNumItems",
+        f"{letters(20, 50, 0)} as TransDesc",
     )
 
 
 def points_from_ids(ids: DataFrame, extent: int = EXTENT) -> DataFrame:
-    i = F.col("id")
-    return ids.select(
-        uniform_int(i, 1, extent, 0).cast("int").alias("x"),
-        uniform_int(i, 1, extent, 1).cast("int").alias("y"),
-    )
+    return ids.selectExpr(f"{_int(1, extent, 0)} as x", f"{_int(1, extent, 1)} as y")
 
 
 def rectangles_from_ids(ids: DataFrame, extent: int = EXTENT) -> DataFrame:
-    i = F.col("id")
-    return ids.select(
-        F.concat(F.lit("r"), i.cast("string")).alias("rectId"),
-        uniform_int(i, 1, extent, 2).cast("int").alias("x"),
-        uniform_int(i, 1, extent, 3).cast("int").alias("y"),
-        uniform_int(i, 1, 7, 4).cast("int").alias("w"),
-        uniform_int(i, 1, 20, 5).cast("int").alias("h"),
+    return ids.selectExpr(
+        "concat('r', id) as rectId",
+        f"{_int(1, extent, 2)} as x",
+        f"{_int(1, extent, 3)} as y",
+        f"{_int(1, 7, 4)} as w",
+        f"{_int(1, 20, 5)} as h",
     )
 
 
 def seeds_from_ids(ids: DataFrame, extent: int = EXTENT) -> DataFrame:
-    """The id becomes the 0-based centre index when ids start at 1."""
-    i = F.col("id")
-    return ids.select(
-        (i - 1).cast("int").alias("idx"),
-        uniform_int(i, 1, extent, 6).cast("int").alias("x"),
-        uniform_int(i, 1, extent, 7).cast("int").alias("y"),
+    """Ids start at 1, centre indexes at 0."""
+    return ids.selectExpr(
+        "cast(id - 1 as int) as idx", f"{_int(1, extent, 6)} as x", f"{_int(1, extent, 7)} as y"
     )
 
 
