@@ -2,7 +2,8 @@
 
 Joins never meet raw transactions by shuffle: either the customer side is measured small and
 broadcast, so transactions are not shuffled at all, or transactions are first reduced to one row
-per customer. A customer holding a third of all transactions costs one row per task either way.
+per customer. A customer holding a third of all transactions costs one row per task either way,
+and a customer ID repeated without bound meets one row, which AQE can replicate to split it.
 """
 
 from __future__ import annotations
@@ -106,14 +107,10 @@ def age_gender_spend(
         traits = (
             known.groupBy("ID")
             .agg(F.expr("max(struct(Age, Gender)) as t"))
-            .selectExpr(
-                "ID", f"{age_band('t.Age', 'Unknown')} as AgeRange", "t.Gender", "1L as copies"
-            )
+            .selectExpr("ID", f"{age_band('t.Age', 'Unknown')} as AgeRange", "t.Gender")
         )
     else:
-        traits = known.groupBy("ID", F.expr(f"{age_band('Age')} as AgeRange"), "Gender").agg(
-            F.expr("count(*) as copies")
-        )
+        traits = known.selectExpr("ID", f"{age_band('Age')} as AgeRange", "Gender")
 
     units = minor_units("TransTotal", money_digits)
     if fits_broadcast(known, broadcast_bytes):
@@ -137,7 +134,7 @@ def age_gender_spend(
             )
         )
 
-    total = from_minor_units("sum(units * copies)", money_digits)
+    total = from_minor_units("sum(units)", money_digits)
     report = (
         spent.join(traits, "ID")
         .groupBy("AgeRange", "Gender")
@@ -145,7 +142,7 @@ def age_gender_spend(
             F.expr("min(low) as MinTransTotal"),
             F.expr("max(high) as MaxTransTotal"),
             # nullif: a group whose totals are all null has no average
-            F.expr(f"({total}) / nullif(sum(n * copies), 0) as AvgTransTotal"),
+            F.expr(f"({total}) / nullif(sum(n), 0) as AvgTransTotal"),
         )
     )
     if not combined_key:
@@ -160,11 +157,14 @@ def least_active_customers(customers: DataFrame, transactions: DataFrame) -> Dat
     """Name and transaction count of the customers with the fewest transactions, ties kept.
 
     Customers without transactions do not appear. IDs missing from ``customers`` take part in the
-    minimum but not in the result. The minimum is a scalar subquery over the same aggregate, whose
-    shuffle Spark reuses, and cuts the counts down before the join.
+    minimum but not in the result; rows without an ID in neither. The minimum is a scalar subquery
+    over the same aggregate, whose scan and shuffle Spark reuses, and cuts the counts down before
+    the join.
     """
-    counts = transactions.groupBy(F.expr("CustID as ID")).agg(
-        F.expr("count(TransID) as TransCount")
+    counts = (
+        transactions.where("CustID is not null")
+        .groupBy(F.expr("CustID as ID"))
+        .agg(F.expr("count(TransID) as TransCount"))
     )
     fewest = counts.agg(F.expr("min(TransCount)")).scalar()
     least = counts.where(F.col("TransCount") == fewest)
