@@ -7,16 +7,19 @@ check them. Both functions give SQL text over a BIGINT column ``id``.
 
 from __future__ import annotations
 
-# Fixed values, one triple per independent draw: (linear factor, prime modulus, square factor).
+# A prime below 2**31: products of two residues stay within BIGINT.
+MODULUS = 2147483647
+
+# Fixed values, one triple per independent draw: (factor, factor of the id's high part, offset).
 STREAMS = [
-    (7919, 99991, 31),
-    (6271, 99989, 37),
-    (104729, 99971, 41),
-    (3571, 99961, 43),
-    (15013, 99929, 47),
-    (27644437, 99923, 53),
-    (48611, 99907, 59),
-    (87178291, 99901, 61),
+    (1103515245, 48271, 12345),
+    (214013, 69621, 2531011),
+    (1664525, 16807, 1013904223),
+    (22695477, 39373, 7919),
+    (134775813, 40692, 104729),
+    (69069, 40014, 3571),
+    (1566083941, 62089911, 15013),
+    (742938285, 45742, 611953),
 ]
 
 # A base64 digest has letters, digits and two signs; the last two kinds map here.
@@ -26,10 +29,14 @@ _DIGEST_LETTERS = 22
 
 
 def uniform_int(low: int, high: int, stream: int) -> str:
-    """An evenly spread BIGINT in [low, high]. The id must not be negative."""
-    factor, prime, square = STREAMS[stream]
-    mixed = f"id * {factor}L + (id % {prime}) * (id % {prime}) % {prime} * {square}L"
-    return f"({low}L + ({mixed}) % {high - low + 1}L)"
+    """An evenly spread BIGINT in [low, high]. The id must not be negative.
+
+    A linear map of the id modulo a prime, squared and mapped again, then scaled by its high end.
+    """
+    factor, high_factor, offset = STREAMS[stream]
+    first = f"((id % {MODULUS} * {factor}L + id div {MODULUS} * {high_factor}L + {offset}) % {MODULUS})"
+    second = f"({first} * {first} % {MODULUS} * {factor}L + {first}) % {MODULUS}"
+    return f"({low}L + ({second}) * {high - low + 1}L div {MODULUS})"
 
 
 def letters(shortest: int, longest: int, stream: int) -> str:

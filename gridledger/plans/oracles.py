@@ -6,7 +6,7 @@ aggregate after, plain self-joins, brute range conditions, ``rank()``, unrolled
 
 from __future__ import annotations
 
-from ..functions.synthetic import STREAMS
+from ..functions.synthetic import MODULUS, STREAMS
 from .fixtures import FIXTURES, ID_SOURCES
 from .queries import COUNTRY_HI, COUNTRY_LO, OUTLIER_K, OUTLIER_R, QUERY_WINDOW
 
@@ -173,8 +173,10 @@ _DENSITY = [
 
 
 def _uniform(low: int, high: int, stream: int) -> str:
-    factor, prime, square = STREAMS[stream]
-    return f"({low} + (id*{factor} + ((id%{prime})*(id%{prime}))%{prime}*{square}) % {high - low + 1})"
+    a, c, b = STREAMS[stream]
+    u = f"(((id % {MODULUS}) * {a} + (id // {MODULUS}) * {c} + {b}) % {MODULUS})"
+    v = f"(((({u} * {u}) % {MODULUS}) * {a} + {u}) % {MODULUS})"
+    return f"({low} + ({v} * {high - low + 1}) // {MODULUS})"
 
 
 def _letters(low: int, high: int, stream: int) -> str:

@@ -66,7 +66,7 @@ def read_centres(spark: SparkSession, path: str) -> DataFrame:
 
     The index of a centre is its 0-based line number.
     """
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     if len(whole.inputFiles()) != 1:
         raise ValueError("centres come from exactly one file: their index is the line number")
     pattern = r"^\s*(-?\d+)\s*,\s*(-?\d+)"

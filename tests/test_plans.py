@@ -1,0 +1,225 @@
+"""The plans behind the operators: what is shuffled, shared, pushed down and split."""
+
+from __future__ import annotations
+
+import pathlib
+import re
+
+import pytest
+from conftest import SF_SMALL
+
+import gridledger
+from gridledger import operators as op
+from gridledger import schemas
+from gridledger.plans.fixtures import fixture
+from gridledger.plans.queries import build_queries
+
+
+def planned(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def executed(df) -> str:
+    """The plan after AQE has finished, without the initial plans it also prints."""
+    df.collect()
+    text, skipped_from = [], None
+    for line in planned(df).splitlines():
+        depth = len(line) - len(line.lstrip(" :"))
+        if skipped_from is not None and depth > skipped_from:
+            continue
+        skipped_from = depth if "== Initial Plan ==" in line else None
+        text.append(line)
+    return "\n".join(text)
+
+
+@pytest.fixture()
+def shuffled(spark):
+    """Joins by shuffle, as with tables too large to broadcast."""
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for key in keys:
+        spark.conf.set(key, "-1")
+    yield
+    for key in keys:
+        spark.conf.unset(key)
+
+
+def load(spark, *names):
+    return [fixture(spark, SF_SMALL, name) for name in names]
+
+
+@pytest.mark.parametrize("name", sorted(build_queries()))
+def test_no_cartesian_product_python_or_single_task_window(spark, name):
+    text = planned(build_queries()[name](spark, SF_SMALL))
+    for operator in ("CartesianProduct", "NestedLoop", "Python", "Pandas", "Arrow"):
+        assert operator not in text, operator
+    assert not re.search(r"Window .*\], \[\]", text)
+
+
+def test_library_has_no_udf_and_no_local_checkpoint():
+    for path in pathlib.Path(gridledger.__file__).parent.rglob("*.py"):
+        source = path.read_text()
+        for word in ("udf(", "InPandas", ".rdd", "localCheckpoint", "crossJoin", "toPandas"):
+            assert word not in source, (path, word)
+
+
+def test_summary_joins_on_the_aggregates_partitioning(spark, shuffled):
+    text = planned(op.customer_txn_summary(*load(spark, "customers", "transactions")))
+    assert text.count("Exchange hashpartitioning") == 2
+    assert "FullOuter" in text
+
+
+def test_lookup_reports_shuffle_no_transactions_when_customers_are_small(spark):
+    for report in (op.country_txn_report, op.age_gender_spend):
+        text = planned(report(*load(spark, "customers", "transactions")))
+        assert "BroadcastHashJoin" in text
+        assert "hashpartitioning(CustID" not in text
+
+
+def test_lookup_reports_reduce_transactions_before_a_shuffle_join(spark, shuffled):
+    for report in (op.country_txn_report, op.age_gender_spend):
+        text = planned(report(*load(spark, "customers", "transactions"), broadcast_bytes=0))
+        assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+        # what crosses the network by customer is the map side's partial aggregate
+        assert re.search(r"Exchange hashpartitioning\(CustID.*\n.*HashAggregate\(keys=\[CustID", text)
+
+
+def test_least_active_reads_transactions_once(spark, shuffled):
+    text = executed(op.least_active_customers(*load(spark, "customers", "transactions")))
+    assert text.count("o_custkey") and len(re.findall(r"FileScan parquet \[o_orderkey", text)) == 1
+
+
+def test_rare_big_spenders_is_one_scan_and_one_shuffle(spark):
+    text = planned(op.rare_big_spenders(*load(spark, "transactions")))
+    assert text.count("Exchange") == 1 and text.count("FileScan") == 1 and "Join" not in text
+
+
+def test_spatial_join_small_rectangles_leave_points_unshuffled(spark):
+    text = planned(op.spatial_join(*load(spark, "points", "rectangles")))
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+
+
+def test_spatial_join_large_rectangles_join_straight_on_two_shuffles(spark, shuffled):
+    text = executed(op.spatial_join(*load(spark, "points", "rectangles"), broadcast_bytes=0))
+    # copies of points, points by cell, rectangles by cell; the branch for piles of copies reuses
+    # the first and the last and, having nothing to do, is cut off
+    assert len(re.findall(r"- Exchange hashpartitioning\(px", text)) == 1
+    assert text.count("SortMergeJoin") == 1
+    assert text.count("FileScan") == 2
+    # the box test is part of the join, not a filter over all pairs of a cell
+    assert re.search(r"SortMergeJoin .*Inner, .*px#\d+L >= x1", text)
+
+
+def test_spatial_join_splits_a_hot_cell(spark, shuffled):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        points = spark.range(0, 5_000, numPartitions=4).selectExpr(
+            "cast(id * 7919 % 10000 as int) as x", "cast(id * 6271 % 10000 as int) as y"
+        ).union(spark.range(0, 40, numPartitions=1).selectExpr("500 as x", "501 as y"))
+        # A third of all rectangles lie in one cell.
+        rects = spark.range(0, 12_000, numPartitions=16).selectExpr(
+            "concat('r', id) as rectId",
+            "cast(if(id % 3 = 0, 497, id * 7907 % 10000) as int) as x",
+            "cast(if(id % 3 = 0, 498, id * 13 % 10000) as int) as y",
+            "4 as w",
+            "4 as h",
+        )
+        joined = op.spatial_join(points, rects, broadcast_bytes=0)
+        text = executed(joined)
+        assert "skew=true" in text
+        points.createOrReplaceTempView("hot_points")
+        rects.createOrReplaceTempView("hot_rects")
+        want = spark.sql(
+            "select count(*) from hot_points p join hot_rects r on p.x >= r.x and p.x <= r.x + r.w"
+            " and p.y >= r.y and p.y <= r.y + r.h"
+        ).first()[0]
+        assert joined.count() == want >= 160_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_copies_of_a_hot_point_are_written_out_by_many_tasks(spark, shuffled, monkeypatch):
+    from gridledger.operators import spatial
+
+    monkeypatch.setattr(spatial, "_COPIES", 4)
+    points = spark.range(0, 3_001, numPartitions=4).selectExpr(
+        "cast(if(id < 1000, 7, id) as int) as x", "cast(if(id < 1000, 7, id) as int) as y"
+    )
+    rects = spark.createDataFrame([("a", 7, 7, 0, 0), ("b", 0, 0, 50, 50)], schemas.RECTANGLES)
+    joined = op.spatial_join(points, rects, broadcast_bytes=0)
+    tasks = joined.selectExpr("spark_partition_id() as task", "rectId").groupBy("task", "rectId").count()
+    got = tasks.collect()
+    assert sum(r["count"] for r in got) == 2000
+    assert len({r["task"] for r in got}) >= 4
+    assert max(r["count"] for r in got) < 500
+
+
+def test_outliers_share_scan_and_shuffles(spark, shuffled):
+    text = executed(op.distance_outliers(*load(spark, "points"), r=50, k=3))
+    assert text.count("FileScan") == 1
+    assert text.count("ReusedExchange") == 1
+    # positions collapsed, positions by cell, questions by cell, answers by point
+    assert len(re.findall(r"- Exchange hashpartitioning", text)) == 4
+
+
+def test_density_has_no_join_and_counts_points_once(spark, shuffled):
+    density = op.relative_density(*load(spark, "points"))
+    assert "Join" not in planned(density)
+    text = executed(op.top_dense_neighbors(density))
+    assert text.count("FileScan") == 1
+
+
+def test_top_cells_cut_is_a_top_n(spark):
+    text = planned(op.top_dense_cells(op.relative_density(*load(spark, "points"))))
+    assert "TakeOrderedAndProject" in text and "Window" not in text
+
+
+def test_kmeans_round_moves_one_row_for_each_centre(spark):
+    from gridledger.operators.clustering import nearest_centre
+
+    points, seeds = load(spark, "points", "seeds")
+    text = planned(
+        points.groupBy(nearest_centre("x", "y", seeds.collect()).alias("place")).agg({"x": "sum"})
+    )
+    assert re.search(r"Exchange.*\n.*HashAggregate\(.*partial_sum", text)
+
+
+def test_flat_nearest_centre_stays_small_enough_to_be_compiled(spark):
+    from pyspark.sql import Row
+
+    from gridledger.operators.clustering import _FLAT_CENTRES, nearest_centre
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        centres = [Row(idx=i, x=i * 311, y=i * 173) for i in range(_FLAT_CENTRES)]
+        df = (
+            spark.createDataFrame([(1, 1)], schemas.POINTS)
+            .where("x is not null and y is not null")
+            .groupBy(nearest_centre("x", "y", centres).alias("place"))
+            .agg({"x": "sum", "y": "sum", "*": "count"})
+        )
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        sizes = re.findall(r"maxMethodCodeSize:(\d+)", df._jdf.queryExecution().explainString(mode))
+        assert sizes and max(map(int, sizes)) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_filters_and_columns_reach_the_scan(spark, tmp_path):
+    data = spark.createDataFrame([(1, 1, 700.0, 2, "text")], schemas.TRANSACTIONS)
+    data.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    text = planned(op.rare_big_spenders(stored))
+    assert "GreaterThanOrEqual(TransTotal,200.0)" in text
+    assert "ReadSchema: struct<TransID:int,CustID:int,TransTotal:double>" in text
+    data.write.csv(str(tmp_path / "c"))
+    typed = spark.read.schema(schemas.TRANSACTIONS).csv(str(tmp_path / "c"))
+    assert "GreaterThanOrEqual(TransTotal,600.0)" in planned(op.customer_txn_counts(typed, 600))
