@@ -111,8 +111,8 @@ def test_spatial_join_large_rectangles_join_straight_on_two_shuffles(spark, shuf
 
 def test_spatial_join_splits_a_hot_cell(spark, shuffled):
     settings = {
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     }
@@ -125,7 +125,7 @@ def test_spatial_join_splits_a_hot_cell(spark, shuffled):
         ).union(spark.range(0, 40, numPartitions=1).selectExpr("500 as x", "501 as y"))
         # A third of all rectangles lie in one cell.
         rects = spark.range(0, 12_000, numPartitions=16).selectExpr(
-            "concat('r', id) as rectId",
+            "md5(cast(id as string)) as rectId",
             "cast(if(id % 3 = 0, 497, id * 7907 % 10000) as int) as x",
             "cast(if(id % 3 = 0, 498, id * 13 % 10000) as int) as y",
             "4 as w",
