@@ -1,7 +1,7 @@
 """Expression helpers used by the operators."""
 
 from .bands import AGE_BANDS, age_band
-from .grid import NEIGHBOUR_OFFSETS, cell_index, offset_rows
+from .grid import NEIGHBOUR_OFFSETS, cell_index, offset_rows, packed
 from .money import from_minor_units, minor_units
 from .sizing import BROADCAST_BYTES, fits_broadcast
 from .synthetic import letters, uniform_int
@@ -17,5 +17,6 @@ __all__ = [
     "letters",
     "minor_units",
     "offset_rows",
+    "packed",
     "uniform_int",
 ]

@@ -15,3 +15,12 @@ def offset_rows(pairs: list[tuple[int, int]]) -> str:
     """``explode`` of literal structs (d0, d1): plans as Generate, not as a join."""
     structs = ", ".join(f"struct({a}L as d0, {b}L as d1)" for a, b in pairs)
     return f"explode(array({structs}))"
+
+
+def packed(cx: str, cy: str) -> str:
+    """Both indexes of a cell in one BIGINT, the cheapest key to hash, sort and shuffle.
+
+    Exact while indexes lie within 31 bits and a sign, as those of INT coordinates on cells of
+    side 2 or more do.
+    """
+    return f"({cx} * 4294967296 + {cy})"
