@@ -170,6 +170,16 @@ def test_outliers_share_scan_and_shuffles(spark, shuffled):
     assert len(re.findall(r"- Exchange hashpartitioning", text)) == 4
 
 
+def test_rare_outliers_shuffle_only_points_near_them(spark):
+    points = spark.range(0, 200_000, numPartitions=4).selectExpr(
+        "cast(if(id = 0, -5000, id % 300) as int) as x", "cast(id * 7919 % 300 as int) as y"
+    )
+    found = op.distance_outliers(points, r=50, k=3)
+    assert [tuple(r) for r in found.collect()] == [(-5000, 0)]
+    text = planned(found)
+    assert "BroadcastHashJoin" in text and "LeftSemi" in text
+
+
 def test_density_has_no_join_and_counts_points_once(spark, shuffled):
     density = op.relative_density(*load(spark, "points"))
     assert "Join" not in planned(density)

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 from gridledger import schemas
-from gridledger.operators import distance_outliers, spatial_join
+from gridledger.operators import distance_outliers, spatial, spatial_join
 
 
 def brute_join(points, rects, window=None):
@@ -102,12 +102,15 @@ def test_empty_sides_and_inside_out_boxes(spark):
 
 @pytest.mark.parametrize("r", [1, 2, 3, 7, 10, 50])
 @pytest.mark.parametrize("k", [0, 1, 3, 12])
-def test_outliers_equal_brute_force(spark, r, k):
+def test_outliers_equal_brute_force(spark, r, k, monkeypatch):
     rng = random.Random(r * 100 + k)
     points = [(rng.randint(-60, 60), rng.randint(-60, 60)) for _ in range(300)]
     points += [(3, 4)] * 150 + [(55, -55)] * 2
-    got = distance_outliers(frame(spark, points, schemas.POINTS), r, k)
-    assert bag(got) == brute_outliers(points, r, k)
+    want = brute_outliers(points, r, k)
+    monkeypatch.setattr(spatial, "_RARE", 1.0)
+    for limit in (0, 1 << 26):
+        got = distance_outliers(frame(spark, points, schemas.POINTS), r, k, broadcast_bytes=limit)
+        assert bag(got) == want
 
 
 def test_outliers_distance_is_inclusive_and_copies_count(spark):
