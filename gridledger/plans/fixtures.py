@@ -14,7 +14,7 @@ FIXTURES: dict[str, tuple[str, list[str]]] = {
     "customers": (
         "customer",
         [
-            "cast(c_custkey as int) as ID",
+            "c_custkey as ID",
             "c_name as Name",
             "cast(10+(c_custkey*37)%61 as int) as Age",
             "case when c_custkey%2=1 then 'male' else 'female' end as Gender",
@@ -25,8 +25,8 @@ FIXTURES: dict[str, tuple[str, list[str]]] = {
     "transactions": (
         "orders",
         [
-            "cast(o_orderkey as int) as TransID",
-            "cast(case when o_custkey%10=3 then -1-o_custkey else o_custkey end as int) as CustID",
+            "o_orderkey as TransID",
+            "case when o_custkey%10=3 then -1-o_custkey else o_custkey end as CustID",
             "cast((cast(round(o_totalprice*100) as bigint)%99001+1000) as double)/100 as TransTotal",
             "cast(1+o_orderkey%10 as int) as TransNumItems",
             "o_orderpriority as TransDesc",

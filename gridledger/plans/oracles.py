@@ -276,7 +276,7 @@ def build_oracles() -> dict[str, str]:
         "gen_customers": _generated(
             "gen_customers",
             [
-                "cast(id as int) as ID",
+                "id as ID",
                 f"{_letters(10, 20, 0)} as Name",
                 *_ints(Age=(10, 70, 1)),
                 f"case when {_uniform(0, 1, 2)} = 1 then 'male' else 'female' end as Gender",
@@ -287,8 +287,8 @@ def build_oracles() -> dict[str, str]:
         "gen_transactions": _generated(
             "gen_transactions",
             [
-                "cast(id as int) as TransID",
-                *_ints(CustID=(1, 50000, 5)),
+                "id as TransID",
+                f"cast({_uniform(1, 50000, 5)} as bigint) as CustID",
                 f"cast({_uniform(1000, 99999, 6)} as double) / 100 as TransTotal",
                 *_ints(TransNumItems=(1, 10, 7)),
                 f"{_letters(20, 50, 0)} as TransDesc",

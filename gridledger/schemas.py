@@ -1,10 +1,13 @@
-"""Record layouts of the datasets. Every text scan uses one of these; nothing is inferred."""
+"""Record layouts of the datasets. Every text scan uses one of these; nothing is inferred.
+
+IDs are BIGINT: more rows than an INT can number are expected.
+"""
 
 from pyspark.sql import types as T
 
 CUSTOMERS = T.StructType(
     [
-        T.StructField("ID", T.IntegerType()),
+        T.StructField("ID", T.LongType()),
         T.StructField("Name", T.StringType()),
         T.StructField("Age", T.IntegerType()),
         T.StructField("Gender", T.StringType()),
@@ -15,8 +18,8 @@ CUSTOMERS = T.StructType(
 
 TRANSACTIONS = T.StructType(
     [
-        T.StructField("TransID", T.IntegerType()),
-        T.StructField("CustID", T.IntegerType()),
+        T.StructField("TransID", T.LongType()),
+        T.StructField("CustID", T.LongType()),
         T.StructField("TransTotal", T.DoubleType()),
         T.StructField("TransNumItems", T.IntegerType()),
         T.StructField("TransDesc", T.StringType()),

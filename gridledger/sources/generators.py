@@ -30,7 +30,7 @@ def _int(low: int, high: int, stream: int) -> str:
 
 def customers_from_ids(ids: DataFrame) -> DataFrame:
     return ids.selectExpr(
-        "cast(id as int) as ID",
+        "id as ID",
         f"{letters(10, 20, 0)} as Name",
         f"{_int(10, 70, 1)} as Age",
         f"if({uniform_int(0, 1, 2)} = 1, 'male', 'female') as Gender",
@@ -41,8 +41,8 @@ def customers_from_ids(ids: DataFrame) -> DataFrame:
 
 def transactions_from_ids(ids: DataFrame, customers: int = CUSTOMER_ROWS) -> DataFrame:
     return ids.selectExpr(
-        "cast(id as int) as TransID",
-        f"{_int(1, customers, 5)} as CustID",
+        "id as TransID",
+        f"{uniform_int(1, customers, 5)} as CustID",
         f"{_hundredths(10, 1_000, 6)} as TransTotal",
         f"{_int(1, 10, 7)} as TransNumItems",
         f"{letters(20, 50, 0)} as TransDesc",
