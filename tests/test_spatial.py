@@ -125,3 +125,12 @@ def test_outliers_distance_is_inclusive_and_copies_count(spark):
 def test_outliers_need_a_radius(spark):
     with pytest.raises(ValueError):
         distance_outliers(frame(spark, [(0, 0)], schemas.POINTS), 0, 1)
+
+
+def test_outliers_shrink_with_r_and_grow_with_k(spark):
+    rng = random.Random(11)
+    points = frame(spark, [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(400)], schemas.POINTS)
+    by_r = [set(bag(distance_outliers(points, r, 3))) for r in (5, 15, 40)]
+    assert by_r[0] >= by_r[1] >= by_r[2]
+    by_k = [set(bag(distance_outliers(points, 15, k))) for k in (1, 3, 6)]
+    assert by_k[0] <= by_k[1] <= by_k[2]
