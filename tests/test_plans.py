@@ -229,7 +229,7 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "t"))
     text = planned(op.rare_big_spenders(stored))
     assert "GreaterThanOrEqual(TransTotal,200.0)" in text
-    assert "ReadSchema: struct<TransID:int,CustID:int,TransTotal:double>" in text
+    assert "ReadSchema: struct<TransID:bigint,CustID:bigint,TransTotal:double>" in text
     data.write.csv(str(tmp_path / "c"))
     typed = spark.read.schema(schemas.TRANSACTIONS).csv(str(tmp_path / "c"))
     assert "GreaterThanOrEqual(TransTotal,600.0)" in planned(op.customer_txn_counts(typed, 600))
