@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .mixing import mixing_rates
+from .packing import pack_documents
 from .quality_rules import METRICS, quality_rules
+from .secrets import BASE_RULES, secret_spans, spans_text
 from .sharding import shard_documents
 from .simhash import simhash_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Shares of tokens that the mixing query aims at.
+MIX_WEIGHTS = {"good": 0.9, "poor": 0.05, "toxic": 0.05}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -29,6 +36,36 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def label_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, domain) of the labelled documents."""
+    domain = F.expr("case when toxic = 1 then 'toxic' when quality = 0 then 'poor' when quality = 1 then 'good' end")
+    return _table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
+
+
+def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    rated, _ = mixing_rates(docs, label_domains(spark, sf_dir), MIX_WEIGHTS, carry=["doc_id"])
+    return rated.select("doc_id", "tokens", "posterior", "rate")
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = secret_spans(docs.select("doc_id", "text"))
+    counts = [
+        F.size(F.filter("spans", lambda s, rank=rank: s["rank"] == rank)).cast("long").alias(f"n_{rule.kind}")
+        for rank, rule in enumerate(BASE_RULES)
+    ]
+    base = F.filter("spans", lambda s: s["rank"] < len(BASE_RULES))
+    return found.select(
+        "doc_id", *counts, F.sha2(spans_text(base).cast("binary"), 256).alias("base_sha256"),
+        spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+def op8_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
 def op10_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -36,9 +73,19 @@ def op10_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def build_queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_simhash_dedup": op2_simhash_dedup,
+        "op6_soft_mixing": op6_soft_mixing,
+        "op7_secret_scan": op7_secret_scan,
+        "op8_cost_packing": op8_cost_packing,
         "op10_differencing_shards": op10_differencing_shards,
+        "pipeline": pipeline,
     }

@@ -245,8 +245,8 @@ def near_dedup(
     named = found.where("doc_id is not null")
     gone = named.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     counts = named.agg(
-        F.count_if("doc_id <> component_id").alias("gone"),
-        F.count_if("doc_id = component_id").alias("kept"),
+        F.expr("count_if(doc_id <> component_id)").alias("gone"),
+        F.expr("count_if(doc_id = component_id)").alias("kept"),
     ).first()
     n_kept = named.where("doc_id = component_id").select("doc_id").distinct().count()
     kept = docs.join(small(gone, counts["gone"], 64), docs[f"`{id_col}`"] == F.col("_gone"), "left_anti")
