@@ -13,6 +13,7 @@ from .quality_rules import METRICS, quality_rules
 from .secrets import BASE_RULES, secret_spans, spans_text
 from .sharding import shard_documents
 from .simhash import simhash_components
+from .vector_graph import nearest_neighbours
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +67,10 @@ def op8_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op9_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -86,6 +91,7 @@ def build_queries() -> dict[str, Query]:
         "op6_soft_mixing": op6_soft_mixing,
         "op7_secret_scan": op7_secret_scan,
         "op8_cost_packing": op8_cost_packing,
+        "op9_pruned_graph": op9_pruned_graph,
         "op10_differencing_shards": op10_differencing_shards,
         "pipeline": pipeline,
     }
