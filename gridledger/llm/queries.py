@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .byte_network import quality_network, quality_scores
+from .languages import identify_languages, language_model
 from .mixing import mixing_rates
 from .packing import pack_documents
 from .quality_rules import METRICS, quality_rules
 from .secrets import BASE_RULES, secret_spans, spans_text
 from .sharding import shard_documents
 from .simhash import simhash_components
+from .toxicity import toxicity_model, toxicity_scores
 from .vector_graph import nearest_neighbours
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +40,23 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_model(docs, _table(spark, sf_dir, "labels"))
+    return toxicity_scores(docs, model, carry=["doc_id"])
+
+
+def op4_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = quality_network(docs, _table(spark, sf_dir, "labels"))
+    return quality_scores(docs, net, carry=["doc_id"])
+
+
+def op5_language_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify_languages(docs, language_model(docs), carry=["doc_id"])
+
+
 def label_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, domain) of the labelled documents."""
     domain = F.expr("case when toxic = 1 then 'toxic' when quality = 0 then 'poor' when quality = 1 then 'good' end")
@@ -88,6 +108,9 @@ def build_queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_simhash_dedup": op2_simhash_dedup,
+        "op3_counterfactual_toxicity": op3_counterfactual_toxicity,
+        "op4_byte_network": op4_byte_network,
+        "op5_language_families": op5_language_families,
         "op6_soft_mixing": op6_soft_mixing,
         "op7_secret_scan": op7_secret_scan,
         "op8_cost_packing": op8_cost_packing,
