@@ -76,7 +76,9 @@ def _combined(active: np.ndarray, firsts: np.ndarray, counts: np.ndarray) -> np.
 
 
 def network_scores(net: dict[str, np.ndarray], texts: list[bytes | None]) -> np.ndarray:
-    """A probability for each text, from all of it, a bounded number of chunks at a time."""
+    """A probability for each text, from all of it, a bounded number of chunks at a time.
+
+    Rounded to 6 places: beyond them it depends on which texts are worked on together."""
     pooled, counts, held, filled = [], [], [], []
 
     def flush() -> None:
@@ -103,7 +105,8 @@ def network_scores(net: dict[str, np.ndarray], texts: list[bytes | None]) -> np.
         return np.empty(0)
     counts = np.array(counts)
     joined = _combined(np.maximum(np.concatenate(pooled), 0), np.cumsum(counts) - counts, counts)
-    return 1 / (1 + np.exp(-np.clip((joined @ net["dense"] + net["shift"]).astype(np.float64), -30, 30)))
+    logits = (joined @ net["dense"] + net["shift"]).astype(np.float64)
+    return np.round(1 / (1 + np.exp(-np.clip(logits, -30, 30))), 6)
 
 
 def fit(texts: list[tuple[np.ndarray, int]], labels: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS, rate: float = 4e-3) -> dict:

@@ -254,7 +254,8 @@ def near_dedup(
         return kept if n_kept == counts["kept"] else kept.dropDuplicates([id_col])
     nameless = kept.where(F.col(f"`{id_col}`").isNull())
     linked_null = found.where("doc_id is null and component_id is not null").select(F.col("fp").alias("_fp")).distinct()
-    marked = fingerprints(nameless, text_col, docs.columns, shingle)
-    alone = marked.join(linked_null, marked["fp"] == F.col("_fp"), "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    whole = nameless.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    marked = fingerprints(whole, "text", ["row"], shingle)
+    alone = marked.join(linked_null, marked["fp"] == F.col("_fp"), "left_anti").select("row.*")
     rest = kept.where(F.col(f"`{id_col}`").isNotNull())
     return (rest if n_kept == counts["kept"] else rest.dropDuplicates([id_col])).unionByName(alone)

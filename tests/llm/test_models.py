@@ -1,0 +1,212 @@
+"""Classifiers and the vector graph: held-out accuracy, brute force, and awkward rows."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+from gridledger.llm import byte_network, languages, queries, toxicity
+from gridledger.llm.vector_graph import beam_search, build_graph, nearest_neighbours, robust_prune
+
+from .messy import SCHEMA, frame, messy_rows
+
+SF = "/root/testdata/sf0.01"
+
+
+def held(doc_id, folds, rest):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % folds == rest
+
+
+def labels_of(spark):
+    return {r["doc_id"]: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+
+
+def test_toxicity_query(spark):
+    known = labels_of(spark)
+    got = queries.op3_counterfactual_toxicity(spark, SF).collect()
+    assert len(got) == 1000
+    assert all(r["held_out"] == held(r["doc_id"], 5, 0) and 0 <= r["score"] <= 1 for r in got)
+    assert all(r["predicted"] == (r["score"] >= 0.5) for r in got)
+    tested = [(known[r["doc_id"]]["toxic"], r["predicted"]) for r in got if r["held_out"] and r["doc_id"] in known]
+    assert np.mean([a == b for a, b in tested]) > 0.9
+
+
+def test_fairness_penalty_spares_group_mentions():
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(40)]
+    texts, labels = [], []
+    for i in range(400):
+        bad = i % 2
+        # The group term is in most toxic texts, and an insult in all of them.
+        mention = rng.random() < (0.9 if bad else 0.05)
+        parts = rng.sample(words, 8) + ["rotten"] * bad * (rng.random() < 0.7) + ["muslim"] * mention
+        texts.append(" ".join(parts).encode())
+        labels.append(bad)
+    labels, weights = np.array(labels, float), np.ones(400)
+
+    def moved(model):
+        bias, w = model
+        return sum(w.get(f, 0.0) for f in toxicity.features([b"muslim"])) - sum(w.get(f, 0.0) for f in toxicity.features([b"christian"]))
+
+    plain, fair = toxicity.fit(texts, labels, weights, fairness=0.0), toxicity.fit(texts, labels, weights, fairness=5.0)
+    assert moved(plain) > 0.5
+    assert abs(moved(fair)) < 0.2 * moved(plain)
+    assert fair[1][b"rotten"] > 0.3
+
+
+def test_swaps():
+    assert toxicity.swapped([b"nothing", b"here"]) == []
+    turns = toxicity.swapped([b"women", b"x", b"women"])
+    assert turns == [[b"men", b"x", b"men"]]
+    assert len(toxicity.swapped([b"jews", b"men"])) == 5
+    assert toxicity.words_of(b"You, TRASH!! caf\xc3\xa9") == [b"you", b"trash", b"caf\xc3\xa9"]
+
+
+def test_network_query(spark):
+    known = labels_of(spark)
+    got = queries.op4_byte_network(spark, SF).collect()
+    assert len(got) == 1000
+    assert all(r["held_out"] == held(r["doc_id"], 5, 0) and r["predicted"] == (r["score"] >= 0.3) for r in got)
+    scores = [(known[r["doc_id"]]["quality"], r["score"]) for r in got if r["doc_id"] in known]
+    good, poor = ([s for q, s in scores if q == k] for k in (1, 0))
+    assert np.mean([a > b for a in good for b in poor]) > 0.85
+
+
+def test_chunks_cover_whole_texts():
+    rng = random.Random(0)
+    for n in (0, 1, 511, 512, 513, 960, 961, 5000):
+        raw = rng.randbytes(n)
+        chunks, filled = byte_network.chunks_of(raw)
+        seen = np.zeros(n, bool)
+        for chunk in chunks:
+            at = raw.find(chunk.tobytes()[:filled])
+            seen[at : at + filled] = True
+        assert seen.all() and chunks.shape[1] == byte_network.CHUNK and (n <= 512) == (len(chunks) == 1)
+    net = byte_network.empty_network()
+    whole = byte_network.network_scores(net, [b"abc " * 3000, None, b"", b"x"])
+    assert whole[1] == whole[2] and len(set(whole.tolist())) == 3
+    alone = byte_network.network_scores(net, [b"abc " * 3000])
+    assert alone[0] == pytest.approx(whole[0])
+
+
+def test_network_learns_and_its_gradient_points_down():
+    rng = random.Random(1)
+    texts = [("Plain words and lines " * 20 if i % 2 else "LOUD### words*** " * 25) + str(rng.random()) for i in range(80)]
+    labels = np.array([float(i % 2) for i in range(80)])
+    given = [byte_network.chunks_of(t.encode()) for t in texts]
+    net = byte_network.fit(given, labels, np.ones(80), epochs=6)
+    scores = byte_network.network_scores(net, [t.encode() for t in texts])
+    assert scores[labels == 1].min() > scores[labels == 0].max()
+
+
+def test_language_query(spark):
+    truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang").collect()}
+    got = queries.op5_language_families(spark, SF).collect()
+    assert len(got) == 1000 and all(r["held_out"] == held(r["doc_id"], 3, 1) and 0 <= r["score"] <= 1 for r in got)
+    tested = [truth[r["doc_id"]] == r["lang_pred"] for r in got if r["held_out"]]
+    assert np.mean(tested) > 0.97
+    assert {r["lang_pred"] for r in got} <= set(truth.values()) | {"und"}
+
+
+def test_language_votes():
+    rng = np.random.default_rng(0)
+    profiles = np.abs(rng.normal(size=(90, languages.DIMS))).astype(np.float32) * 0.01
+    langs = [["fr", "es", "it"][i % 3] for i in range(90)]
+    for i in range(90):
+        profiles[i, i % 3] = 1.0
+    model = languages.fit(profiles, langs)
+    assert model["heads"] == [] and set(model["pairs"]) == {("es", "fr"), ("es", "it"), ("fr", "it")}
+    found, scores = languages.predict(model, profiles)
+    assert found == langs and ((scores > 0.5) & (scores <= 1)).all()
+
+
+def test_awkward_rows(spark):
+    docs = frame(spark)
+    rows = messy_rows()
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(80)] + [(None, 1, 1), (1, None, None), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    model = languages.language_model(docs)
+    found = languages.identify_languages(docs, model).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        letters = any(c.isalpha() for c in r["text"] or "")
+        assert (r["lang_pred"] == "und") == (not letters) and (letters or r["score"] == 0)
+    scored = toxicity.toxicity_scores(docs, toxicity.toxicity_model(docs, labels)).collect()
+    judged = byte_network.quality_scores(docs, byte_network.quality_network(docs, labels)).collect()
+    for out in (scored, judged):
+        assert len(out) == len(rows) and len({r["score"] for r in out if not r["text"]}) == 1
+        assert all(0 <= r["score"] <= 1 and r["held_out"] == held(r["doc_id"], 5, 0) for r in out)
+
+
+def test_nothing_to_learn_from(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    docs = frame(spark, messy_rows()[:5])
+    assert {r["lang_pred"] for r in languages.identify_languages(docs, languages.language_model(empty)).collect()} == {"und"}
+    assert {r["score"] for r in toxicity.toxicity_scores(docs, toxicity.toxicity_model(docs, none)).collect()} == {0.5}
+    assert byte_network.quality_scores(docs, byte_network.quality_network(docs, none)).count() == 5
+    assert toxicity.toxicity_scores(empty, (0.0, {})).count() == 0 and languages.identify_languages(empty, None).count() == 0
+    assert byte_network.quality_scores(empty, byte_network.empty_network()).count() == 0
+
+
+VECTORS = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("score", T.StringType())])
+
+
+def neighbours_by_hand(rows, k, step):
+    usable = {(i, tuple(v)) for i, v, _ in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)}
+    out = {}
+    for i, v in usable:
+        if i % step == 0:
+            scored = {(-float(np.dot(np.array(v, np.float64), np.array(w, np.float64))), j) for j, w in usable if j != i}
+            out[i] = sorted(scored)[:k]
+    return out
+
+
+def test_neighbours_with_copies_and_broken_vectors(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=8).astype(np.float32)], "s") for i in range(300)]
+    rows += [(1000 + i, rows[40][1], "s") for i in range(60)]
+    rows += [(2000, None, "s"), (2020, [], "s"), (2040, [0.0] * 8, "s"), (2060, [None] + [1.0] * 7, "s"), (2080, [float("nan")] * 8, "s"), (2100, [float("inf")] * 8, "s")]
+    rows += [(None, [1.0] * 8, "s"), rows[0], rows[20]]
+    got = nearest_neighbours(spark.createDataFrame(rows, VECTORS), shards=3, query_rows=7).collect()
+    want = neighbours_by_hand(rows, 20, 20)
+    by = {}
+    for r in got:
+        by.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert set(by) == set(want)
+    hits = total = 0
+    for query, found in by.items():
+        found.sort()
+        assert [r for r, _, _ in found] == list(range(1, len(found) + 1)) and len({v for _, v, _ in found}) == 20
+        assert [(-s, v) for _, v, s in found] == sorted((-s, v) for _, v, s in found)
+        hits += len({v for _, v, _ in found} & {j for _, j in want[query]})
+        total += 20
+    assert hits / total > 0.98
+    few = nearest_neighbours(spark.createDataFrame(rows[:3] + [(500, [0.0] * 8, "s")], VECTORS)).collect()
+    assert [(r["query_id"], r["rank"]) for r in sorted(few, key=lambda r: r["rank"])] == [(0, 1), (0, 2)]
+    assert nearest_neighbours(spark.createDataFrame([], VECTORS)).count() == 0
+
+
+def test_neighbour_query_recall(spark):
+    rows = [(r["vec_id"], r["embedding"], None) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    want = neighbours_by_hand(rows, 20, 20)
+    got = queries.op9_pruned_graph(spark, SF).collect()
+    hits = sum(r["vec_id"] in {j for _, j in want[r["query_id"]]} for r in got)
+    assert len(got) == 20 * len(want) and hits / len(got) > 0.95
+
+
+def test_graph_is_pruned_and_searchable():
+    rng = np.random.default_rng(2)
+    points = rng.normal(size=(700, 6)).astype(np.float32)
+    edges, entry = build_graph(points, degree=12, beam=32)
+    for node in range(700):
+        own = edges[node][edges[node] >= 0]
+        assert len(set(own.tolist())) == len(own) and node not in own
+    found, far = beam_search(points, edges, entry, points[:50], 32)
+    assert (found[:, 0] == np.arange(50)).mean() > 0.95 and (np.diff(far, axis=1)[found[:, 1:] >= 0] >= 0).all()
+    line = np.array([[0.0], [1.0], [2.0], [-3.0]], np.float32)
+    # 2 lies behind 1 as seen from 0, so only 1 and -3 stay.
+    assert sorted(robust_prune(line, np.array([0]), np.array([[1, 2, 3]]), 3, 1.2)[0].tolist()) == [-1, 1, 3]
