@@ -8,16 +8,26 @@ and a customer ID repeated without bound meets one row, which AQE can replicate
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bands import age_band
-from ..functions.money import from_minor_units, minor_units
+from ..functions.money import MONEY_DIGITS, money_aggregates, money_columns, money_merge, money_total
 from ..functions.sizing import BROADCAST_BYTES, fits_broadcast
 
 
+_SAME = {"units": "units", "odd": "odd", "plain": "plain"}
+
+# What the combined key says where a customer's age or gender is not known.
+_NO_AGE, _NO_GENDER = "Unknown", "unknown"
+
+
+def _named(expressions: dict[str, str]) -> list[Column]:
+    return [F.expr(f"{sql} as {name}") for name, sql in expressions.items()]
+
+
 def customer_txn_summary(
-    customers: DataFrame, transactions: DataFrame, money_digits: int | None = 2
+    customers: DataFrame, transactions: DataFrame, money_digits: int | None = MONEY_DIGITS
 ) -> DataFrame:
     """Name, salary, transaction count, total spent and least items for every customer ID.
 
@@ -31,7 +41,7 @@ def customer_txn_summary(
         .groupBy(F.expr("CustID as ID"))
         .agg(
             F.expr("count(*) as n"),
-            F.expr(f"sum({minor_units('TransTotal', money_digits)}) as units"),
+            *_named(money_aggregates("TransTotal", money_digits)),
             F.expr("min(TransNumItems) as least"),
         )
     )
@@ -45,7 +55,7 @@ def customer_txn_summary(
         "coalesce(person.Name, '') as Name",
         "coalesce(person.Salary, 0D) as Salary",
         "coalesce(n, 0L) as NumTransactions",
-        f"coalesce({from_minor_units('units', money_digits)}, 0D) as TotalSum",
+        f"coalesce({money_total(_SAME, money_digits)}, 0D) as TotalSum",
         "coalesce(least, 0) as MinItems",
     )
 
@@ -91,15 +101,16 @@ def age_gender_spend(
     customers: DataFrame,
     transactions: DataFrame,
     combined_key: bool = True,
-    money_digits: int | None = 2,
+    money_digits: int | None = MONEY_DIGITS,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Least, greatest and average transaction total for each age band and gender.
 
     ``combined_key=True`` is the lookup form: one key ``"[10,20) male"``, a customer ID on several
-    rows is looked up once (greatest age and gender), ages outside the bands are ``Unknown``.
+    rows is looked up once (greatest age and gender), ages outside the bands, or null, are ``Unknown``
+    and a null gender is ``unknown``.
     ``combined_key=False`` is the join form: columns AgeRange and Gender, a transaction counts once
-    for each customer row of its ID, ages outside the bands are ``UNKNOWN``.
+    for each customer row of its ID, ages outside the bands are ``UNKNOWN``; nulls stay null.
     Transactions of unknown customers are left out.
     """
     known = customers.where("ID is not null").select("ID", "Age", "Gender")
@@ -107,18 +118,21 @@ def age_gender_spend(
         traits = (
             known.groupBy("ID")
             .agg(F.expr("max(struct(Age, Gender)) as t"))
-            .selectExpr("ID", f"{age_band('t.Age', 'Unknown')} as AgeRange", "t.Gender")
+            .selectExpr(
+                "ID",
+                f"concat(coalesce({age_band('t.Age', 'Unknown')}, '{_NO_AGE}'), ' ', "
+                f"coalesce(t.Gender, '{_NO_GENDER}')) as AgeGender",
+            )
         )
     else:
         traits = known.selectExpr("ID", f"{age_band('Age')} as AgeRange", "Gender")
 
-    units = minor_units("TransTotal", money_digits)
     if fits_broadcast(known, broadcast_bytes):
         spent = transactions.selectExpr(
             "CustID as ID",
             "TransTotal as low",
             "TransTotal as high",
-            f"{units} as units",
+            *[f"{sql} as {name}" for name, sql in money_columns("TransTotal", money_digits).items()],
             "if(TransTotal is null, 0L, 1L) as n",
         )
         traits = F.broadcast(traits)
@@ -129,15 +143,16 @@ def age_gender_spend(
             .agg(
                 F.expr("min(TransTotal) as low"),
                 F.expr("max(TransTotal) as high"),
-                F.expr(f"sum({units}) as units"),
+                *_named(money_aggregates("TransTotal", money_digits)),
                 F.expr("count(TransTotal) as n"),
             )
         )
 
-    total = from_minor_units("sum(units)", money_digits)
+    total = money_total(money_merge(money_digits), money_digits)
+    key = ["AgeGender"] if combined_key else ["AgeRange", "Gender"]
     report = (
         spent.join(traits, "ID")
-        .groupBy("AgeRange", "Gender")
+        .groupBy(*key)
         .agg(
             F.expr("min(low) as MinTransTotal"),
             F.expr("max(high) as MaxTransTotal"),
@@ -148,7 +163,7 @@ def age_gender_spend(
     if not combined_key:
         return report
     return report.selectExpr(
-        "concat(AgeRange, ' ', Gender) as AgeGender",
+        "AgeGender",
         *[f"coalesce({m}, 0D) as {m}" for m in ("MinTransTotal", "MaxTransTotal", "AvgTransTotal")],
     )
 

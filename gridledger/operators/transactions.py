@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import from_minor_units, minor_units
+from ..functions.money import MONEY_DIGITS, money_aggregates, money_total
 
 
 def filter_min_total(transactions: DataFrame, min_total: float) -> DataFrame:
@@ -18,13 +18,14 @@ def filter_min_total(transactions: DataFrame, min_total: float) -> DataFrame:
 
 
 def items_spend_stats(
-    transactions: DataFrame, min_total: float = 200, money_digits: int | None = 2
+    transactions: DataFrame, min_total: float = 200, money_digits: int | None = MONEY_DIGITS
 ) -> DataFrame:
     """Sum, average, minimum and maximum total for each number of items, from ``min_total`` up.
 
-    ``money_digits`` is the number of decimals totals are written with; None sums raw doubles.
+    Sums are exact, whatever the order of rows, for amounts of up to ``money_digits`` decimals; where a
+    group has others, or with None, the doubles are added up as they are.
     """
-    total = from_minor_units(f"sum({minor_units('TransTotal', money_digits)})", money_digits)
+    total = money_total(money_aggregates("TransTotal", money_digits), money_digits)
     return (
         filter_min_total(transactions, min_total)
         .groupBy(F.expr("TransNumItems as transNumItems"))

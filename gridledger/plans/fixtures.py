@@ -3,7 +3,8 @@
 Each is one whole table with computed columns and no filter, so work grows with the table. The
 expressions run unchanged on Spark and on the checking engine. A tenth of the customers get no
 transaction because the orders of theirs are given a negative, unknown customer ID; both kinds of
-unmatched row therefore occur while every row is kept.
+unmatched row therefore occur while every row is kept. Some customers have no age or no gender, and every
+ninth amount has three decimals.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ FIXTURES: dict[str, tuple[str, list[str]]] = {
         [
             "c_custkey as ID",
             "c_name as Name",
-            "cast(10+(c_custkey*37)%61 as int) as Age",
-            "case when c_custkey%2=1 then 'male' else 'female' end as Gender",
+            "case when c_custkey%50=7 then null else cast(10+(c_custkey*37)%61 as int) end as Age",
+            "case when c_custkey%70=9 then null when c_custkey%2=1 then 'male' else 'female' end as Gender",
             "cast(1+c_nationkey%10 as int) as CountryCode",
             "c_acctbal as Salary",
         ],
@@ -27,7 +28,8 @@ FIXTURES: dict[str, tuple[str, list[str]]] = {
         [
             "o_orderkey as TransID",
             "case when o_custkey%10=3 then -1-o_custkey else o_custkey end as CustID",
-            "cast((cast(round(o_totalprice*100) as bigint)%99001+1000) as double)/100 as TransTotal",
+            "case when o_orderkey%9=4 then cast((cast(round(o_totalprice*100) as bigint)%990011+10000) as double)/1000 "
+            "else cast((cast(round(o_totalprice*100) as bigint)%99001+1000) as double)/100 end as TransTotal",
             "cast(1+o_orderkey%10 as int) as TransNumItems",
             "o_orderpriority as TransDesc",
         ],

@@ -20,7 +20,8 @@ def _with(names: list[str], body: str, more: list[tuple[str, str]] | None = None
     return f"with {', '.join(parts)} {body}"
 
 
-_MONEY = "cast(sum(cast(TransTotal as decimal(12,2))) as double)"
+# Wide enough for every decimal that an amount has, so nothing is rounded before it is added.
+_MONEY = "cast(sum(cast(TransTotal as decimal(18,5))) as double)"
 
 _BANDS = (
     "case when Age is null then null when Age between 10 and 19 then '[10,20)' "
@@ -53,7 +54,8 @@ def _country() -> str:
 
 def _age_gender(combined: bool) -> str:
     band = _BANDS.format(other="Unknown" if combined else "UNKNOWN")
-    key = f"{band} || ' ' || Gender as AgeGender" if combined else f"{band} as AgeRange, Gender"
+    named = f"coalesce({band}, 'Unknown') || ' ' || coalesce(Gender, 'unknown') as AgeGender"
+    key = named if combined else f"{band} as AgeRange, Gender"
     return _with(
         ["customers", "transactions"],
         f"""select {key}, min(TransTotal) as MinTransTotal, max(TransTotal) as MaxTransTotal,

@@ -168,3 +168,47 @@ def test_a_customer_with_most_transactions_gives_the_same_on_both_routes(spark,
         lambda limit: age_gender_spend(customers, hot, False, broadcast_bytes=limit),
     ):
         assert rows(report(0)) == rows(report(1 << 20))
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20], ids=["shuffle", "broadcast"])
+@pytest.mark.parametrize(
+    ("amounts", "total"),
+    [
+        ([0.004] * 1000, 4.0),
+        ([0.125, 0.00001], 0.12501),
+        ([1e18, 1e18, 0.5], 2e18),
+        ([9e9] * 3, 27e9),
+        ([None, 2.5], 2.5),
+        ([float("inf"), 1.0], float("inf")),
+    ],
+)
+def test_totals_are_those_of_the_doubles(spark, customers, limit, amounts, total):
+    many = spark.createDataFrame([(i, 1, a, 1, "") for i, a in enumerate(amounts)], schemas.TRANSACTIONS)
+    summary = {r[0]: r[4] for r in rows(customer_txn_summary(customers, many))}
+    assert summary[1] == pytest.approx(total)
+    n = sum(a is not None for a in amounts)
+    for combined in (True, False):
+        report = age_gender_spend(customers, many, combined_key=combined, broadcast_bytes=limit).collect()
+        assert [r["AvgTransTotal"] for r in report] == pytest.approx([total / n])
+
+
+def test_nan_and_overflow_give_the_plain_sum(spark, customers):
+    import math
+
+    odd = spark.createDataFrame([(1, 1, float("nan"), 1, ""), (2, 2, 5.0, 1, "")], schemas.TRANSACTIONS)
+    got = {r[0]: r[4] for r in customer_txn_summary(customers, odd).collect()}
+    assert math.isnan(got[1]) and got[2] == 5.0
+    # Sums of units beyond a BIGINT: 10,000 times 9.9e9 at 4 decimals is 9.9e17, a hundred times that overflows.
+    large = spark.range(1_000_000).selectExpr("id as TransID", "1L as CustID", "9.9e9D as TransTotal", "1 as TransNumItems", "'' as TransDesc")
+    for limit in (0, 1 << 20):
+        report = age_gender_spend(customers, large, broadcast_bytes=limit).collect()
+        assert [r["AvgTransTotal"] for r in report] == pytest.approx([9.9e9])
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20], ids=["shuffle", "broadcast"])
+def test_unknown_age_and_gender_have_one_labelled_row(spark, transactions, limit):
+    people = [(1, "a", None, "male", 1, 1.0), (2, "b", 5, "male", 1, 1.0), (3, "c", 20, None, 1, 1.0), (9, "d", None, None, 1, 1.0)]
+    report = age_gender_spend(spark.createDataFrame(people, schemas.CUSTOMERS), transactions, broadcast_bytes=limit)
+    assert [r[0] for r in rows(report)] == ["Unknown male", "Unknown unknown", "[20,30) unknown"]
+    columns = age_gender_spend(spark.createDataFrame(people, schemas.CUSTOMERS), transactions, combined_key=False, broadcast_bytes=limit)
+    assert columns.count() == 4

@@ -7,9 +7,10 @@ from compare import compare, open_tables
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry_module
+from gridledger.plans import build_oracles, build_queries
 
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+QUERIES = build_queries()
+SQL = build_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,7 @@ def tables():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(SQL) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
