@@ -202,8 +202,8 @@ def _ints(**columns: tuple[int, int, int]) -> list[str]:
 
 
 def _two_decimals(column: str) -> str:
-    # Halves go up, as in the reports.
-    return f"printf('%.2f', floor({column}*100+0.5)/100)"
+    # Halves of the decimal value go up, as in the reports.
+    return f"cast(cast(round(cast({column} as decimal(18,6)), 2) as decimal(18,2)) as varchar)"
 
 
 def _lines(query: str, line: str) -> str:
