@@ -11,16 +11,19 @@ from .customers import (
 from .density import grid_cell_counts, relative_density, top_dense_cells, top_dense_neighbors
 from .spatial import distance_outliers, spatial_join
 from .transactions import (
+    customer_count_pair,
     customer_txn_counts,
     filter_min_total,
     items_spend_stats,
     rare_big_spenders,
+    rare_of_counts,
 )
 
 __all__ = [
     "age_gender_spend",
     "country_size_outliers",
     "country_txn_report",
+    "customer_count_pair",
     "customer_txn_counts",
     "customer_txn_summary",
     "distance_outliers",
@@ -30,6 +33,7 @@ __all__ = [
     "kmeans",
     "least_active_customers",
     "rare_big_spenders",
+    "rare_of_counts",
     "relative_density",
     "spatial_join",
     "top_dense_cells",

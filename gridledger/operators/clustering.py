@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Centres travel as literals inside the plan, so their number is checked, never cut.
-MAX_CENTRES = 10_000
+from ..functions.sizing import BROADCAST_BYTES
+
+# Up to this many centres they travel as literals inside the plan; more are a table, looked up by cell.
+LITERAL_CENTRES = 1000
+
+# Candidates that a cell may keep before it is cut into four.
+_LEAF = 16
 
 # Up to this many centres the nearest one is a flat expression, compiled into the scan's stage.
 # Beyond it the generated method would pass the 8000 bytecodes up to which the JVM compiles one.
@@ -80,8 +87,128 @@ def _step(points: DataFrame, centres: Sequence[Row], tol: int, iteration: int) -
     return states
 
 
+def _shared(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed to the folder in ``spark.checkpoint.dir``; a local session may go without one."""
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="gridledger-")
+        spark.sparkContext.setCheckpointDir(folder)
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return df.checkpoint()
+
+
+def candidate_cells(centres: DataFrame, low: tuple[int, int], bits: int, leaf: int = _LEAF) -> DataFrame:
+    """Cells (level, cx, cy) that tile a square, each with the centres that can be nearest within it.
+
+    The square starts at ``low`` and is 2**bits wide. A cell keeps a centre if its nearest point of the
+    cell is no farther than the farthest point of the cell is from some other centre. Cells with more
+    than ``leaf`` candidates are cut into four, all of a level together: a level is one aggregate and
+    one join over the candidates that are left.
+    """
+    open_cells = centres.groupBy("x", "y").agg(F.min("idx").alias("idx")).selectExpr("0L as cx", "0L as cy", "idx", "x", "y")
+    done = []
+    for level in range(bits + 1):
+        size = 1 << (bits - level)
+        left, top = f"(cx * {size}L + {low[0]}L)", f"(cy * {size}L + {low[1]}L)"
+
+        def near(c: str, start: str) -> str:
+            return f"cast(greatest({start} - {c}, {c} - ({start} + {size - 1}L), 0) as double)"
+
+        def far(c: str, start: str) -> str:
+            return f"cast(greatest(abs({c} - {start}), abs({c} - ({start} + {size - 1}L))) as double)"
+
+        measured = open_cells.selectExpr(
+            "*",
+            f"pow({near('x', left)}, 2) + pow({near('y', top)}, 2) as near",
+            f"pow({far('x', left)}, 2) + pow({far('y', top)}, 2) as far",
+        )
+        # Distances are doubles here, so a hair is left on both sides; the choice itself is exact.
+        bounds = measured.groupBy("cx", "cy").agg(F.expr("min(far) * (1 + 1e-9D) as bound"))
+        kept = measured.join(bounds, ["cx", "cy"]).where("near <= bound").drop("near", "far", "bound")
+        counts = kept.groupBy("cx", "cy").agg(F.expr("count(*) as n"))
+        kept = _shared(kept.join(counts, ["cx", "cy"]))
+        full = f"n > {leaf}" if level < bits else "false"
+        done.append(
+            kept.where(f"not ({full})")
+            .groupBy("cx", "cy")
+            .agg(F.expr("collect_list(struct(x, y, idx)) as near_centres"))
+            .selectExpr(f"{level} as level", f"{size}L as size", "cx", "cy", "near_centres")
+        )
+        rest = kept.where(full)
+        if rest.isEmpty():
+            break
+        open_cells = rest.selectExpr(
+            "explode(array(struct(0L as a, 0L as b), struct(0L as a, 1L as b), struct(1L as a, 0L as b), struct(1L as a, 1L as b))) as q", "*"
+        ).selectExpr("cx * 2 + q.a as cx", "cy * 2 + q.b as cy", "idx", "x", "y")
+    return reduce(DataFrame.unionByName, done)
+
+
+def _assigned(points: DataFrame, cells: DataFrame, low: tuple[int, int], wide: bool, broadcast_bytes: int) -> DataFrame:
+    """Each point with ``idx`` of its nearest centre, the lowest on ties."""
+    sizes = cells.groupBy("level").agg(F.first("size").alias("size"), F.expr("sum(size(near_centres) + 4) as entries")).collect()
+    levels = ", ".join(f"struct({row['level']} as level, {row['size']}L as size)" for row in sizes)
+    if sum(row["entries"] for row in sizes) * 32 <= broadcast_bytes:
+        cells = F.broadcast(cells)
+    number = "decimal(38,0)" if wide else "bigint"
+    dx, dy = (f"(cast(p{c} as {number}) - cast(c.{c} as {number}))" for c in "xy")
+    return (
+        points.selectExpr("x as px", "y as py", f"explode(array({levels})) as l")
+        .selectExpr("px", "py", "l.level", f"(px - {low[0]}L) div l.size as cx", f"(py - {low[1]}L) div l.size as cy")
+        .join(cells, ["level", "cx", "cy"])
+        .selectExpr(
+            "px as x", "py as y",
+            f"array_min(transform(near_centres, c -> struct({dx} * {dx} + {dy} * {dy} as d, c.idx as idx))).idx as idx",
+        )
+    )
+
+
+def _kmeans_by_cells(
+    points: DataFrame, seeds: DataFrame, max_iter: int, tol: int, history: bool, broadcast_bytes: int
+) -> DataFrame:
+    """``kmeans`` with the centres in a table: neither the driver nor the plan's text grows with them."""
+    centres = _shared(seeds.selectExpr("cast(idx as int) as idx", "cast(x as int) as x", "cast(y as int) as y"))
+    checked = centres.agg(
+        F.expr("count(*) as n"), F.expr("count(distinct idx) as ids"), F.expr("count_if(x is null or y is null or idx is null) as nulls")
+    ).first()
+    if checked["nulls"]:
+        raise ValueError("a seed has a null idx, x or y")
+    if checked["ids"] < checked["n"]:
+        raise ValueError("seeds share an idx")
+    ends = [f"{f}({c}) as {f}{c}" for f in ("min", "max") for c in "xy"]
+    box = points.unionByName(centres.select("x", "y")).selectExpr(*ends).first()
+    low = (box["minx"], box["miny"])
+    extent = max(box["maxx"] - low[0], box["maxy"] - low[1])
+    bits = max(1, extent.bit_length())
+    rounds = []
+    for iteration in range(max_iter):
+        cells = _shared(candidate_cells(centres, low, bits))
+        sums = _assigned(points, cells, low, extent >= 1 << 30, broadcast_bytes).groupBy("idx").agg(
+            F.expr("sum(x) as sx"), F.expr("sum(y) as sy"), F.expr("count(*) as n")
+        )
+        moved = sums.selectExpr("idx", "cast(sx div n as int) as x", "cast(sy div n as int) as y").join(
+            centres.selectExpr("idx", "x as ox", "y as oy"), "idx"
+        )
+        gap = " + ".join(f"pow(cast({c} as double) - o{c}, 2)" for c in "xy")
+        states = _shared(
+            moved.selectExpr(f"{iteration} as iteration", "idx", "x", "y", f"if({gap} >= {float(tol) ** 2}D, 'CHANGED', 'UNCHANGED') as status")
+        )
+        rounds.append(states)
+        if states.where("status = 'CHANGED'").isEmpty():
+            break
+        centres = states.select("idx", "x", "y")
+    return reduce(DataFrame.unionByName, rounds) if history else rounds[-1].drop("iteration")
+
+
 def kmeans(
-    points: DataFrame, seeds: DataFrame, max_iter: int = 6, tol: int = 1, history: bool = False
+    points: DataFrame,
+    seeds: DataFrame,
+    max_iter: int = 6,
+    tol: int = 1,
+    history: bool = False,
+    literal_centres: int = LITERAL_CENTRES,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Lloyd's iterations from ``seeds`` (idx, x, y) to final centres (idx, x, y, status).
 
@@ -90,18 +217,22 @@ def kmeans(
     moved by ``tol`` or more, or after ``max_iter`` rounds. ``history=True`` returns the centres
     of every round, with its number from 0.
 
-    A round is one scan with a map-side aggregate to k rows, so points are never shuffled, and
-    only k rows pass through the driver. Centres are literals: lineage does not grow, and a lost
-    executor costs its tasks only. The points are evaluated once a round; persist or checkpoint
-    them first where that is dear, as with wide text input.
+    A round is one scan with a map-side aggregate to k rows. Up to ``literal_centres`` centres are
+    literals: points are never shuffled, only k rows pass through the driver, lineage does not grow,
+    and a lost executor costs its tasks only. With more of them the centres are a checkpointed table;
+    a point meets only those that can be nearest to it, through a grid of cells that is broadcast
+    if it is measured small and joined by shuffle otherwise. The rows are the same either way, for any
+    number of seeds. The points are evaluated once a round; persist or checkpoint them first where
+    that is dear, as with wide text input.
     """
     if max_iter < 1:
         raise ValueError("max_iter must be at least 1")
-    given = seeds.select("idx", "x", "y").limit(MAX_CENTRES + 1).collect()
+    given = seeds.select("idx", "x", "y").limit(literal_centres + 1).collect()
     if not given:
         raise ValueError("no seeds")
-    if len(given) > MAX_CENTRES:
-        raise ValueError(f"more than {MAX_CENTRES} seeds")
+    if len(given) > literal_centres:
+        placed = points.where("x is not null and y is not null").selectExpr("cast(x as int) as x", "cast(y as int) as y")
+        return _kmeans_by_cells(placed, seeds, max_iter, tol, history, broadcast_bytes)
     if any(value is None for seed in given for value in seed):
         raise ValueError("a seed has a null idx, x or y")
     centres: Sequence[Row] = sorted(given, key=lambda seed: seed["idx"])

@@ -57,16 +57,27 @@ def rare_big_spenders(
     The two counts come from one conditional aggregate: one scan and one shuffle instead of two
     of each and a join.
     """
+    return rare_of_counts(customer_count_pair(transactions.where("CustID is not null"), lo, hi), ratio)
+
+
+def customer_count_pair(transactions: DataFrame, lo: float = 200, hi: float = 600) -> DataFrame:
+    """For each customer the transactions of at least ``lo`` (transaction_count_T3) and of at least ``hi``
+    (transaction_count_T5), and how many rows of either kind there are (lo_rows, hi_rows)."""
     least, most = f"TransTotal >= {float(lo)}D", f"TransTotal >= {float(hi)}D"
     return (
         filter_min_total(transactions, min(lo, hi))
-        .where("CustID is not null")
         .groupBy(F.expr("CustID as customerId"))
         .agg(
             F.expr(f"count(if({most}, TransID, null)) as transaction_count_T5"),
             F.expr(f"count(if({least}, TransID, null)) as transaction_count_T3"),
+            F.expr(f"count_if({least}) as lo_rows"),
             F.expr(f"count_if({most}) as hi_rows"),
         )
-        .where(f"hi_rows > 0 and transaction_count_T5 * {int(ratio)} < transaction_count_T3")
-        .drop("hi_rows")
     )
+
+
+def rare_of_counts(counts: DataFrame, ratio: int = 5) -> DataFrame:
+    """``rare_big_spenders`` from what ``customer_count_pair`` gives."""
+    return counts.where(
+        f"customerId is not null and hi_rows > 0 and transaction_count_T5 * {int(ratio)} < transaction_count_T3"
+    ).drop("lo_rows", "hi_rows")

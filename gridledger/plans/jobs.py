@@ -20,31 +20,43 @@ Job = Callable[[SparkSession, argparse.Namespace], None]
 
 
 def _customer_report(
-    function: Callable[..., DataFrame], lines: Callable[[DataFrame], DataFrame] | None, **options: object
+    function: Callable[..., DataFrame],
+    lines: Callable[[DataFrame], DataFrame] | None,
+    keys: tuple[str, ...],
+    malformed: str,
+    **options: object,
 ) -> Job:
     def job(spark: SparkSession, args: argparse.Namespace) -> None:
         report = function(
-            text.read_customers(spark, args.customers, "drop"),
-            text.read_transactions(spark, args.transactions, "drop"),
+            text.read_customers(spark, args.customers, malformed),
+            text.read_transactions(spark, args.transactions, malformed),
             **options,
         )
-        if lines is None:
-            sinks.write_csv(report, args.out)
-        else:
-            sinks.write_lines(lines(report), args.out)
+        _write(report, lines, keys, args)
 
     return job
 
 
+def _write(
+    report: DataFrame, lines: Callable[[DataFrame], DataFrame] | None, keys: tuple[str, ...], args: argparse.Namespace
+) -> None:
+    if args.ordered:
+        report = sinks.in_key_order(report, *keys)
+    if lines is None:
+        sinks.write_csv(report, args.out)
+    else:
+        sinks.write_lines(lines(report), args.out)
+
+
 def _mixed_summary(spark: SparkSession, args: argparse.Namespace) -> None:
     customers, transactions = text.read_mixed(spark, args.records)
     summary = op.customer_txn_summary(customers, transactions)
-    sinks.write_lines(sinks.customer_txn_summary_lines(summary), args.out)
+    _write(summary, sinks.customer_txn_summary_lines, ("ID",), args)
 
 
 def _country_size(spark: SparkSession, args: argparse.Namespace) -> None:
-    customers = text.read_customers(spark, args.customers, "drop")
-    sinks.write_csv(op.country_size_outliers(customers, args.hi, args.lo), args.out)
+    customers = text.read_customers(spark, args.customers, "null")
+    _write(op.country_size_outliers(customers, args.hi, args.lo), None, ("CountryCode",), args)
 
 
 def _spatial_join(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -76,10 +88,16 @@ def _kmeans(spark: SparkSession, args: argparse.Namespace) -> None:
 def _spending(spark: SparkSession, args: argparse.Namespace) -> None:
     transactions = text.read_transactions(spark, args.transactions, "drop")
     out = args.out.rstrip("/")
+    sinks.write_csv(op.filter_min_total(transactions, 200), f"{out}/high_value_txns")
+    sinks.write_csv(op.filter_min_total(transactions, 600), f"{out}/very_high_value_txns")
     sinks.write_csv(op.items_spend_stats(transactions, 200), f"{out}/items_spend_stats")
-    sinks.write_csv(op.customer_txn_counts(transactions, 200), f"{out}/customer_counts_200")
-    sinks.write_csv(op.customer_txn_counts(transactions, 600), f"{out}/customer_counts_600")
-    sinks.write_csv(op.rare_big_spenders(transactions), f"{out}/rare_big_spenders")
+    # The three reports by customer come from one aggregate, a row for each customer.
+    counts = op.customer_count_pair(transactions, 200, 600).persist()
+    least, most = "customerId", "transaction_count_T5"
+    sinks.write_csv(counts.where("lo_rows > 0").select(least, "transaction_count_T3"), f"{out}/customer_counts_200")
+    sinks.write_csv(counts.where("hi_rows > 0").select(least, most), f"{out}/customer_counts_600")
+    sinks.write_csv(op.rare_of_counts(counts), f"{out}/rare_big_spenders")
+    counts.unpersist()
 
 
 def _density(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -87,6 +105,8 @@ def _density(spark: SparkSession, args: argparse.Namespace) -> None:
     # One row for each occupied cell, kept for both outputs so that points are read once.
     density = op.relative_density(points, args.cell, args.extent).persist()
     out = args.out.rstrip("/")
+    sinks.write_csv(density.select("cell_id", "cell_count"), f"{out}/grid_cell_counts")
+    sinks.write_csv(density, f"{out}/relative_density")
     sinks.write_csv(op.top_dense_cells(density, args.k), f"{out}/top_dense_cells")
     sinks.write_csv(
         op.top_dense_neighbors(density, args.k, args.cell, args.extent), f"{out}/top_dense_neighbors"
@@ -117,17 +137,23 @@ def _parser() -> argparse.ArgumentParser:
         sub = jobs.add_parser(name)
         for argument, options in arguments:
             sub.add_argument(argument, **options)
+        if name in ordered:
+            sub.add_argument("--ordered", action="store_true", help="sort the report by its key")
         sub.set_defaults(run=job)
 
+    ordered = {"customer-summary", "customer-summary-mixed", "country-report", "age-gender", "age-gender-columns", "least-active", "country-size"}
+
     path: dict = {}
     whole = {"type": int}
     both = (("customers", path), ("transactions", path), ("out", path))
-    add("customer-summary", _customer_report(op.customer_txn_summary, sinks.customer_txn_summary_lines), *both)
+    # The reports of the first kind leave out lines that do not fit; those of the second keep them, with nulls.
+    add("customer-summary", _customer_report(op.customer_txn_summary, sinks.customer_txn_summary_lines, ("ID",), "drop"), *both)
     add("customer-summary-mixed", _mixed_summary, ("records", path), ("out", path))
-    add("country-report", _customer_report(op.country_txn_report, sinks.country_txn_report_lines), *both)
-    add("age-gender", _customer_report(op.age_gender_spend, sinks.age_gender_spend_lines), *both)
-    add("age-gender-columns", _customer_report(op.age_gender_spend, None, combined_key=False), *both)
-    add("least-active", _customer_report(op.least_active_customers, None), *both)
+    add("country-report", _customer_report(op.country_txn_report, sinks.country_txn_report_lines, ("CountryCode",), "drop"), *both)
+    add("age-gender", _customer_report(op.age_gender_spend, sinks.age_gender_spend_lines, ("AgeGender",), "drop"), *both)
+    by_column = _customer_report(op.age_gender_spend, None, ("AgeRange", "Gender"), "null", combined_key=False)
+    add("age-gender-columns", by_column, *both)
+    add("least-active", _customer_report(op.least_active_customers, None, ("Name",), "null"), *both)
     add(
         "country-size",
         _country_size,

@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 
 
 def two_decimals(value: Column) -> Column:
-    return F.format_string("%.2f", value)
+    return F.when(value.isNotNull(), F.format_string("%.2f", value))
 
 
 def _line(key: Column | None, values: list[Column]) -> Column:
     text = F.concat_ws(",", *[v.cast("string") for v in values])
-    return (text if key is None else F.concat(key.cast("string"), F.lit("\t"), text)).alias("value")
+    if key is None:
+        return text.alias("value")
+    # A null key is written as such: a line must never be lost.
+    return F.concat(F.coalesce(key.cast("string"), F.lit("null")), F.lit("\t"), text).alias("value")
 
 
 def customer_txn_summary_lines(summary: DataFrame) -> DataFrame:
@@ -69,6 +72,12 @@ def kmeans_lines(centres: DataFrame) -> DataFrame:
     )
 
 
+def in_key_order(report: DataFrame, *keys: str) -> DataFrame:
+    """The report sorted by its keys, for sinks that should be: rows are dealt out by range, so part
+    files follow one another and every one of them is written by a task of its own."""
+    return report.orderBy(*keys)
+
+
 def write_lines(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write a one-column frame of report lines."""
     lines.write.mode(mode).text(path)
@@ -80,10 +89,14 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexis
 
 
 def write_kmeans_rounds(history: DataFrame, path: str) -> None:
-    """One folder for each round, ``iteration_<n>``, replacing what an earlier run left there.
-
-    ``history`` holds at most (rounds x k) rows, already known to the driver.
+    """One folder for each round, ``iteration_<n>``. What an earlier run left under ``path`` goes first,
+    so the highest number is always this run's result.
     """
+    spark = history.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for old in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "iteration_*")) or []:
+        files.delete(old.getPath(), True)
     rounds = [row[0] for row in history.select("iteration").distinct().orderBy("iteration").collect()]
     for n in rounds:
         centres = history.where(F.col("iteration") == n).orderBy("idx").coalesce(1)

@@ -1,81 +1,113 @@
 """Typed scans of headerless comma-separated text.
 
-The schema is fixed, so no pass over the data is spent on inference, and column pruning and
-filters reach the scan. ``malformed="null"`` keeps a line with an unparsable field, with null in
-its place; ``malformed="drop"`` leaves out lines that do not fit the schema.
+The schema is fixed, so no pass over the data is spent on inference. ``malformed="null"`` keeps a
+line with an unparsable field, with null in its place, and only the columns in use are parsed.
+``malformed="drop"`` keeps a line only if it has exactly the schema's number of fields, each empty or
+of its type; which lines those are does not depend on the columns in use.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from .. import schemas
 
-_MODES = {"null": "PERMISSIVE", "drop": "DROPMALFORMED"}
+MODES = ("null", "drop")
+
+
+def _records(lines: DataFrame, schema: StructType) -> DataFrame:
+    """Lines of the column ``value`` that fit the schema in every field, typed."""
+    fields = F.split("value", ",", -1)
+
+    def typed(place: int) -> Column:
+        return F.nullif(F.trim(fields[place]), F.lit("")).try_cast(schema[place].dataType)
+
+    def text(place: int) -> Column:
+        return F.nullif(fields[place], F.lit(""))
+
+    fits = [F.size(fields) == len(schema)]
+    columns = []
+    for place, field in enumerate(schema.fields):
+        if isinstance(field.dataType, StringType):
+            columns.append(text(place).alias(field.name))
+        else:
+            fits.append((F.trim(fields[place]) == "") | typed(place).isNotNull())
+            columns.append(typed(place).alias(field.name))
+    return lines.where(reduce(lambda a, b: a & b, fits)).select(*columns)
 
 
 def read_csv(
     spark: SparkSession, path: str | list[str], schema: StructType, malformed: str = "null"
 ) -> DataFrame:
-    return spark.read.schema(schema).option("mode", _MODES[malformed]).csv(path)
+    if malformed not in MODES:
+        raise ValueError(f"malformed must be one of {MODES}")
+    if malformed == "drop":
+        return _records(spark.read.text(path), schema)
+    return spark.read.schema(schema).option("mode", "PERMISSIVE").csv(path)
 
 
-def read_customers(spark: SparkSession, path: str, malformed: str = "null") -> DataFrame:
+def read_customers(spark: SparkSession, path: str | list[str], malformed: str = "null") -> DataFrame:
     return read_csv(spark, path, schemas.CUSTOMERS, malformed)
 
 
-def read_transactions(spark: SparkSession, path: str, malformed: str = "null") -> DataFrame:
+def read_transactions(spark: SparkSession, path: str | list[str], malformed: str = "null") -> DataFrame:
     return read_csv(spark, path, schemas.TRANSACTIONS, malformed)
 
 
-def read_points(spark: SparkSession, path: str, malformed: str = "null") -> DataFrame:
+def read_points(spark: SparkSession, path: str | list[str], malformed: str = "null") -> DataFrame:
     return read_csv(spark, path, schemas.POINTS, malformed)
 
 
-def read_rectangles(spark: SparkSession, path: str, malformed: str = "null") -> DataFrame:
+def read_rectangles(spark: SparkSession, path: str | list[str], malformed: str = "null") -> DataFrame:
     return read_csv(spark, path, schemas.RECTANGLES, malformed)
 
 
-def _records(lines: DataFrame, schema: StructType) -> DataFrame:
-    """Lines with as many fields as the schema, each field cast or null."""
-    fields = F.split("value", ",", -1)
-
-    def typed(place: int) -> Column:
-        field = schema.fields[place]
-        return fields.getItem(place).try_cast(field.dataType).alias(field.name)
-
-    return lines.where(F.size(fields) == len(schema)).select(
-        *[typed(place) for place in range(len(schema))]
-    )
-
-
 def read_mixed(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """Customers and transactions lying in the same folder, told apart by their field count.
 
-    Lines with neither count are left out. Where file names tell the kinds apart, read the two
-    sets of files separately instead: this scans every line for each of the results.
+    Lines that fit neither layout in every field are left out, as ``malformed="drop"`` does. Where
+    file names tell the kinds apart, read the two sets of files separately instead: this scans every
+    line for each of the results.
     """
     lines = spark.read.text(path)
     return _records(lines, schemas.CUSTOMERS), _records(lines, schemas.TRANSACTIONS)
 
 
 def read_centres(spark: SparkSession, path: str) -> DataFrame:
-    """Centres from one small file of ``x,y`` lines, or ``x,y - STATUS`` as ``kmeans`` reports.
+    """Centres from one file of ``x,y`` lines, or ``x,y - STATUS`` as ``kmeans`` reports.
 
-    The index of a centre is its 0-based line number.
+    The index of a centre is its 0-based line number. Lines are not gathered: each is numbered by
+    how many stand before it in its part of the file and in the parts before.
     """
-    whole = spark.read.text(path, wholetext=True)
-    if len(whole.inputFiles()) != 1:
+    lines = spark.read.text(path)
+    if len(lines.inputFiles()) != 1:
         raise ValueError("centres come from exactly one file: their index is the line number")
     pattern = r"^\s*(-?\d+)\s*,\s*(-?\d+)"
+    # The lower bits of the id count within a part, the upper ones name it.
+    placed = lines.select(
+        "value", F.monotonically_increasing_id().alias("at"), F.col("_metadata.file_block_start").alias("start")
+    )
+    placed = placed.withColumns(
+        {"part": F.shiftright("at", 33), "nth": F.col("at").bitwiseAND(F.lit((1 << 33) - 1))}
+    )
+    sizes = placed.groupBy("part").agg(F.count("*").alias("n"), F.min("start").alias("start"))
+    before = {}
+    total = 0
+    for row in sorted(sizes.collect(), key=lambda row: row["start"]):
+        before[row["part"]] = total
+        total += row["n"]
+    first = F.lit(0).cast("long")
+    if before:
+        first = F.element_at(F.create_map(*[F.lit(x).cast("long") for item in before.items() for x in item]), F.col("part").cast("long"))
     return (
-        whole.select(F.posexplode(F.split(F.rtrim("value"), r"\r?\n")).alias("idx", "line"))
-        .where(F.regexp_like("line", F.lit(pattern)))
+        placed.where(F.regexp_like("value", F.lit(pattern)))
         .select(
-            "idx",
-            F.regexp_extract("line", pattern, 1).cast("int").alias("x"),
-            F.regexp_extract("line", pattern, 2).cast("int").alias("y"),
+            (first + F.col("nth")).cast("int").alias("idx"),
+            F.regexp_extract("value", pattern, 1).cast("int").alias("x"),
+            F.regexp_extract("value", pattern, 2).cast("int").alias("y"),
         )
     )

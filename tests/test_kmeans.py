@@ -107,3 +107,43 @@ def test_bad_seeds(spark):
 def test_no_points(spark):
     empty = spark.createDataFrame([], schemas.POINTS)
     assert kmeans(empty, spark.createDataFrame([(0, 1, 1)], schemas.CENTRES)).collect() == []
+
+
+def by_hand(points, centres, rounds):
+    centres = {i: (x, y) for i, x, y in centres}
+    for _ in range(rounds):
+        groups = {}
+        for x, y in points:
+            best = min(centres, key=lambda i: ((x - centres[i][0]) ** 2 + (y - centres[i][1]) ** 2, i))
+            groups.setdefault(best, []).append((x, y))
+        new = {i: tuple(int(sum(p[c] for p in g) / len(g)) for c in (0, 1)) for i, g in groups.items()}
+        moved = {i: new[i] != centres[i] for i in new}
+        centres = new
+        if not any(moved.values()):
+            break
+    return sorted((i, *centres[i], "CHANGED" if moved[i] else "UNCHANGED") for i in centres)
+
+
+@pytest.mark.parametrize("broadcast", [0, 1 << 20], ids=["shuffle", "broadcast"])
+@pytest.mark.parametrize("far", [1, 20_000_000])
+def test_cells_give_the_same_centres(spark, far, broadcast):
+    rng = random.Random(far)
+    points = [(far * rng.randint(-99, 99), far * rng.randint(-40, 90)) for _ in range(400)] + [(far * 3, far * 3)] * 200
+    seeds = [(i, far * rng.randint(-99, 99), far * rng.randint(-99, 99)) for i in range(120)]
+    seeds += [(900, *seeds[5][1:]), (901, *seeds[5][1:])]
+    df, centres = spark.createDataFrame(points, schemas.POINTS), spark.createDataFrame(seeds, schemas.CENTRES)
+    got = kmeans(df, centres, max_iter=3, literal_centres=20, broadcast_bytes=broadcast)
+    assert sorted(tuple(r) for r in got.collect()) == by_hand(points, seeds, 3)
+    history = kmeans(df, centres, max_iter=2, literal_centres=20, history=True)
+    assert sorted(history.collect()) == sorted(kmeans(df, centres, max_iter=2, history=True).collect())
+    for bad in ([(i, 1, 1) for i in range(9)] + [(0, 2, 2)], [(i, None, 1) for i in range(9)]):
+        with pytest.raises(ValueError):
+            kmeans(df, spark.createDataFrame(bad, schemas.CENTRES), literal_centres=5)
+
+
+def test_there_is_no_limit_on_seeds(spark):
+    seeds = spark.range(12_000).selectExpr("cast(id as int) as idx", "cast(id % 120 * 10 as int) as x", "cast(id div 120 * 10 as int) as y")
+    points = seeds.selectExpr("x + 3 as x", "y - 2 as y")
+    got = kmeans(points, seeds, max_iter=1)
+    assert got.count() == 12_000
+    assert got.join(seeds.selectExpr("idx", "x + 3 as ex", "y - 2 as ey"), "idx").where("x <> ex or y <> ey").isEmpty()
