@@ -14,32 +14,40 @@ from .shared import small, stored
 #: Labelled documents that the classifier is fitted on, at most.
 SAMPLE_ROWS = 4000
 #: Word beginnings that tell a domain from the rest, for each domain at most.
-TERMS = 24
+TERMS = 16
 _PREFIX = 4
-_SPACES = "\t\n\x0b\x0c\r"
-#: Shapes of a text, each with the upper bounds of its bins.
+#: Shapes of a text: the share of its bytes that are one of some signs, and the upper bounds of its bins.
 _SHAPES = {
-    "upper": ("(letters - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) / letters", (0.02, 0.06, 0.2)),
-    "marks": ("(letters - length(translate(text, '!#$%&*|<>', ''))) / letters", (0.002, 0.02, 0.08)),
-    "digits": ("(letters - length(translate(text, '0123456789', ''))) / letters", (0.002, 0.02, 0.1)),
-    "spaces": ("(letters - length(translate(text, ' ', ''))) / letters", (0.1, 0.16, 0.22)),
-    "length": ("cast(letters as double)", (200.0, 1000.0, 5000.0)),
+    "capitals": ("ETA", (0.003, 0.015, 0.06)),
+    "marks": ("!#*|", (0.0005, 0.01, 0.04)),
+    "spaces": (" ", (0.1, 0.15, 0.2)),
 }
+_LENGTHS = (200, 1000, 5000)
+
+
+def _count(sign: str) -> Column:
+    """How often an ASCII sign occurs in ``_text``: what taking it out saves."""
+    return F.octet_length("_text") - F.octet_length(F.replace(F.col("_text"), F.lit(sign), F.lit("")))
+
+
+def _bin(value: Column, bounds: tuple[float, ...]) -> Column:
+    return reduce(lambda a, b: a + b, [F.when(value > b, 1).otherwise(0) for b in bounds])
 
 
 def _prepared(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` with ``_text`` (never null), ``_tokens`` (white-space words, 1 at least), ``_low``
-    (lower case, words after single spaces) and one ``_bin_<shape>`` for each shape."""
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    out = docs.withColumn("_text", text)
-    flat = F.translate("_text", _SPACES, "     ")
-    out = out.withColumn("_low", F.concat(F.lit(" "), F.lower(flat)))
-    words = F.length("_low") - F.length(F.translate("_low", " ", ""))
+    """``docs`` with ``_text`` (never null), ``_low`` (lower case), ``_tokens`` (as many as pieces
+    between spaces and line ends, 1 at least) and one ``_bin_<shape>`` for each shape."""
+    out = docs.withColumn("_text", F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    size = F.greatest(F.octet_length("_text"), F.lit(1))
+    out = out.withColumns({"_low": F.lower("_text"), "_spaces": _count(" "), "_bin_length": _bin(size, _LENGTHS)})
     bins = {}
-    for name, (ratio, bounds) in _SHAPES.items():
-        value = F.expr(ratio.replace("letters", "greatest(length(_text), 1)").replace("(text,", "(_text,"))
-        bins[f"_bin_{name}"] = reduce(lambda a, b: a + b, [F.when(value > b, 1).otherwise(0) for b in bounds])
-    return out.withColumns({"_tokens": words.cast("long"), **bins})
+    for name, (signs, bounds) in _SHAPES.items():
+        total = F.col("_spaces") if signs == " " else reduce(lambda a, b: a + b, [_count(sign) for sign in signs])
+        bins[f"_bin_{name}"] = _bin(total / size, bounds)
+    return out.withColumns({"_tokens": (F.col("_spaces") + _count("\n") + 1).cast("long"), **bins})
+
+
+_BINS = {"_bin_length": len(_LENGTHS) + 1} | {f"_bin_{name}": len(bounds) + 1 for name, (_, bounds) in _SHAPES.items()}
 
 
 def fit_domains(
@@ -47,9 +55,9 @@ def fit_domains(
 ) -> dict:
     """A naive Bayes model of ``labelled`` (id, domain) from at most ``sample_rows`` rows a domain.
 
-    Inputs are which informative word beginnings a text has, and its binned shapes. The rows are those
-    with the least hashes; priors come from all labelled rows. The model is a small dictionary: domains, prior
-    logs, terms, and for each feature the log likelihoods by domain.
+    Inputs are which informative strings (word beginnings of the sample) a text holds, and its binned
+    shapes. The rows are those with the least hashes; priors come from all labelled rows. The model is a
+    small dictionary: domains, prior logs, terms, and for each feature the log likelihoods by domain.
     """
     known = labelled.where(F.col("domain").isNotNull() & F.col(id_col).isNotNull()).dropDuplicates([id_col])
     counts = {row["domain"]: row["count"] for row in known.groupBy("domain").count().collect()}
@@ -63,9 +71,9 @@ def fit_domains(
     ids = reduce(DataFrame.unionByName, picked)
     held = sum(min(sample_rows, n) for n in counts.values())
     sample = docs.join(small(ids, held, 64), docs[f"`{id_col}`"] == F.col("_id"))
-    shapes = [f"_bin_{name}" for name in _SHAPES]
+    shapes = list(_BINS)
     sample = stored(_prepared(sample, text_col).select("_id", "domain", "_low", *shapes).dropDuplicates(["_id"]), "mixing-sample")
-    beginnings = F.array_distinct(F.transform(F.split("_low", " +"), lambda w: F.substring(w, 1, _PREFIX)))
+    beginnings = F.array_distinct(F.transform(F.split("_low", r"\s+"), lambda w: F.substring(w, 1, _PREFIX)))
     seen = stored(
         sample.select("domain", F.explode(beginnings).alias("term"))
         .where(F.length("term") == _PREFIX)
@@ -77,17 +85,17 @@ def fit_domains(
     sizes = {d: sizes.get(d, 0) for d in domains}
     total = sum(sizes.values())
     terms: set[str] = set()
-    rows: dict[str, list[int]] = {}
     for i, d in enumerate(domains):
         inside = (F.col(f"n{i}") + 0.5) / (sizes[d] + 1)
         outside = (sum(F.col(f"n{j}") for j in range(len(domains)) if j != i) + F.lit(0.5)) / (total - sizes[d] + 1)
         gain = F.abs(F.log(inside / outside)) * F.sqrt(sum(F.col(f"n{j}") for j in range(len(domains))))
-        for row in seen.orderBy(gain.desc(), "term").limit(TERMS).collect():
-            terms.add(row["term"])
-            rows[row["term"]] = [row[f"n{j}"] for j in range(len(domains))]
+        terms.update(row["term"] for row in seen.orderBy(gain.desc(), "term").limit(TERMS).collect())
+    # A text holds a term wherever it stands, so it is counted once more that way.
+    held_by = sample.groupBy("domain").agg(*[F.count_if(F.contains("_low", F.lit(t))) for t in sorted(terms)]).collect()
+    holding = {row["domain"]: row[1:] for row in held_by}
+    rows = {t: [holding[d][i] if d in holding else 0 for d in domains] for i, t in enumerate(sorted(terms))}
     binned = sample.select("domain", F.explode(F.array(*[F.struct(F.lit(s).alias("shape"), F.col(s).alias("bin")) for s in shapes])).alias("f"))
     bins = {(r["domain"], r["shape"], r["bin"]): r["count"] for r in binned.groupBy("domain", "f.shape", "f.bin").count().collect()}
-    n_bins = {f"_bin_{name}": len(bounds) + 1 for name, (_, bounds) in _SHAPES.items()}
     return {
         "domains": domains,
         "priors": [math.log(counts[d] / sum(counts.values())) for d in domains],
@@ -99,7 +107,7 @@ def fit_domains(
             for t in sorted(terms)
         },
         "shapes": {
-            s: [[math.log((bins.get((d, s, b), 0) + 0.5) / (sizes[d] + 0.5 * n_bins[s])) for d in domains] for b in range(n_bins[s])]
+            s: [[math.log((bins.get((d, s, b), 0) + 0.5) / (sizes[d] + 0.5 * _BINS[s])) for d in domains] for b in range(_BINS[s])]
             for s in shapes
         },
     }
@@ -109,7 +117,7 @@ def domain_posteriors(docs: DataFrame, model: dict, text_col: str = "text") -> D
     """``docs`` with ``tokens`` and ``posterior``: an array in the order of ``model['domains']``."""
     count = len(model["domains"])
     scored = _prepared(docs, text_col)
-    has = {t: F.contains("_low", F.lit(" " + t)) for t in model["terms"]}
+    has = {t: F.contains("_low", F.lit(t)) for t in model["terms"]}
     scored = scored.withColumn("_has", F.array(*has.values()) if has else F.array(F.lit(False)))
     logs = []
     for k in range(count):
