@@ -73,7 +73,8 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = secret_spans(docs.select("doc_id", "text"))
     counts = [
-        F.size(F.filter("spans", lambda s, rank=rank: s["rank"] == rank)).cast("long").alias(f"n_{rule.kind}")
+        # A second argument of the lambda would be the element's index.
+        F.expr(f"cast(size(filter(spans, s -> s.rank = {rank})) as bigint)").alias(f"n_{rule.kind}")
         for rank, rule in enumerate(BASE_RULES)
     ]
     base = F.filter("spans", lambda s: s["rank"] < len(BASE_RULES))
