@@ -7,8 +7,8 @@ aggregate after, plain self-joins, brute range conditions, ``rank()``, unrolled
 from __future__ import annotations
 
 from ..functions.synthetic import MODULUS, STREAMS
-from .fixtures import FIXTURES, ID_SOURCES
-from .queries import COUNTRY_HI, COUNTRY_LO, OUTLIER_K, OUTLIER_R, QUERY_WINDOW
+from .fixtures import BAD_LINES, FIXTURES, ID_SOURCES
+from .queries import COUNTRY_HI, COUNTRY_LO, OUTLIER_K, OUTLIER_R, QUERY_WINDOW, WIDE_K, WIDE_R
 
 
 def _with(names: list[str], body: str, more: list[tuple[str, str]] | None = None) -> str:
@@ -73,26 +73,25 @@ def _least_active() -> str:
     )
 
 
-def _spatial(window: tuple[int, int, int, int] | None) -> str:
+def _spatial(window: tuple[int, int, int, int] | None, rectangles: str = "rectangles") -> str:
     extra = ""
     if window is not None:
         left, low, right, high = window
         extra = f" where p.x between {left} and {right} and p.y between {low} and {high}"
     return _with(
-        ["points", "rectangles"],
-        f"""select r.rectId, p.x, p.y from points p join rectangles r
+        ["points", rectangles],
+        f"""select r.rectId, p.x, p.y from points p join {rectangles} r
             on p.x between r.x and r.x + r.w and p.y between r.y and r.y + r.h{extra}""",
     )
 
 
-def _outliers() -> str:
+def _outliers(r: int = OUTLIER_R, k: int = OUTLIER_K, points: str = "points") -> str:
     # Rows, not collapsed positions, on cells of side r.
-    r, k = OUTLIER_R, OUTLIER_K
     return _with(
-        ["points"],
+        [points],
         f"""select a.x, a.y from near n join ids a on a.i = n.i where n.others < {k}""",
         [
-            ("ids", "select row_number() over () as i, x, y from points"),
+            ("ids", f"select row_number() over () as i, x, y from {points}"),
             ("cells", f"select i, x, y, x // {r} as cx, y // {r} as cy from ids"),
             ("shift", "select unnest([-1, 0, 1]) as d"),
             (
@@ -109,17 +108,17 @@ def _outliers() -> str:
     )
 
 
-def _kmeans(history: bool, rounds: int = 6) -> str:
+def _kmeans(history: bool, rounds: int = 6, seeds: str = "seeds") -> str:
     steps = [
         ("weighted", "select x, y, count(*) as n from points group by x, y"),
-        ("h0", "select -1 as iteration, idx, x, y, 'CHANGED' as status from seeds"),
+        ("h0", f"select -1 as iteration, idx, x, y, 'CHANGED' as status from {seeds}"),
     ]
     for i in range(rounds):
         steps += [
             (
                 f"a{i}",
                 f"""select p.x, p.y, p.n, min(((p.x-c.x)*(p.x-c.x)+(p.y-c.y)*(p.y-c.y))
-                    * cast(1000 as bigint) + c.idx) % 1000 as idx
+                    * cast(1000000 as bigint) + c.idx) % 1000000 as idx
                 from weighted p, h{i} c
                 where exists (select 1 from h{i} where status = 'CHANGED')
                 group by p.x, p.y, p.n""",
@@ -144,7 +143,7 @@ def _kmeans(history: bool, rounds: int = 6) -> str:
         if history
         else f"select {typed} where iteration = (select max(iteration) from states)"
     )
-    return _with(["points", "seeds"], body, steps)
+    return _with(["points", seeds], body, steps)
 
 
 _CELLS = (
@@ -309,6 +308,21 @@ def build_oracles() -> dict[str, str]:
             ["cast(id - 1 as int) as idx", *_ints(x=(1, 10000, 6), y=(1, 10000, 7))],
         ),
     }
+    sql |= {
+        "country_txn_report_shuffled": _country(),
+        "age_gender_spend_shuffled": _age_gender(True),
+        "spatial_join_shuffled": _spatial(None),
+        "spatial_join_mixed": _spatial(None, "mixed_rectangles"),
+        "spatial_join_mixed_shuffled": _spatial(None, "mixed_rectangles"),
+        "distance_outliers_wide": _outliers(WIDE_R, WIDE_K),
+        "distance_outliers_crowded": _outliers(WIDE_R, WIDE_K),
+        "distance_outliers_rare": _outliers(points="piled_points"),
+        "kmeans_many": _kmeans(False, seeds="many_seeds"),
+        "kmeans_many_by_cells": _kmeans(False, seeds="many_seeds"),
+        # The rows whose line fits.
+        "text_customers": _with(["customers"], f"select * from customers where ID % {BAD_LINES} > 2"),
+        "text_transactions": _with(["transactions"], f"select * from transactions where TransID % {BAD_LINES} > 2"),
+    }
     tab = "chr(9)"
     lines = {
         "customer_txn_summary": f"cast(ID as varchar) || {tab} || Name || ',' || cast(Salary as varchar)"

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from .. import operators as op
-from ..sources import generators, sinks
-from .fixtures import fixture, generator_ids
+from .. import schemas
+from ..sources import generators, sinks, text
+from .fixtures import fixture, generator_ids, record_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 COUNTRY_HI, COUNTRY_LO = 180, 105
 QUERY_WINDOW = (2000, 1000, 6000, 7000)
 OUTLIER_R, OUTLIER_K = 50, 3
+WIDE_R, WIDE_K = 400, 150
 
 
 def _on(function: Callable[..., DataFrame], *names: str, **options: object) -> Query:
@@ -29,6 +32,10 @@ def _generated(function: Callable[..., DataFrame], name: str) -> Query:
     return lambda spark, sf_dir: function(generator_ids(spark, sf_dir, name))
 
 
+def _parsed(name: str, schema: StructType) -> Query:
+    return lambda spark, sf_dir: text.parse_records(record_lines(spark, sf_dir, name), schema)
+
+
 def _then(query: Query, function: Callable[..., DataFrame], **options: object) -> Query:
     return lambda spark, sf_dir: function(query(spark, sf_dir), **options)
 
@@ -68,6 +75,31 @@ def build_queries() -> dict[str, Query]:
         "gen_rectangles": _generated(generators.rectangles_from_ids, "gen_rectangles"),
         "gen_seeds": _generated(generators.seeds_from_ids, "gen_seeds"),
     }
+    # Where tables are small the plans meant for large ones are not taken by themselves.
+    named |= {
+        "country_txn_report_shuffled": _on(
+            op.country_txn_report, "customers", "transactions", broadcast_bytes=0
+        ),
+        "age_gender_spend_shuffled": _on(
+            op.age_gender_spend, "customers", "transactions", broadcast_bytes=0
+        ),
+        "spatial_join_shuffled": _on(op.spatial_join, "points", "rectangles", broadcast_bytes=0),
+        "spatial_join_mixed": _on(op.spatial_join, "points", "mixed_rectangles"),
+        "spatial_join_mixed_shuffled": _on(
+            op.spatial_join, "points", "mixed_rectangles", broadcast_bytes=0
+        ),
+        "distance_outliers_wide": _on(op.distance_outliers, "points", r=WIDE_R, k=WIDE_K),
+        "distance_outliers_crowded": _on(
+            op.distance_outliers, "points", r=WIDE_R, k=WIDE_K, crowd=0
+        ),
+        "distance_outliers_rare": _on(
+            op.distance_outliers, "piled_points", r=OUTLIER_R, k=OUTLIER_K
+        ),
+        "kmeans_many": _on(op.kmeans, "points", "many_seeds"),
+        "kmeans_many_by_cells": _on(op.kmeans, "points", "many_seeds", literal_centres=0),
+        "text_customers": _parsed("customers", schemas.CUSTOMERS),
+        "text_transactions": _parsed("transactions", schemas.TRANSACTIONS),
+    }
     density = named["relative_density"]
     named["top_dense_cells"] = _then(density, op.top_dense_cells)
     named["top_dense_neighbors"] = _then(density, op.top_dense_neighbors)

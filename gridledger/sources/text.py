@@ -19,7 +19,7 @@ from .. import schemas
 MODES = ("null", "drop")
 
 
-def _records(lines: DataFrame, schema: StructType) -> DataFrame:
+def parse_records(lines: DataFrame, schema: StructType) -> DataFrame:
     """Lines of the column ``value`` that fit the schema in every field, typed."""
     fields = F.split("value", ",", -1)
 
@@ -46,7 +46,7 @@ def read_csv(
     if malformed not in MODES:
         raise ValueError(f"malformed must be one of {MODES}")
     if malformed == "drop":
-        return _records(spark.read.text(path), schema)
+        return parse_records(spark.read.text(path), schema)
     return spark.read.schema(schema).option("mode", "PERMISSIVE").csv(path)
 
 
@@ -74,7 +74,7 @@ def read_mixed(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, D
     line for each of the results.
     """
     lines = spark.read.text(path)
-    return _records(lines, schemas.CUSTOMERS), _records(lines, schemas.TRANSACTIONS)
+    return parse_records(lines, schemas.CUSTOMERS), parse_records(lines, schemas.TRANSACTIONS)
 
 
 def read_centres(spark: SparkSession, path: str) -> DataFrame:

@@ -172,6 +172,34 @@ def test_outliers_share_scan_and_shuffles(spark, shuffled):
     assert len(re.findall(r"- Exchange hashpartitioning", text)) == 4
 
 
+def test_outliers_split_a_hot_cell(spark, shuffled):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    # A third of all points lie in one cell, nearly all of them in different positions.
+    hot = spark.range(0, 30_000, numPartitions=8).selectExpr(
+        "cast(id * 7919 % 997 as int) as x", "cast(id * 6271 % 991 as int) as y"
+    )
+    rest = spark.range(0, 60_000, numPartitions=8).selectExpr(
+        "cast(id * 104729 % 200003 as int) as x", "cast(id * 15485863 % 200009 as int) as y"
+    )
+    points = hot.union(rest)
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        found = op.distance_outliers(points, r=1000, k=4, crowd=1000)
+        assert "skew=true" in executed(found)
+        got = sorted(tuple(row) for row in found.collect())
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got and got == sorted(tuple(row) for row in op.distance_outliers(points, r=1000, k=4).collect())
+
+
 def test_rare_outliers_shuffle_only_points_near_them(spark):
     points = spark.range(0, 200_000, numPartitions=4).selectExpr(
         "cast(if(id = 0, -5000, id % 300) as int) as x", "cast(id * 7919 % 300 as int) as y"
