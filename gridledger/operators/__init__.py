@@ -8,7 +8,7 @@ from .customers import (
     customer_txn_summary,
     least_active_customers,
 )
-from .density import grid_cell_counts, relative_density, top_dense_cells, top_dense_neighbors
+from .density import grid_cell_counts, rank_cells, relative_density, top_dense_cells, top_dense_neighbors
 from .spatial import distance_outliers, spatial_join
 from .transactions import (
     customer_count_pair,
@@ -32,6 +32,7 @@ __all__ = [
     "items_spend_stats",
     "kmeans",
     "least_active_customers",
+    "rank_cells",
     "rare_big_spenders",
     "rare_of_counts",
     "relative_density",

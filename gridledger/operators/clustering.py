@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 from functools import reduce
 
@@ -10,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.artefacts import artefacts, new_path, stored
 from ..functions.sizing import BROADCAST_BYTES
 
 # Up to this many centres they travel as literals inside the plan; more are a table, looked up by cell.
@@ -87,18 +87,6 @@ def _step(points: DataFrame, centres: Sequence[Row], tol: int, iteration: int) -
     return states
 
 
-def _shared(df: DataFrame) -> DataFrame:
-    """``df`` checkpointed to the folder in ``spark.checkpoint.dir``; a local session may go without one."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="gridledger-")
-        spark.sparkContext.setCheckpointDir(folder)
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return df.checkpoint()
-
-
 def candidate_cells(centres: DataFrame, low: tuple[int, int], bits: int, leaf: int = _LEAF) -> DataFrame:
     """Cells (level, cx, cy) that tile a square, each with the centres that can be nearest within it.
 
@@ -128,7 +116,7 @@ def candidate_cells(centres: DataFrame, low: tuple[int, int], bits: int, leaf: i
         bounds = measured.groupBy("cx", "cy").agg(F.expr("min(far) * (1 + 1e-9D) as bound"))
         kept = measured.join(bounds, ["cx", "cy"]).where("near <= bound").drop("near", "far", "bound")
         counts = kept.groupBy("cx", "cy").agg(F.expr("count(*) as n"))
-        kept = _shared(kept.join(counts, ["cx", "cy"]))
+        kept = stored(kept.join(counts, ["cx", "cy"]), "open-cells")
         full = f"n > {leaf}" if level < bits else "false"
         done.append(
             kept.where(f"not ({full})")
@@ -168,7 +156,7 @@ def _kmeans_by_cells(
     points: DataFrame, seeds: DataFrame, max_iter: int, tol: int, history: bool, broadcast_bytes: int
 ) -> DataFrame:
     """``kmeans`` with the centres in a table: neither the driver nor the plan's text grows with them."""
-    centres = _shared(seeds.selectExpr("cast(idx as int) as idx", "cast(x as int) as x", "cast(y as int) as y"))
+    centres = stored(seeds.selectExpr("cast(idx as int) as idx", "cast(x as int) as x", "cast(y as int) as y"), "seeds")
     checked = centres.agg(
         F.expr("count(*) as n"), F.expr("count(distinct idx) as ids"), F.expr("count_if(x is null or y is null or idx is null) as nulls")
     ).first()
@@ -183,17 +171,21 @@ def _kmeans_by_cells(
     bits = max(1, extent.bit_length())
     rounds = []
     for iteration in range(max_iter):
-        cells = _shared(candidate_cells(centres, low, bits))
-        sums = _assigned(points, cells, low, extent >= 1 << 30, broadcast_bytes).groupBy("idx").agg(
-            F.expr("sum(x) as sx"), F.expr("sum(y) as sy"), F.expr("count(*) as n")
-        )
-        moved = sums.selectExpr("idx", "cast(sx div n as int) as x", "cast(sy div n as int) as y").join(
-            centres.selectExpr("idx", "x as ox", "y as oy"), "idx"
-        )
-        gap = " + ".join(f"pow(cast({c} as double) - o{c}, 2)" for c in "xy")
-        states = _shared(
-            moved.selectExpr(f"{iteration} as iteration", "idx", "x", "y", f"if({gap} >= {float(tol) ** 2}D, 'CHANGED', 'UNCHANGED') as status")
-        )
+        path = new_path(points.sparkSession, "centres")
+        # What a round looks up is gone after it; only its centres stay.
+        with artefacts(points.sparkSession):
+            cells = stored(candidate_cells(centres, low, bits), "cells")
+            sums = _assigned(points, cells, low, extent >= 1 << 30, broadcast_bytes).groupBy("idx").agg(
+                F.expr("sum(x) as sx"), F.expr("sum(y) as sy"), F.expr("count(*) as n")
+            )
+            moved = sums.selectExpr("idx", "cast(sx div n as int) as x", "cast(sy div n as int) as y").join(
+                centres.selectExpr("idx", "x as ox", "y as oy"), "idx"
+            )
+            gap = " + ".join(f"pow(cast({c} as double) - o{c}, 2)" for c in "xy")
+            states = stored(
+                moved.selectExpr(f"{iteration} as iteration", "idx", "x", "y", f"if({gap} >= {float(tol) ** 2}D, 'CHANGED', 'UNCHANGED') as status"),
+                "centres", path=path,
+            )
         rounds.append(states)
         if states.where("status = 'CHANGED'").isEmpty():
             break

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.grid import NEIGHBOUR_OFFSETS, cell_index, offset_rows
+from ..functions.ordered import with_rank
+
 
 def _columns(cell: int, extent: int) -> int:
     if cell < 1 or extent < 1:
@@ -88,6 +90,14 @@ def top_dense_cells(density: DataFrame, k: int = 50) -> DataFrame:
     return density.where(value >= cut.scalar()).select("cell_id", "I_X")
 
 
+def rank_cells(density: DataFrame) -> DataFrame:
+    """Every cell with its rank by falling I_X, as SQL's ``rank()`` gives it; null I_X last.
+
+    Ties share a rank and the next value skips. No window sees all cells: see ``with_rank``.
+    """
+    return with_rank(density.select("cell_id", "I_X"), "I_X")
+
+
 def top_dense_neighbors(
     density: DataFrame, k: int = 50, cell: int = 20, extent: int = 10000
 ) -> DataFrame:

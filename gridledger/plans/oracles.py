@@ -264,6 +264,7 @@ def build_oracles() -> dict[str, str]:
         "relative_density": _with(
             ["points"], "select cell_id, cell_count, neighbor_avg, I_X from density", _DENSITY
         ),
+        "cell_ranks": _with(["points"], "select cell_id, I_X, place as rank from ranked", _DENSITY),
         "top_dense_cells": _with(["points"], "select cell_id, I_X from top", _DENSITY),
         "top_dense_neighbors": _with(
             ["points"],

@@ -101,6 +101,7 @@ def build_queries() -> dict[str, Query]:
         "text_transactions": _parsed("transactions", schemas.TRANSACTIONS),
     }
     density = named["relative_density"]
+    named["cell_ranks"] = _then(density, op.rank_cells)
     named["top_dense_cells"] = _then(density, op.top_dense_cells)
     named["top_dense_neighbors"] = _then(density, op.top_dense_neighbors)
 
