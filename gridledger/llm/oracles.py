@@ -43,6 +43,17 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 o
 from ruled left join verdicts using (source)
 """
 
+#: Equal texts by themselves, without a hash of them.
+OP12 = r"""
+with texts as (
+  select doc_id, row_number() over () as r, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as norm
+  from documents),
+placed as (
+  select doc_id, norm, count(*) over (partition by norm) as group_size, min(doc_id) over (partition by norm) as keep_id,
+    row_number() over (partition by norm order by doc_id nulls last, r) = 1 as kept from texts)
+select doc_id, keep_id, group_size, kept, sha256(norm) as text_sha256 from placed
+"""
+
 
 def build_oracles() -> dict[str, str]:
-    return {"op1_quality_rules": OP1}
+    return {"op1_quality_rules": OP1, "op12_exact_dedup": OP12}

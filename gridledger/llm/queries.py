@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .byte_network import quality_network, quality_scores
+from .exact_copies import exact_copies
 from .languages import identify_languages, language_model
 from .mixing import mixing_rates
 from .packing import pack_documents
@@ -99,6 +100,10 @@ def op10_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_copies(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -117,5 +122,6 @@ def build_queries() -> dict[str, Query]:
         "op8_cost_packing": op8_cost_packing,
         "op9_pruned_graph": op9_pruned_graph,
         "op10_differencing_shards": op10_differencing_shards,
+        "op12_exact_dedup": op12_exact_dedup,
         "pipeline": pipeline,
     }

@@ -2,40 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: A side of a join is broadcast only if its measured bytes stay below this.
-BROADCAST_BYTES = 32 << 20
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Where it is unset, a local session gets a temporary folder; on a cluster that is an error.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith(("local[", "local")) or "cluster" in spark.sparkContext.master:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = "file://" + tempfile.mkdtemp(prefix="gridledger-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+from ..functions.artefacts import shared_folder, stored
 
+__all__ = ["BROADCAST_BYTES", "add_columns", "shared_folder", "small", "stored"]
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: later plans start from these files,
-    also when an executor is lost. The files live as long as the checkpoint folder does."""
-    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: A side of a join is broadcast only if its measured bytes stay below this.
+BROADCAST_BYTES = 32 << 20
 
 
 def small(df: DataFrame, rows: int, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
