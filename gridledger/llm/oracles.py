@@ -54,6 +54,71 @@ placed as (
 select doc_id, keep_id, group_size, kept, sha256(norm) as text_sha256 from placed
 """
 
+#: Nodes as groups of equal prefixes; what lies under a node by the paths of the smallest members. The
+#: first part is CRC-32 one bit after another.
+OP11 = """
+with recursive ids as (select distinct conv_id as c, cast(conv_id as varchar) as s from conversations where conv_id is not null),
+crc(c, s, b, v) as (
+  select c, s, 0, xor(cast(4294967295 as bigint), ascii(s[1])) from ids
+  union all
+  select c, s, b + 1, xor(case when v % 2 = 1 then xor(v >> 1, cast(3988292384 as bigint)) else v >> 1 end,
+    case when (b + 1) % 8 = 0 and (b + 1) // 8 < length(s) then ascii(s[(b + 1) // 8 + 1]) else 0 end)
+  from crc where b < 8 * length(s)),
+taken as (
+  select c, c - c % 5 as lender, xor(v, cast(4294967295 as bigint)) % 9 as h from crc where b = 8 * length(s)),
+turns as (
+  select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, role, text) as nth
+  from conversations where conv_id is not null),
+rebuilt as (
+  select t.c, 0 as own, x.nth, role, text from taken t join turns x on x.c = t.lender and x.nth <= t.h
+  union all
+  select t.c, 1, x.nth, role, text from taken t join turns x on x.c = t.c and x.nth > t.h),
+marked as (
+  select c, row_number() over w as d, strlen(text) as bytes,
+    string_agg(md5(strlen(role) || ':' || role || ':' || text), ',') over w as k
+  from rebuilt window w as (partition by c order by own, nth)),
+paths as (select c, d, bytes, k from marked union all select c, 0, 0, '' from ids),
+lengths as (select c, max(d) as len from paths group by c),
+nodes as (
+  select d, k, min(p.c) as c, count(*) as n, any_value(bytes) as bytes,
+    coalesce(string_agg(cast(case when len = d then p.c end as varchar), ',' order by p.c), '') as ends
+  from paths p join lengths l using (c) group by d, k),
+linked as (
+  select v.*, u.c as parent_c, u.k as parent_k from nodes v
+  left join paths p on p.c = v.c and p.d = v.d - 1 left join nodes u on u.d = p.d and u.k = p.k),
+children as (select parent_k as k, d - 1 as d, count(*) as children from linked where d > 0 group by all),
+whole as (select l.*, coalesce(children, 0) as children from linked l left join children ch on ch.k = l.k and ch.d = l.d),
+under as (
+  select p.d, p.k, count_if(v.children = 0) as leaves, sum((v.n - 1) * v.bytes) as saved
+  from whole v join paths p on p.c = v.c and p.d <= v.d group by p.d, p.k)
+select w.c as conv_id, cast(w.d as bigint) as depth, parent_c as parent_conv_id, n as n_convs, children as n_children,
+  cast(leaves as bigint) as n_leaves, cast(saved as bigint) as saved_tokens, sha256(ends) as ends_sha256
+from whole w join under u on u.d = w.d and u.k = w.k
+"""
+
+#: Every anchor with every row.
+OP13 = """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, b.vec_id, b.label = a.label as same, cast(list_dot_product(a.v, b.v) as bigint) as score
+  from rows a join rows b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id,
+  cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as int) as rank,
+  vec_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and score <= positive_score
+qualify rank <= 5
+"""
+
 
 def build_oracles() -> dict[str, str]:
-    return {"op1_quality_rules": OP1, "op12_exact_dedup": OP12}
+    return {"op1_quality_rules": OP1, "op11_prefix_trie": OP11, "op12_exact_dedup": OP12, "op13_hard_negatives": OP13}

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from .byte_network import quality_network, quality_scores
 from .exact_copies import exact_copies
+from .hard_negatives import hard_negatives
 from .languages import identify_languages, language_model
 from .mixing import mixing_rates
 from .packing import pack_documents
+from .prefix_trie import prefix_trie
 from .quality_rules import METRICS, quality_rules
 from .secrets import BASE_RULES, secret_spans, spans_text
 from .sharding import shard_documents
@@ -100,10 +102,18 @@ def op10_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -122,6 +132,8 @@ def build_queries() -> dict[str, Query]:
         "op8_cost_packing": op8_cost_packing,
         "op9_pruned_graph": op9_pruned_graph,
         "op10_differencing_shards": op10_differencing_shards,
+        "op11_prefix_trie": op11_prefix_trie,
         "op12_exact_dedup": op12_exact_dedup,
+        "op13_hard_negatives": op13_hard_negatives,
         "pipeline": pipeline,
     }
