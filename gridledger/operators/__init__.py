@@ -9,6 +9,7 @@ from .customers import (
     least_active_customers,
 )
 from .density import grid_cell_counts, rank_cells, relative_density, top_dense_cells, top_dense_neighbors
+from .neighbours import neighbour_counts
 from .spatial import distance_outliers, spatial_join
 from .transactions import (
     customer_count_pair,
@@ -32,6 +33,7 @@ __all__ = [
     "items_spend_stats",
     "kmeans",
     "least_active_customers",
+    "neighbour_counts",
     "rank_cells",
     "rare_big_spenders",
     "rare_of_counts",

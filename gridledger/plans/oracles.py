@@ -108,6 +108,21 @@ def _outliers(r: int = OUTLIER_R, k: int = OUTLIER_K, points: str = "points") ->
     )
 
 
+def _neighbours(r: int, points: str = "points") -> str:
+    # Every position with all of those in the cells of side r around it.
+    return _with(
+        [points],
+        f"""select a.x, a.y, any_value(a.m) as copies, cast(sum(o.m) - 1 as bigint) as neighbours
+            from asked a join spots o on a.cx = o.cx and a.cy = o.cy
+                and (a.x-o.x)*(a.x-o.x)+(a.y-o.y)*(a.y-o.y) <= {r * r} group by a.x, a.y""",
+        [
+            ("spots", f"select x, y, x // {r} as cx, y // {r} as cy, count(*) as m from {points} group by x, y"),
+            ("shift", "select unnest([-1, 0, 1]) as d"),
+            ("asked", "select x, y, m, cx + a.d as cx, cy + b.d as cy from spots, shift a, shift b"),
+        ],
+    )
+
+
 def _kmeans(history: bool, rounds: int = 6, seeds: str = "seeds") -> str:
     steps = [
         ("weighted", "select x, y, count(*) as n from points group by x, y"),
@@ -318,6 +333,9 @@ def build_oracles() -> dict[str, str]:
         "distance_outliers_wide": _outliers(WIDE_R, WIDE_K),
         "distance_outliers_crowded": _outliers(WIDE_R, WIDE_K),
         "distance_outliers_rare": _outliers(points="piled_points"),
+        "neighbour_counts": _neighbours(OUTLIER_R),
+        "neighbour_counts_wide": _neighbours(WIDE_R),
+        "neighbour_counts_piled": _neighbours(OUTLIER_R, "piled_points"),
         "kmeans_many": _kmeans(False, seeds="many_seeds"),
         "kmeans_many_by_cells": _kmeans(False, seeds="many_seeds"),
         # The rows whose line fits.

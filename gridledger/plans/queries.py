@@ -95,6 +95,9 @@ def build_queries() -> dict[str, Query]:
         "distance_outliers_rare": _on(
             op.distance_outliers, "piled_points", r=OUTLIER_R, k=OUTLIER_K
         ),
+        "neighbour_counts": _on(op.neighbour_counts, "points", r=OUTLIER_R),
+        "neighbour_counts_wide": _on(op.neighbour_counts, "points", r=WIDE_R, pairs=256),
+        "neighbour_counts_piled": _on(op.neighbour_counts, "piled_points", r=OUTLIER_R),
         "kmeans_many": _on(op.kmeans, "points", "many_seeds"),
         "kmeans_many_by_cells": _on(op.kmeans, "points", "many_seeds", literal_centres=0),
         "text_customers": _parsed("customers", schemas.CUSTOMERS),
