@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -146,10 +147,10 @@ class AnchorBlock:
 def _matrices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The vectors of a batch, scaled to whole numbers, by length: (rows, matrix)."""
     lists = batch.column(column)
-    sizes = np.asarray(pa.compute.list_value_length(lists))
+    sizes = np.asarray(pc.list_value_length(lists))
     for size in np.unique(sizes):
         rows = np.flatnonzero(sizes == size)
-        flat = pa.compute.list_flatten(lists.take(pa.array(rows)))
+        flat = pc.list_flatten(lists.take(pa.array(rows)))
         matrix = np.asarray(flat).astype(np.float64).reshape(len(rows), size)
         yield rows, np.floor(256.0 * matrix)
 
