@@ -69,12 +69,13 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{folders[-1] if folders else shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str, by: list[str] | None = None, path: str | None = None) -> DataFrame:
+def stored(df: DataFrame, label: str, by: list[str] | None = None, path: str | None = None, **options: str) -> DataFrame:
     """``df`` written once and read back, split into folders by the columns ``by`` if given: filters
-    on these skip files. ``path``, from ``new_path``, places it in another scope than the innermost."""
+    on these skip files. ``path``, from ``new_path``, places it in another scope than the innermost; ``options``
+    are the writer's, with a double underscore for a dot."""
     spark = df.sparkSession
     path = path or new_path(spark, label)
-    writer = df.write
+    writer = df.write.options(**{key.replace("__", "."): value for key, value in options.items()})
     if by:
         writer = writer.partitionBy(*by)
     writer.parquet(path)

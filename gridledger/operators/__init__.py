@@ -1,6 +1,6 @@
 """DataFrame in, DataFrame out."""
 
-from .clustering import kmeans
+from .clustering import assign_centres, kmeans
 from .customers import (
     age_gender_spend,
     country_size_outliers,
@@ -22,6 +22,7 @@ from .transactions import (
 
 __all__ = [
     "age_gender_spend",
+    "assign_centres",
     "country_size_outliers",
     "country_txn_report",
     "customer_count_pair",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.artefacts import artefacts, new_path, stored
-from ..functions.sizing import BROADCAST_BYTES
+from ..functions.grid import merged_ranges, z_order
+from ..functions.sizing import BROADCAST_BYTES, ROW_OVERHEAD
 
 # Up to this many centres they travel as literals inside the plan; more are a table, looked up by cell.
 LITERAL_CENTRES = 1000
@@ -22,6 +24,19 @@ _LEAF = 16
 # Beyond it the generated method would pass the 8000 bytecodes up to which the JVM compiles one.
 _FLAT_CENTRES = 32
 
+# From so many points on, k-means sums up cells once; a round then reads the points of border cells only.
+REUSE_POINTS = 1 << 21
+
+# Points of a cell, were they spread evenly.
+_CELL_POINTS = 256
+
+# Squares of cells, at most, that the driver is told to lie on a border; and ranges of them in a filter.
+_TILES = 1 << 12
+_RANGES = 64
+
+# Bytes of a row group of the placed points: what a filter can skip.
+_GROUP_BYTES = 1 << 20
+
 _STATES = T.StructType(
     [
         T.StructField("iteration", T.IntegerType(), False),
@@ -68,14 +83,68 @@ def nearest_centre(x: str, y: str, centres: Sequence[Row]) -> Column:
                   if widest >= 2**63 else f"cast(pmod(cast({best} as bigint), {k}) as int)")
 
 
-def _step(points: DataFrame, centres: Sequence[Row], tol: int, iteration: int) -> list[Row]:
-    """One round over all points; brings back one row for each centre that has points."""
-    sums = (
-        points.groupBy(nearest_centre("x", "y", centres).alias("place"))
-        .agg(F.sum("x").alias("sx"), F.sum("y").alias("sy"), F.count("*").alias("n"))
-        .selectExpr("place", "cast(sx div n as int) as x", "cast(sy div n as int) as y")
-        .collect()
-    )
+class PlacedPoints:
+    """Points in the order of a grid's cells, and what each cell adds up to.
+
+    Voronoi regions are convex, with ties going to the first centre as well: if the four corners of the box
+    around a cell's points are nearest to one centre, so are all points in it. Such a cell counts as
+    its sums; only the points of the others, on borders between centres, are looked at one by one.
+    """
+
+    def __init__(self, points: DataFrame, cell_points: int = _CELL_POINTS) -> None:
+        ends = [f"{f}({c}) as {f}{c}" for f in ("min", "max") for c in "xy"]
+        box = points.selectExpr(*ends, "count(*) as n").first()
+        span = max(box["maxx"] - box["minx"], box["maxy"] - box["miny"]) + 1 if box["n"] else 1
+        across = max(1, min(span, math.isqrt(box["n"] // cell_points)))
+        side = -(-span // across)
+        cx, cy = (f"((cast({c} as bigint) - {box['min' + c] or 0}L) div {side}L)" for c in "xy")
+        parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.points = stored(
+            # By x and y too, so that a cell with any share of the points is split.
+            points.selectExpr("x", "y", f"{z_order(cx, cy)} as cell").repartitionByRange(parts, "cell", "x", "y").sortWithinPartitions("cell"),
+            "placed-points", parquet__block__size=str(_GROUP_BYTES),
+        )
+        self.cells = stored(
+            self.points.groupBy("cell").agg(
+                F.sum("x").alias("sx"), F.sum("y").alias("sy"), F.count("*").alias("n"),
+                F.min("x").alias("x1"), F.max("x").alias("x2"), F.min("y").alias("y1"), F.max("y").alias("y2"),
+            ),
+            "cell-sums",
+        )
+        # Keys have two bits for each doubling of the cells across.
+        self.tile_bits = max(0, 2 * (across - 1).bit_length() - (_TILES - 1).bit_length())
+
+    def border(self, centres: Sequence[Row], broadcast_bytes: int) -> tuple[DataFrame, DataFrame]:
+        """(place, sx, sy, n) of the cells that one centre owns, and the points of all others."""
+        corners = [nearest_centre(x, y, centres).alias(f"c{n}") for n, (x, y) in enumerate([("x1", "y1"), ("x1", "y2"), ("x2", "y1"), ("x2", "y2")])]
+        told = self.cells.select("cell", "sx", "sy", "n", *corners)
+        own = "c0 = c1 and c0 = c2 and c0 = c3"
+        shared = told.where(f"not ({own})").select("cell")
+        tiles = shared.groupBy(F.expr(f"cell >> {self.tile_bits}").alias("tile")).agg(F.count("*").alias("cells")).collect()
+        ranges = merged_ranges([row["tile"] for row in tiles], _RANGES)
+        bits = self.tile_bits
+        skip = " or ".join(f"cell between {a << bits}L and {((b + 1) << bits) - 1}L" for a, b in ranges) or "false"
+        if sum(row["cells"] for row in tiles) * (ROW_OVERHEAD + 8) <= broadcast_bytes:
+            shared = F.broadcast(shared)
+        return told.where(own).selectExpr("c0 as place", "sx", "sy", "n"), self.points.where(skip).join(shared, "cell", "left_semi")
+
+
+def _sums(points: DataFrame | PlacedPoints, centres: Sequence[Row], broadcast_bytes: int) -> DataFrame:
+    """(place, sx, sy, n): sums of the points nearest to each centre."""
+    if isinstance(points, DataFrame):
+        return points.groupBy(nearest_centre("x", "y", centres).alias("place")).agg(
+            F.sum("x").alias("sx"), F.sum("y").alias("sy"), F.count("*").alias("n")
+        )
+    owned, rest = points.border(centres, broadcast_bytes)
+    single = rest.select(nearest_centre("x", "y", centres).alias("place"), F.col("x").cast("long"), F.col("y").cast("long"), F.lit(1).cast("long"))
+    return owned.union(single).groupBy("place").agg(F.sum("sx").alias("sx"), F.sum("sy").alias("sy"), F.sum("n").alias("n"))
+
+
+def _step(
+    points: DataFrame | PlacedPoints, centres: Sequence[Row], tol: int, iteration: int, broadcast_bytes: int = BROADCAST_BYTES
+) -> list[Row]:
+    """One round; brings back one row for each centre that has points."""
+    sums = _sums(points, centres, broadcast_bytes).selectExpr("place", "cast(sx div n as int) as x", "cast(sy div n as int) as y").collect()
     states = []
     for new in sorted(sums, key=lambda row: row["place"]):
         old = centres[new["place"]]
@@ -134,29 +203,26 @@ def candidate_cells(centres: DataFrame, low: tuple[int, int], bits: int, leaf: i
 
 
 def _assigned(points: DataFrame, cells: DataFrame, low: tuple[int, int], wide: bool, broadcast_bytes: int) -> DataFrame:
-    """Each point with ``idx`` of its nearest centre, the lowest on ties."""
+    """All columns of the points (x, y and others), with ``idx`` of the nearest centre, the lowest on ties, and
+    ``dist2``, the square of its distance."""
     sizes = cells.groupBy("level").agg(F.first("size").alias("size"), F.expr("sum(size(near_centres) + 4) as entries")).collect()
     levels = ", ".join(f"struct({row['level']} as level, {row['size']}L as size)" for row in sizes)
     if sum(row["entries"] for row in sizes) * 32 <= broadcast_bytes:
         cells = F.broadcast(cells)
     number = "decimal(38,0)" if wide else "bigint"
-    dx, dy = (f"(cast(p{c} as {number}) - cast(c.{c} as {number}))" for c in "xy")
+    dx, dy = (f"(cast(p.{c} as {number}) - cast(c.{c} as {number}))" for c in "xy")
     return (
-        points.selectExpr("x as px", "y as py", f"explode(array({levels})) as l")
-        .selectExpr("px", "py", "l.level", f"(px - {low[0]}L) div l.size as cx", f"(py - {low[1]}L) div l.size as cy")
+        points.select(F.struct(*[F.col(f"`{c}`") for c in points.columns]).alias("p"), F.expr(f"explode(array({levels})) as l"))
+        .selectExpr("p", "l.level", f"(p.x - {low[0]}L) div l.size as cx", f"(p.y - {low[1]}L) div l.size as cy")
         .join(cells, ["level", "cx", "cy"])
-        .selectExpr(
-            "px as x", "py as y",
-            f"array_min(transform(near_centres, c -> struct({dx} * {dx} + {dy} * {dy} as d, c.idx as idx))).idx as idx",
-        )
+        .selectExpr("p", f"array_min(transform(near_centres, c -> struct({dx} * {dx} + {dy} * {dy} as d, c.idx as idx))) as best")
+        .selectExpr("p.*", "best.idx as idx", "best.d as dist2")
     )
 
 
-def _kmeans_by_cells(
-    points: DataFrame, seeds: DataFrame, max_iter: int, tol: int, history: bool, broadcast_bytes: int
-) -> DataFrame:
-    """``kmeans`` with the centres in a table: neither the driver nor the plan's text grows with them."""
-    centres = stored(seeds.selectExpr("cast(idx as int) as idx", "cast(x as int) as x", "cast(y as int) as y"), "seeds")
+def _checked_table(centres: DataFrame) -> DataFrame:
+    """The centres, stored, once they are seen to be sound."""
+    centres = stored(centres.selectExpr("cast(idx as int) as idx", "cast(x as int) as x", "cast(y as int) as y"), "seeds")
     checked = centres.agg(
         F.expr("count(*) as n"), F.expr("count(distinct idx) as ids"), F.expr("count_if(x is null or y is null or idx is null) as nulls")
     ).first()
@@ -164,10 +230,65 @@ def _kmeans_by_cells(
         raise ValueError("a seed has a null idx, x or y")
     if checked["ids"] < checked["n"]:
         raise ValueError("seeds share an idx")
+    return centres
+
+
+def _checked_literals(given: Sequence[Row]) -> Sequence[Row]:
+    if any(value is None for seed in given for value in seed):
+        raise ValueError("a seed has a null idx, x or y")
+    centres = sorted(given, key=lambda seed: seed["idx"])
+    if len({seed["idx"] for seed in centres}) < len(centres):
+        raise ValueError("seeds share an idx")
+    return centres
+
+
+def _bounds(points: DataFrame, centres: DataFrame) -> tuple[tuple[int, int], int]:
+    """Corner and extent of the square that holds points and centres."""
     ends = [f"{f}({c}) as {f}{c}" for f in ("min", "max") for c in "xy"]
-    box = points.unionByName(centres.select("x", "y")).selectExpr(*ends).first()
-    low = (box["minx"], box["miny"])
-    extent = max(box["maxx"] - low[0], box["maxy"] - low[1])
+    box = points.select("x", "y").unionByName(centres.select("x", "y")).selectExpr(*ends).first()
+    return (box["minx"], box["miny"]), max(box["maxx"] - box["minx"], box["maxy"] - box["miny"])
+
+
+def assign_centres(
+    points: DataFrame, centres: DataFrame, literal_centres: int = LITERAL_CENTRES, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Every point, with all its columns, ``idx`` of its nearest centre and ``dist2``, the square of the distance.
+
+    Ties go to the lowest idx. Both are exact; a square beyond 63 bits is an error. Points without a coordinate
+    are left out, and columns named idx or dist2 are refused.
+
+    Up to ``literal_centres`` centres are part of the plan: points stream through without a shuffle. More of them
+    are a table looked up by the cell of the point, which holds the few centres that can be nearest there;
+    it is broadcast if measured small and joined by shuffle else. Their number has no limit.
+    """
+    if clash := {"idx", "dist2"} & set(points.columns):
+        raise ValueError(f"points have columns {sorted(clash)}")
+    placed = points.where("x is not null and y is not null").withColumns({c: F.col(c).cast("int") for c in "xy"})
+    given = centres.select("idx", "x", "y").limit(literal_centres + 1).collect()
+    if not given:
+        raise ValueError("no centres")
+    if len(given) <= literal_centres:
+        rows = _checked_literals(given)
+        lists = {c: f"array({', '.join(str(row[c]) for row in rows)})" for c in ("idx", "x", "y")}
+        place = "_place_of_centre"
+        gap = {c: f"(cast({c} as bigint) - {lists[c]}[{place}])" for c in "xy"}
+        return (
+            placed.withColumn(place, nearest_centre("x", "y", rows))
+            .selectExpr("*", f"{lists['idx']}[{place}] as idx", f"{gap['x']} * {gap['x']} + {gap['y']} * {gap['y']} as dist2")
+            .drop(place)
+        )
+    table = _checked_table(centres)
+    low, extent = _bounds(placed, table)
+    cells = stored(candidate_cells(table, low, max(1, extent.bit_length())), "cells")
+    return _assigned(placed, cells, low, extent >= 1 << 30, broadcast_bytes).withColumn("dist2", F.col("dist2").cast("long"))
+
+
+def _kmeans_by_cells(
+    points: DataFrame, seeds: DataFrame, max_iter: int, tol: int, history: bool, broadcast_bytes: int
+) -> DataFrame:
+    """``kmeans`` with the centres in a table: neither the driver nor the plan's text grows with them."""
+    centres = _checked_table(seeds)
+    low, extent = _bounds(points, centres)
     bits = max(1, extent.bit_length())
     rounds = []
     for iteration in range(max_iter):
@@ -201,6 +322,7 @@ def kmeans(
     history: bool = False,
     literal_centres: int = LITERAL_CENTRES,
     broadcast_bytes: int = BROADCAST_BYTES,
+    reuse_points: int = REUSE_POINTS,
 ) -> DataFrame:
     """Lloyd's iterations from ``seeds`` (idx, x, y) to final centres (idx, x, y, status).
 
@@ -214,8 +336,12 @@ def kmeans(
     and a lost executor costs its tasks only. With more of them the centres are a checkpointed table;
     a point meets only those that can be nearest to it, through a grid of cells that is broadcast
     if it is measured small and joined by shuffle otherwise. The rows are the same either way, for any
-    number of seeds. The points are evaluated once a round; persist or checkpoint them first where
-    that is dear, as with wide text input.
+    number of seeds.
+
+    From ``reuse_points`` points on, and with literal centres, they are written once in the order of a grid's
+    cells, with the sums of each cell (``PlacedPoints``). A round then adds up cells that one centre
+    owns and reads the points of the others, which lie on borders; the files are gone when it ends. The input
+    is evaluated three times in all, whatever the number of rounds. Fewer points are scanned once a round.
     """
     if max_iter < 1:
         raise ValueError("max_iter must be at least 1")
@@ -225,24 +351,22 @@ def kmeans(
     if len(given) > literal_centres:
         placed = points.where("x is not null and y is not null").selectExpr("cast(x as int) as x", "cast(y as int) as y")
         return _kmeans_by_cells(placed, seeds, max_iter, tol, history, broadcast_bytes)
-    if any(value is None for seed in given for value in seed):
-        raise ValueError("a seed has a null idx, x or y")
-    centres: Sequence[Row] = sorted(given, key=lambda seed: seed["idx"])
-    if len({seed["idx"] for seed in centres}) < len(centres):
-        raise ValueError("seeds share an idx")
-
+    centres = _checked_literals(given)
     placed = points.where("x is not null and y is not null").selectExpr(
         "cast(x as int) as x", "cast(y as int) as y"
     )
+    spark: SparkSession = points.sparkSession
     rounds: list[list[Row]] = []
-    for iteration in range(max_iter):
-        states = _step(placed, centres, tol, iteration)
-        rounds.append(states)
-        if not any(state["status"] == "CHANGED" for state in states):
-            break
-        centres = states
+    with artefacts(spark):
+        reuse = max_iter > 1 and points.count() >= reuse_points
+        source = PlacedPoints(placed) if reuse else placed
+        for iteration in range(max_iter):
+            states = _step(source, centres, tol, iteration, broadcast_bytes)
+            rounds.append(states)
+            if not any(state["status"] == "CHANGED" for state in states):
+                break
+            centres = states
 
-    spark: SparkSession = points.sparkSession
     kept = [state for states in (rounds if history else rounds[-1:]) for state in states]
     result = spark.createDataFrame([tuple(state) for state in kept], _STATES)
     return result if history else result.drop("iteration")

@@ -161,6 +161,22 @@ def _kmeans(history: bool, rounds: int = 6, seeds: str = "seeds") -> str:
     return _with(["points", seeds], body, steps)
 
 
+def _assigned(seeds: str) -> str:
+    return _with(
+        ["points", seeds],
+        """select p.x, p.y, n.idx, n.dist2 from points p join nearest n on p.x = n.x and p.y = n.y""",
+        [
+            (
+                "nearest",
+                f"""select p.x, p.y, arg_min(c.idx, (d, c.idx)) as idx, min(d) as dist2
+                from (select distinct x, y from points) p, {seeds} c,
+                    lateral (select cast((p.x-c.x)*(p.x-c.x)+(p.y-c.y)*(p.y-c.y) as bigint) as d)
+                group by p.x, p.y""",
+            )
+        ],
+    )
+
+
 _CELLS = (
     "cells",
     """select cast((y-1)//20 as bigint) as r, cast((x-1)//20 as bigint) as c,
@@ -336,6 +352,9 @@ def build_oracles() -> dict[str, str]:
         "neighbour_counts": _neighbours(OUTLIER_R),
         "neighbour_counts_wide": _neighbours(WIDE_R),
         "neighbour_counts_piled": _neighbours(OUTLIER_R, "piled_points"),
+        "assigned_points": _assigned("seeds"),
+        "assigned_points_many": _assigned("many_seeds"),
+        "kmeans_reusing_cells": _kmeans(False),
         "kmeans_many": _kmeans(False, seeds="many_seeds"),
         "kmeans_many_by_cells": _kmeans(False, seeds="many_seeds"),
         # The rows whose line fits.

@@ -98,6 +98,9 @@ def build_queries() -> dict[str, Query]:
         "neighbour_counts": _on(op.neighbour_counts, "points", r=OUTLIER_R),
         "neighbour_counts_wide": _on(op.neighbour_counts, "points", r=WIDE_R, pairs=256),
         "neighbour_counts_piled": _on(op.neighbour_counts, "piled_points", r=OUTLIER_R),
+        "assigned_points": _on(op.assign_centres, "points", "seeds"),
+        "assigned_points_many": _on(op.assign_centres, "points", "many_seeds", literal_centres=0),
+        "kmeans_reusing_cells": _on(op.kmeans, "points", "seeds", reuse_points=0),
         "kmeans_many": _on(op.kmeans, "points", "many_seeds"),
         "kmeans_many_by_cells": _on(op.kmeans, "points", "many_seeds", literal_centres=0),
         "text_customers": _parsed("customers", schemas.CUSTOMERS),

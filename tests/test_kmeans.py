@@ -4,10 +4,13 @@ import random
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from gridledger import schemas
-from gridledger.operators import kmeans
-from gridledger.operators.clustering import nearest_centre
+from gridledger.functions.artefacts import artefacts
+from gridledger.functions.grid import merged_ranges
+from gridledger.operators import assign_centres, kmeans
+from gridledger.operators.clustering import PlacedPoints, nearest_centre
 
 
 def brute_kmeans(points, seeds, max_iter=6, tol=1):
@@ -147,3 +150,75 @@ def test_there_is_no_limit_on_seeds(spark):
     got = kmeans(points, seeds, max_iter=1)
     assert got.count() == 12_000
     assert got.join(seeds.selectExpr("idx", "x + 3 as ex", "y - 2 as ey"), "idx").where("x <> ex or y <> ey").isEmpty()
+
+
+def test_rounds_that_reuse_cells_give_the_same_centres(spark):
+    rng = random.Random(7)
+    points = [(rng.randint(-500, 500), rng.randint(0, 900)) for _ in range(3000)] + [(77, 77)] * 1500 + [(None, 3)]
+    seeds = [(i, rng.randint(-500, 500), rng.randint(0, 900)) for i in range(7)] + [(90, 77, 77)]
+    df, centres = spark.createDataFrame(points, schemas.POINTS), spark.createDataFrame(seeds, schemas.CENTRES)
+    for broadcast in (0, 1 << 20):
+        got = kmeans(df, centres, history=True, reuse_points=0, broadcast_bytes=broadcast)
+        assert sorted(got.collect()) == sorted(kmeans(df, centres, history=True).collect())
+    assert kmeans(df.limit(0), centres, reuse_points=0).collect() == []
+
+
+def scanned(spark, df, column):
+    """Rows that the scans of a column's table put out, by the metrics of the plan that ran."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().executedPlan()
+    leaves = plan.collectLeaves()
+    total = 0
+    for n in range(leaves.size()):
+        node = leaves.apply(n)
+        while "QueryStage" in node.nodeName():
+            inner = node.plan().collectLeaves()
+            node = inner.apply(0)
+        if node.nodeName().startswith("Scan parquet") and column in node.output().mkString(","):
+            total += node.metrics().apply("numOutputRows").value()
+    return total
+
+
+def test_rounds_read_few_points(spark):
+    rng = random.Random(3)
+    middles = [(9000 * i, 9000 * j) for i in range(4) for j in range(4)]
+    points = [(x + rng.randint(-900, 900), y + rng.randint(-900, 900)) for x, y in middles for _ in range(5000)]
+    df = spark.createDataFrame(points, schemas.POINTS).repartition(8)
+    centres = [Row(idx=i, x=x, y=y) for i, (x, y) in enumerate(middles)]
+    with artefacts(spark):
+        placed = PlacedPoints(df, cell_points=4)
+        owned, rest = placed.border(centres, 1 << 20)
+        assert rest.count() == 0 and owned.agg({"n": "sum"}).first()[0] == len(points)
+        # One more centre inside a cloud: only that cloud has a border, and other row groups are skipped.
+        split = centres + [Row(idx=99, x=100, y=50)]
+        owned, rest = placed.border(split, 1 << 20)
+        assert 0 < rest.count() < len(points) / 50
+        assert owned.agg({"n": "sum"}).first()[0] + rest.count() == len(points)
+        assert scanned(spark, rest, "x#") < len(points) / 4
+        assert "PushedFilters: [" in rest._jdf.queryExecution().executedPlan().toString() and "cell" in str(rest.schema)
+
+
+@pytest.mark.parametrize("literal", [0, 1000], ids=["cells", "literals"])
+def test_assignments_equal_brute_force(spark, literal):
+    rng = random.Random(12)
+    points = [(rng.randint(-99, 99), rng.randint(-99, 99), i) for i in range(400)] + [(5, 5, 1)] * 200 + [(None, 1, 0)]
+    seeds = [(i, rng.randint(-99, 99), rng.randint(-99, 99)) for i in range(40, 0, -1)] + [(77, 5, 5), (70, 5, 5)]
+    df = spark.createDataFrame(points, "x int, y int, level int").withColumn("near_centres", F.lit("n"))
+    got = assign_centres(df, spark.createDataFrame(seeds, schemas.CENTRES), literal_centres=literal)
+    assert got.columns == ["x", "y", "level", "near_centres", "idx", "dist2"]
+    want = []
+    for x, y, level in points:
+        if x is not None:
+            d, idx = min(((x - a) ** 2 + (y - b) ** 2, i) for i, a, b in seeds)
+            want.append((x, y, level, "n", idx, d))
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    for bad in (df.withColumn("idx", F.lit(1)), df.withColumn("dist2", F.lit(1))):
+        with pytest.raises(ValueError):
+            assign_centres(bad, spark.createDataFrame(seeds, schemas.CENTRES))
+    with pytest.raises(ValueError):
+        assign_centres(df, spark.createDataFrame([], schemas.CENTRES))
+
+
+def test_ranges_cover_their_keys():
+    assert merged_ranges([], 4) == [] and merged_ranges([5, 3, 4, 9], 4) == [(3, 5), (9, 9)]
+    assert merged_ranges([1, 10, 12, 40], 2) == [(1, 12), (40, 40)] and merged_ranges([1, 10], 1) == [(1, 10)]
