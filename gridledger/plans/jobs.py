@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import operators as op
+from ..functions.artefacts import artefacts
 from ..session import build_session
 from ..sources import generators, sinks, text
 
@@ -49,9 +50,10 @@ def _write(
 
 
 def _mixed_summary(spark: SparkSession, args: argparse.Namespace) -> None:
-    customers, transactions = text.read_mixed(spark, args.records)
-    summary = op.customer_txn_summary(customers, transactions)
-    _write(summary, sinks.customer_txn_summary_lines, ("ID",), args)
+    with artefacts(spark):
+        customers, transactions, _ = text.split_mixed(spark, args.records)
+        summary = op.customer_txn_summary(customers, transactions)
+        _write(summary, sinks.customer_txn_summary_lines, ("ID",), args)
 
 
 def _country_size(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -75,6 +77,17 @@ def _distance_outliers(spark: SparkSession, args: argparse.Namespace) -> None:
     sinks.write_lines(sinks.distance_outliers_lines(outliers), args.out)
 
 
+def _neighbours(spark: SparkSession, args: argparse.Namespace) -> None:
+    with artefacts(spark):
+        sinks.write_csv(op.neighbour_counts(text.read_points(spark, args.points, "drop"), args.r), args.out)
+
+
+def _assign(spark: SparkSession, args: argparse.Namespace) -> None:
+    points, centres = text.read_points(spark, args.points, "drop"), text.read_centres(spark, args.centres)
+    with artefacts(spark):
+        sinks.write_csv(op.assign_centres(points, centres), args.out)
+
+
 def _kmeans(spark: SparkSession, args: argparse.Namespace) -> None:
     history = op.kmeans(
         text.read_points(spark, args.points, "drop"),
@@ -107,6 +120,8 @@ def _density(spark: SparkSession, args: argparse.Namespace) -> None:
     out = args.out.rstrip("/")
     sinks.write_csv(density.select("cell_id", "cell_count"), f"{out}/grid_cell_counts")
     sinks.write_csv(density, f"{out}/relative_density")
+    with artefacts(spark):
+        sinks.write_csv(op.rank_cells(density), f"{out}/cell_ranks")
     sinks.write_csv(op.top_dense_cells(density, args.k), f"{out}/top_dense_cells")
     sinks.write_csv(
         op.top_dense_neighbors(density, args.k, args.cell, args.extent), f"{out}/top_dense_neighbors"
@@ -171,6 +186,8 @@ def _parser() -> argparse.ArgumentParser:
         ("window", {"type": int, "nargs": "*"}),
     )
     add("outliers", _distance_outliers, ("points", path), ("out", path), ("r", whole), ("k", whole))
+    add("neighbours", _neighbours, ("points", path), ("out", path), ("r", whole))
+    add("assign", _assign, ("points", path), ("centres", path), ("out", path))
     add(
         "kmeans",
         _kmeans,

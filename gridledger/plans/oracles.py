@@ -31,6 +31,15 @@ _BANDS = (
 )
 
 
+def _bad(name: str, key: str) -> str:
+    """The lines of a dataset that do not fit: a field short, a field too many, or a word for a number."""
+    others = [c.rsplit(" as ", 1)[1] for c in FIXTURES[name][1][1:]]
+    values = [f"coalesce(cast({c} as varchar), '')" for c in others]
+    rest = " || ',' || ".join(values)
+    return f"""select case {key} % {BAD_LINES} when 0 then {rest} when 1 then cast({key} as varchar) || ',' || {rest} || ','
+        else 'none,' || {rest} end as value from {name} where {key} % {BAD_LINES} <= 2"""
+
+
 def _summary() -> str:
     return _with(
         ["customers", "transactions"],
@@ -361,6 +370,10 @@ def build_oracles() -> dict[str, str]:
         "text_customers": _with(["customers"], f"select * from customers where ID % {BAD_LINES} > 2"),
         "text_transactions": _with(["transactions"], f"select * from transactions where TransID % {BAD_LINES} > 2"),
     }
+    sql["split_customers"], sql["split_transactions"] = sql["text_customers"], sql["text_transactions"]
+    sql["split_bad"] = _with(["customers", "transactions"], f"{_bad('customers', 'ID')} union all {_bad('transactions', 'TransID')}")
+    left, low, right, high = QUERY_WINDOW
+    sql["window_of_written_points"] = _with(["points"], f"select x, y from points where x between {left} and {right} and y between {low} and {high}")
     tab = "chr(9)"
     lines = {
         "customer_txn_summary": f"cast(ID as varchar) || {tab} || Name || ',' || cast(Salary as varchar)"

@@ -9,7 +9,8 @@ from pyspark.sql.types import StructType
 
 from .. import operators as op
 from .. import schemas
-from ..sources import generators, sinks, text
+from ..functions.artefacts import new_path
+from ..sources import generators, read_window, sinks, text, write_points
 from .fixtures import fixture, generator_ids, record_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +37,22 @@ def _parsed(name: str, schema: StructType) -> Query:
     return lambda spark, sf_dir: text.parse_records(record_lines(spark, sf_dir, name), schema)
 
 
+def _split(kind: str) -> Query:
+    """One kind of record out of lines of customers and transactions mixed."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lines = record_lines(spark, sf_dir, "customers").unionByName(record_lines(spark, sf_dir, "transactions"))
+        return text.split_records(lines, {"customers": schemas.CUSTOMERS, "transactions": schemas.TRANSACTIONS})[kind]
+
+    return query
+
+
+def _written_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "points-in-order")
+    write_points(fixture(spark, sf_dir, "points"), path)
+    return read_window(spark, path, QUERY_WINDOW)
+
+
 def _then(query: Query, function: Callable[..., DataFrame], **options: object) -> Query:
     return lambda spark, sf_dir: function(query(spark, sf_dir), **options)
 
@@ -106,6 +123,8 @@ def build_queries() -> dict[str, Query]:
         "text_customers": _parsed("customers", schemas.CUSTOMERS),
         "text_transactions": _parsed("transactions", schemas.TRANSACTIONS),
     }
+    named |= {f"split_{kind}": _split(kind) for kind in ("customers", "transactions", text.BAD)}
+    named["window_of_written_points"] = _written_window
     density = named["relative_density"]
     named["cell_ranks"] = _then(density, op.rank_cells)
     named["top_dense_cells"] = _then(density, op.top_dense_cells)

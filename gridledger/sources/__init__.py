@@ -1,6 +1,7 @@
 """Text scans, text sinks and synthetic datasets."""
 
 from .generators import gen_customers, gen_points, gen_rectangles, gen_seeds, gen_transactions
+from .placed import read_window, write_points
 from .sinks import write_csv, write_kmeans_rounds, write_lines
 from .text import (
     read_centres,
@@ -10,6 +11,8 @@ from .text import (
     read_points,
     read_rectangles,
     read_transactions,
+    split_mixed,
+    split_records,
 )
 
 __all__ = [
@@ -25,7 +28,11 @@ __all__ = [
     "read_points",
     "read_rectangles",
     "read_transactions",
+    "read_window",
+    "split_mixed",
+    "split_records",
     "write_csv",
     "write_kmeans_rounds",
     "write_lines",
+    "write_points",
 ]

@@ -15,29 +15,60 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from .. import schemas
+from ..functions.artefacts import stored
 
 MODES = ("null", "drop")
 
 
-def parse_records(lines: DataFrame, schema: StructType) -> DataFrame:
-    """Lines of the column ``value`` that fit the schema in every field, typed."""
+def _record(schema: StructType) -> tuple[Column, list[Column]]:
+    """Whether the line in ``value`` fits the schema in every field, and its typed fields."""
     fields = F.split("value", ",", -1)
-
-    def typed(place: int) -> Column:
-        return F.nullif(F.trim(fields[place]), F.lit("")).try_cast(schema[place].dataType)
-
-    def text(place: int) -> Column:
-        return F.nullif(fields[place], F.lit(""))
-
+    # A line may be short of fields, and its kind is not settled yet.
     fits = [F.size(fields) == len(schema)]
     columns = []
     for place, field in enumerate(schema.fields):
+        given = F.get(fields, F.lit(place))
         if isinstance(field.dataType, StringType):
-            columns.append(text(place).alias(field.name))
+            typed = F.nullif(given, F.lit(""))
         else:
-            fits.append((F.trim(fields[place]) == "") | typed(place).isNotNull())
-            columns.append(typed(place).alias(field.name))
-    return lines.where(reduce(lambda a, b: a & b, fits)).select(*columns)
+            typed = F.nullif(F.trim(given), F.lit("")).try_cast(field.dataType)
+            fits.append((F.trim(given) == "") | typed.isNotNull())
+        columns.append(typed.alias(field.name))
+    return reduce(lambda a, b: a & b, fits), columns
+
+
+def parse_records(lines: DataFrame, schema: StructType) -> DataFrame:
+    """Lines of the column ``value`` that fit the schema in every field, typed."""
+    fits, columns = _record(schema)
+    return lines.where(fits).select(*columns)
+
+
+#: The kind of a line that fits no layout.
+BAD = "bad"
+
+
+def tag_records(lines: DataFrame, layouts: dict[str, StructType]) -> DataFrame:
+    """Each line parsed once into a tagged record: ``kind``, a struct for each layout, and the line itself if it
+    fits none. Only the struct of a record's own kind is set; a line that fits several is of the first."""
+    records = {kind: _record(schema) for kind, schema in layouts.items()}
+    tag = reduce(lambda rest, kind: F.when(records[kind][0], kind).otherwise(rest), reversed(layouts), F.lit(BAD))
+    tagged = lines.select("value", tag.alias("kind"))
+    return tagged.select(
+        "kind",
+        *[F.when(F.col("kind") == kind, F.struct(*columns)).alias(kind) for kind, (_, columns) in records.items()],
+        F.when(F.col("kind") == BAD, F.col("value")).alias("value"),
+    )
+
+
+def split_records(lines: DataFrame, layouts: dict[str, StructType]) -> dict[str, DataFrame]:
+    """Records of each kind, and under ``BAD`` the lines of none, from one scan of the lines.
+
+    Tagged records are written once to the shared folder, a sub-folder for each kind; each result reads its own
+    alone. Use it inside ``artefacts`` to have the files removed.
+    """
+    tagged = stored(tag_records(lines, layouts), "records", by=["kind"])
+    found = {kind: tagged.where(F.col("kind") == kind).select(f"{kind}.*") for kind in layouts}
+    return found | {BAD: tagged.where(F.col("kind") == BAD).select("value")}
 
 
 def read_csv(
@@ -71,12 +102,18 @@ def read_mixed(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, D
 
     Lines that fit neither layout in every field are left out, as ``malformed="drop"`` does. Where
     file names tell the kinds apart, read the two sets of files separately instead: this scans every
-    line for each of the results.
+    line for each of the results. ``split_mixed`` scans once.
     """
     lines = spark.read.text(path)
     return parse_records(lines, schemas.CUSTOMERS), parse_records(lines, schemas.TRANSACTIONS)
 
 
+def split_mixed(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``read_mixed`` with one scan of the folder, and the lines that fit neither layout; see ``split_records``."""
+    found = split_records(spark.read.text(path), {"customers": schemas.CUSTOMERS, "transactions": schemas.TRANSACTIONS})
+    return found["customers"], found["transactions"], found[BAD]
+
+
 def read_centres(spark: SparkSession, path: str) -> DataFrame:
     """Centres from one file of ``x,y`` lines, or ``x,y - STATUS`` as ``kmeans`` reports.
 

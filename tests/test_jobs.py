@@ -47,7 +47,13 @@ def test_spatial_clustering_and_density(spark, tmp_path):
     assert everything and set(window) <= set(everything)
     assert window == [m for m in everything if int(m.split("(")[1].split(",")[0]) <= 5000]
 
+    main(["neighbours", path("points"), path("neighbours"), "50"])
+    counted = [list(map(int, line.split(","))) for line in lines(tmp_path / "neighbours")]
+    assert sum(row[2] for row in counted) == 3000
+    main(["assign", path("points"), path("seeds"), path("assigned")])
+    assert len(lines(tmp_path / "assigned")) == 3000
     main(["outliers", path("points"), path("outliers"), "50", "1"])
+    assert len(lines(tmp_path / "outliers")) == sum(row[2] for row in counted if row[3] < 1)
     assert all(len(line.split(",")) == 2 for line in lines(tmp_path / "outliers"))
     main(["kmeans", path("points"), path("seeds"), path("kmeans"), "--max-iter", "2"])
     assert len(lines(tmp_path / "kmeans" / "iteration_1")) == 4

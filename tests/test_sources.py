@@ -4,6 +4,7 @@ import pytest
 
 from gridledger import schemas
 from gridledger.operators import kmeans
+from gridledger.functions.artefacts import artefacts
 from gridledger.sources import (
     gen_customers,
     gen_points,
@@ -16,8 +17,12 @@ from gridledger.sources import (
     read_points,
     read_rectangles,
     read_transactions,
+    read_window,
     sinks,
+    split_mixed,
+    write_points,
 )
+from gridledger.sources.text import tag_records
 
 CUSTOMER_LINE = "1,ann,30,female,4,1234.50"
 TRANSACTION_LINE = "7,1,99.90,3,some words"
@@ -73,6 +78,71 @@ def test_centres_of_a_file_in_several_parts(spark, tmp_path):
     assert sorted(tuple(r) for r in rows) == [(i, i, -i) for i in range(5000)]
 
 
+def test_two_kinds_of_record_from_one_scan(spark, tmp_path):
+    bad = ["1,2", "", "x,1,99.90,3,some words", f"{CUSTOMER_LINE},"]
+    good = [CUSTOMER_LINE, TRANSACTION_LINE, ",,,,,", "8,,,,"]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("\n".join(good + bad[:2]) + "\n")
+    (tmp_path / "in" / "b.csv").write_text("\n".join(bad[2:] + good) + "\n")
+    customers, transactions = read_mixed(spark, str(tmp_path / "in"))
+    with artefacts(spark):
+        found = split_mixed(spark, str(tmp_path / "in"))
+        assert sorted(found[0].collect(), key=str) == sorted(customers.collect(), key=str) and found[0].schema == customers.schema
+        assert sorted(found[1].collect(), key=str) == sorted(transactions.collect(), key=str) and found[1].schema == transactions.schema
+        assert sorted(r.value for r in found[2].collect()) == sorted(bad)
+        # Each result reads the folder of its kind.
+        for df, kind in zip(found, ("customers", "transactions", "bad")):
+            assert f"PartitionFilters: [isnotnull(kind" in (plan := df._jdf.queryExecution().executedPlan().toString()) and kind in plan
+    tagged = tag_records(spark.read.text(str(tmp_path / "in")), {"customers": schemas.CUSTOMERS, "transactions": schemas.TRANSACTIONS})
+    assert tagged._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 1
+    assert {r["kind"]: r["count"] for r in tagged.groupBy("kind").count().collect()} == {"customers": 4, "transactions": 4, "bad": 4}
+
+
+def scan_bytes(spark, path, window):
+    from gridledger.sources.placed import KEY
+
+    df = read_window(spark, path, window)
+    rows = df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert f"GreaterThanOrEqual({KEY}," in plan or f"EqualTo({KEY}," in plan
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    return rows, leaf.metrics().apply("numOutputRows").value()
+
+
+def test_a_window_reads_the_part_of_the_files_near_it(spark, tmp_path):
+    points = spark.range(60_000).selectExpr(
+        "cast(id * 7919 % 10007 - 3000 as int) as x", "cast(id * 104729 % 9973 as int) as y", "id as tag"
+    )
+    points = points.unionByName(spark.range(5000).selectExpr("cast(77 as int) as x", "cast(88 as int) as y", "id as tag"))
+    path = str(tmp_path / "placed")
+    write_points(points.unionByName(points.limit(1).selectExpr("cast(null as int) as x", "y", "tag")), path, parts=32, group_bytes=4096)
+    read = []
+    for window in [(-(10**10), -(10**10), 10**10, 10**10), (-3000, 0, 2000, 5000), (0, 0, 900, 900), (77, 88, 77, 88), (6000, 9000, 6100, 9050), (5, 5, 4, 9)]:
+        x1, y1, x2, y2 = window
+        if x1 > x2:
+            assert read_window(spark, path, window).collect() == []
+            continue
+        got, scanned = scan_bytes(spark, path, window)
+        want = points.where(f"x between {x1}L and {x2}L and y between {y1}L and {y2}L")
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want.collect()))
+        read.append(scanned)
+    assert read[0] == 65_000 and read[1] < 40_000 and read[2] < 20_000 and read[4] < 6_000
+    for bad in ({"side": 1}, {}):
+        with pytest.raises(ValueError):
+            write_points(points.withColumn("_z_cell", points["x"]) if not bad else points, path, **bad)
+
+
+def test_window_ranges_hold_every_cell_and_little_more():
+    from gridledger.sources.placed import _interleaved, window_ranges
+
+    window = (-37, 5, 410, 77)
+    ranges = window_ranges(window, 16)
+    cells = {_interleaved((x + 2**31) // 16, (y + 2**31) // 16) for x in range(-37, 411) for y in range(5, 78)}
+    assert len(ranges) <= 64 and all(any(a <= c <= b for a, b in ranges) for c in cells)
+    assert sum(b - a + 1 for a, b in ranges) < 2 * len(cells)
+    assert len(window_ranges((-(2**31), -(2**31), 2**31 - 1, 2**31 - 1), 16)) == 1
+
+
 def test_numbers_compare_as_numbers(spark, tmp_path):
     (tmp_path / "t.csv").write_text("1,1,99.90,1,a\n2,1,1000.00,1,b\n")
     df = read_transactions(spark, str(tmp_path / "t.csv"))
