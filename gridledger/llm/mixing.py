@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import string
+import warnings
 from functools import reduce
 
 import numpy as np
@@ -14,20 +16,24 @@ from .shared import small, stored
 #: Labelled documents that the classifier is fitted on, at most.
 SAMPLE_ROWS = 4000
 #: Word beginnings that tell a domain from the rest, for each domain at most.
-TERMS = 16
+TERMS = 24
 _PREFIX = 4
 #: Shapes of a text: the share of its bytes that are one of some signs, and the upper bounds of its bins.
 _SHAPES = {
-    "capitals": ("ETA", (0.003, 0.015, 0.06)),
-    "marks": ("!#*|", (0.0005, 0.01, 0.04)),
-    "spaces": (" ", (0.1, 0.15, 0.2)),
+    "capitals": (string.ascii_uppercase, (0.02, 0.06, 0.2)),
+    "marks": ("!#$%&*|<>", (0.002, 0.02, 0.08)),
+    "digits": (string.digits, (0.002, 0.02, 0.1)),
+    "spaces": (" ", (0.1, 0.16, 0.22)),
 }
+#: Steps whose losses a longer step may not exceed.
+_MEMORY = 8
+_BREAKS = "\t\n\x0b\x0c\r"
 _LENGTHS = (200, 1000, 5000)
 
 
-def _count(sign: str) -> Column:
-    """How often an ASCII sign occurs in ``_text``: what taking it out saves."""
-    return F.octet_length("_text") - F.octet_length(F.replace(F.col("_text"), F.lit(sign), F.lit("")))
+def _count(sign: str, text: str) -> Column:
+    """How often an ASCII sign occurs in a text: what taking it out saves."""
+    return F.octet_length(text) - F.octet_length(F.replace(F.col(text), F.lit(sign), F.lit("")))
 
 
 def _bin(value: Column, bounds: tuple[float, ...]) -> Column:
@@ -35,16 +41,23 @@ def _bin(value: Column, bounds: tuple[float, ...]) -> Column:
 
 
 def _prepared(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` with ``_text`` (never null), ``_low`` (lower case), ``_tokens`` (as many as pieces
-    between spaces and line ends, 1 at least) and one ``_bin_<shape>`` for each shape."""
+    """``docs`` with ``_low`` (lower case), ``_tokens`` (as many as pieces between single characters of white
+    space, 1 at least) and one ``_bin_<shape>`` for each shape.
+
+    Small letters and spaces are most of a text. They are taken out first, in one pass, so that signs are
+    counted one by one in the little that is left.
+    """
     out = docs.withColumn("_text", F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     size = F.greatest(F.octet_length("_text"), F.lit(1))
-    out = out.withColumns({"_low": F.lower("_text"), "_spaces": _count(" "), "_bin_length": _bin(size, _LENGTHS)})
+    out = out.withColumns(
+        {"_low": F.lower("_text"), "_rest": F.regexp_replace("_text", "[a-z ]+", ""), "_spaces": _count(" ", "_text"), "_bin_length": _bin(size, _LENGTHS)}
+    )
     bins = {}
     for name, (signs, bounds) in _SHAPES.items():
-        total = F.col("_spaces") if signs == " " else reduce(lambda a, b: a + b, [_count(sign) for sign in signs])
+        total = F.col("_spaces") if signs == " " else reduce(lambda a, b: a + b, [_count(sign, "_rest") for sign in signs])
         bins[f"_bin_{name}"] = _bin(total / size, bounds)
-    return out.withColumns({"_tokens": (F.col("_spaces") + _count("\n") + 1).cast("long"), **bins})
+    breaks = reduce(lambda a, b: a + b, [_count(sign, "_rest") for sign in _BREAKS])
+    return out.withColumns({"_tokens": (F.col("_spaces") + breaks + 1).cast("long"), **bins})
 
 
 _BINS = {"_bin_length": len(_LENGTHS) + 1} | {f"_bin_{name}": len(bounds) + 1 for name, (_, bounds) in _SHAPES.items()}
@@ -70,9 +83,11 @@ def fit_domains(
     ]
     ids = reduce(DataFrame.unionByName, picked)
     held = sum(min(sample_rows, n) for n in counts.values())
-    sample = docs.join(small(ids, held, 64), docs[f"`{id_col}`"] == F.col("_id"))
+    # Only what is read, so that other columns of the documents clash with nothing here.
+    texts = docs.select(F.col(f"`{id_col}`").alias("_doc"), F.col(f"`{text_col}`").alias("_given"))
+    sample = texts.join(small(ids, held, 64), F.col("_doc") == F.col("_id"))
     shapes = list(_BINS)
-    sample = stored(_prepared(sample, text_col).select("_id", "domain", "_low", *shapes).dropDuplicates(["_id"]), "mixing-sample")
+    sample = stored(_prepared(sample, "_given").select("_id", "domain", "_low", *shapes).dropDuplicates(["_id"]), "mixing-sample")
     beginnings = F.array_distinct(F.transform(F.split("_low", r"\s+"), lambda w: F.substring(w, 1, _PREFIX)))
     seen = stored(
         sample.select("domain", F.explode(beginnings).alias("term"))
@@ -91,8 +106,8 @@ def fit_domains(
         gain = F.abs(F.log(inside / outside)) * F.sqrt(sum(F.col(f"n{j}") for j in range(len(domains))))
         terms.update(row["term"] for row in seen.orderBy(gain.desc(), "term").limit(TERMS).collect())
     # A text holds a term wherever it stands, so it is counted once more that way.
-    held_by = sample.groupBy("domain").agg(*[F.count_if(F.contains("_low", F.lit(t))) for t in sorted(terms)]).collect()
-    holding = {row["domain"]: row[1:] for row in held_by}
+    held_by = sample.groupBy("domain").agg(F.count("*"), *[F.count_if(F.contains("_low", F.lit(t))) for t in sorted(terms)]).collect()
+    holding = {row["domain"]: row[2:] for row in held_by}
     rows = {t: [holding[d][i] if d in holding else 0 for d in domains] for i, t in enumerate(sorted(terms))}
     binned = sample.select("domain", F.explode(F.array(*[F.struct(F.lit(s).alias("shape"), F.col(s).alias("bin")) for s in shapes])).alias("f"))
     bins = {(r["domain"], r["shape"], r["bin"]): r["count"] for r in binned.groupBy("domain", "f.shape", "f.bin").count().collect()}
@@ -114,9 +129,13 @@ def fit_domains(
 
 
 def domain_posteriors(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``tokens`` and ``posterior``: an array in the order of ``model['domains']``."""
+    """``docs`` with ``tokens`` and ``posterior``: an array in the order of ``model['domains']``. Columns of these
+    names are replaced."""
     count = len(model["domains"])
-    scored = _prepared(docs, text_col)
+    kept = [c for c in docs.columns if c not in ("tokens", "posterior")]
+    # A struct keeps the documents' names apart from those used here.
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.lit(0)
+    scored = _prepared(docs.select(row.alias("_row"), F.col(f"`{text_col}`").alias("_given")), "_given")
     has = {t: F.contains("_low", F.lit(t)) for t in model["terms"]}
     scored = scored.withColumn("_has", F.array(*has.values()) if has else F.array(F.lit(False)))
     logs = []
@@ -131,21 +150,27 @@ def domain_posteriors(docs: DataFrame, model: dict, text_col: str = "text") -> D
     scored = scored.withColumn("_raised", F.transform("_logs", lambda x: F.exp(x - F.array_max("_logs"))))
     mass = F.aggregate("_raised", F.lit(0.0), lambda a, x: a + x)
     scored = scored.withColumn("_mass", mass).withColumn("posterior", F.transform("_raised", lambda x: x / F.col("_mass")))
-    kept = [c for c in docs.columns if c not in ("tokens", "posterior")]
-    return scored.select(*[f"`{c}`" for c in kept], F.col("_tokens").alias("tokens"), "posterior")
+    return scored.select(*[F.col(f"_row.`{c}`").alias(c) for c in kept], F.col("_tokens").alias("tokens"), "posterior")
 
 
 def fit_rates(
-    docs: DataFrame, domains: list[str], weights: dict[str, float], total: str = "same", least: float = 0.0, rounds: int = 60, tolerance: float = 1e-4
-) -> tuple[DataFrame, dict]:
+    docs: DataFrame, domains: list[str], weights: dict[str, float], total: str = "same", least: float = 0.0, rounds: int = 1000,
+    tolerance: float = 1e-4, settled: float = 1e-6,
+) -> tuple[DataFrame, dict]:
     """``rate`` for each row of ``docs`` (tokens, posterior): nonnegative, and at least ``least`` (0..1).
 
     Minimises the squares of the gaps between expected domain tokens, sum(rate * tokens *
     posterior), and the targets, each in proportion to its target, starting from rate 1, by projected
-    gradient steps with momentum. A step is one aggregate over the table, and a row's rate follows
-    from the gaps so far, so nothing is kept between steps but a vector for each. ``total``: "same"
-    keeps the number of tokens, "cover" takes the least at which no domain has to shrink. Returns the
-    rows and a report.
+    gradient steps. A step is one aggregate over the table, and a row's rate follows from the gaps so
+    far, so nothing is kept between steps but a vector for each. ``total``: "same" keeps the number of
+    tokens, "cover" takes the least at which no domain has to shrink.
+
+    A step is as long as the last one found the loss to bend (the spectral length), and no shorter than the
+    length that never overshoots, which it falls back to when the loss exceeds those of the last few steps. It
+    ends where the rates that are returned have no gap above ``tolerance``, as a share of all tokens, or, should
+    the targets be out of reach, where a step changes no more than ``settled`` of the tokens. ``rounds`` is
+    a guard: without either by then, the report's ``converged`` is false and a warning says so. Returns
+    the rows and a report.
     """
     names = range(len(domains))
     share = [max(0.0, float(weights.get(d, 0.0))) for d in domains]
@@ -153,15 +178,17 @@ def fit_rates(
         raise ValueError("no domain has a positive weight")
     share = [w / sum(share) for w in share]
 
-    def totals(rate: Column, *more: Column) -> list[float]:
-        sums = [F.sum(F.col("tokens") * F.col("_rate") * F.col("posterior")[k]) for k in names]
-        row = docs.withColumn("_rate", rate).agg(*sums, *more).first()
-        return [float(value or 0.0) for value in row]
+    def sums(rate: Column) -> list[Column]:
+        return [F.sum(F.col("tokens") * rate * F.col("posterior")[k]) for k in names]
+
+    def collected(df: DataFrame, columns: list[Column]) -> list[float]:
+        return [float(value or 0.0) for value in df.agg(*columns).first()]
 
     pairs = [F.sum(F.col("tokens") * F.col("posterior")[j] * F.col("posterior")[k]) for j in names for k in names]
-    start, gram = (found := totals(F.lit(1.0), *pairs))[: len(domains)], found[len(domains) :]
+    found = collected(docs, sums(F.lit(1.0)) + pairs)
+    start, gram = found[: len(domains)], found[len(domains) :]
     tokens = sum(start)
-    report = {"domains": domains, "start": start, "target": start, "reached": start, "steps": 0}
+    report = {"domains": domains, "start": start, "target": start, "reached": start, "steps": 0, "converged": True}
     if not tokens:
         return docs.withColumn("rate", F.lit(1.0)), report
     scale = max([s / tokens / w for s, w in zip(start, share) if w > 0] + [1.0]) if total == "cover" else 1.0
@@ -170,35 +197,46 @@ def fit_rates(
     weigh = np.array([1 / max(t, 1e-3) for t in target])
     curvature = np.array(gram).reshape(len(domains), -1) / tokens * np.sqrt(np.outer(weigh, weigh))
     pull = weigh / max(float(np.linalg.eigvalsh(curvature)[-1]), 1e-9)
-    steps: list[tuple[float, list[float]]] = []
-    momentum = 1.0
-    for _ in range(rounds):
-        following = (1 + math.sqrt(1 + 4 * momentum * momentum)) / 2
-        beta, momentum = (momentum - 1) / following, following
-        looked = totals(_rate(steps, beta, least)[1]) if steps else start
-        gap = [s / tokens - t for s, t in zip(looked, target)]
-        if max(map(abs, gap)) <= tolerance:
+
+    safe = 1 / max(float(np.linalg.eigvalsh(curvature)[-1]), 1e-9)
+
+    steps: list[list[float]] = []
+    losses: list[float] = []
+    converged, reached, last_gap = False, start, np.zeros(len(domains))
+    for _ in range(rounds + 1):
+        # The rates before the last step and after it.
+        before, now = F.col("_state")[0], F.col("_state")[1]
+        change = [F.sum(F.col("tokens") * F.abs(now - before)), F.sum(F.col("tokens") * (now - before) * (now - before))]
+        *reached, moved, square = collected(docs.withColumn("_state", _states(steps, least)), sums(now) + change)
+        gap = np.array(reached) / tokens - target
+        if np.abs(gap).max() <= tolerance or (steps and moved <= settled * tokens):
+            converged = True
+            break
+        if len(steps) == rounds:
             break
-        steps.append((beta, [float(g * p) for g, p in zip(gap, pull)]))
-    reached = totals(_rate(steps, 0.0, least)[0]) if steps else start
-    report |= {"target": [t * tokens for t in target], "reached": reached, "steps": len(steps)}
-    return docs.withColumn("rate", _rate(steps, 0.0, least)[0]), report
+        loss = float((weigh * gap * gap).sum())
+        length = safe
+        if steps and loss <= max(losses[-_MEMORY:]):
+            bend = float((weigh * (gap - last_gap) ** 2).sum())
+            length = max(safe, square / tokens / bend) if bend > 0 else safe
+        losses.append(loss)
+        last_gap = gap
+        steps.append([float(x) for x in length * weigh * gap])
+    if not converged:
+        warnings.warn(f"the mixture did not settle within {rounds} steps; shares reached: {[r / tokens for r in reached]}", stacklevel=2)
+    report |= {"target": [t * tokens for t in target], "reached": list(reached), "steps": len(steps), "converged": converged}
+    return docs.withColumn("rate", _states(steps, least)[1]), report
 
 
-def _rate(steps: list[tuple[float, list[float]]], beta: float, least: float) -> tuple[Column, Column]:
-    """The rate after ``steps``, and the point that the next step with ``beta`` looks from."""
+def _states(steps: list[list[float]], least: float) -> Column:
+    """The rates before the last of ``steps`` and after it."""
     if not steps:
-        return F.lit(1.0), F.lit(1.0)
-    history = ", ".join(f"array({', '.join(f'{x!r}D' for x in [b, *gap])})" for b, gap in steps)
-    count = len(steps[0][1])
-    ahead = "state[1] + item[0] * (state[1] - state[0])"
-    pull = " + ".join(f"posterior[{k}] * item[{k + 1}]" for k in range(count))
-    # The state is the rate before the last step and after it.
-    last = F.expr(
-        f"aggregate(array({history}), array(1.0D, 1.0D), (state, item) -> array(state[1], greatest({float(least)!r}D, {ahead} - ({pull}))))"
+        return F.array(F.lit(1.0), F.lit(1.0))
+    history = ", ".join(f"array({', '.join(f'{x!r}D' for x in step)})" for step in steps)
+    pull = " + ".join(f"posterior[{k}] * step[{k}]" for k in range(len(steps[0])))
+    return F.expr(
+        f"aggregate(array({history}), array(1.0D, 1.0D), (state, step) -> array(state[1], greatest({float(least)!r}D, state[1] - ({pull}))))"
     )
-    rate = last[1]
-    return rate, rate + F.lit(beta) * (rate - last[0])
 
 
 def mixing_rates(
@@ -237,8 +275,11 @@ def mixed(
     """``docs`` with each row as often as its rate says: the whole part for certain, and once more
     with the remaining part as probability, drawn from the row's hash. Columns stay as they are. By
     default no rate is below 1, so every row stays."""
-    rated, _ = mixing_rates(docs, labelled, weights, id_col, text_col, total, least)
-    draw = F.pmod(F.xxhash64(F.lit("mixing"), f"`{id_col}`", f"`{text_col}`"), F.lit(1 << 20)) / float(1 << 20)
+    # The row goes along as one value, whatever its columns are called.
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole"), F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    )
+    rated, _ = mixing_rates(whole, labelled, weights, id_col, text_col, total, least, carry=["_whole"])
+    draw = F.pmod(F.xxhash64(F.lit("mixing"), F.col(f"_whole.`{id_col}`"), F.col(f"_whole.`{text_col}`")), F.lit(1 << 20)) / float(1 << 20)
     copies = F.floor(F.col("rate") + draw).cast("int")
-    repeated = rated.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies)))
-    return repeated.select(*[f"`{c}`" for c in docs.columns])
+    return rated.select("_whole", F.explode(F.array_repeat(F.lit(1), copies))).select("_whole.*")

@@ -52,68 +52,81 @@ def differencing(parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums[-1], slots
 
 
-def assign_groups(groups: DataFrame, n_shards: int = 40, chunk_groups: int = 2000, fan_in: int = 500) -> DataFrame:
+def assign_groups(groups: DataFrame, n_shards: int = 40, chunk_groups: int = 2000, fan_in: int = 64) -> DataFrame:
     """Give each row of ``groups`` (key, bytes; keys distinct) a shard: returns (key, shard).
 
-    Chunks of about ``chunk_groups`` groups, chosen by the key's hash, are differenced each in a
-    task; their partial partitions (``n_shards`` sums a chunk) are differenced ``fan_in`` at a time,
-    level by level, until one is left. No task holds more than one chunk or one fan-in.
+    Chunks of about ``chunk_groups`` groups, chosen by the key's hash, are the leaves of a tree of nodes with
+    ``fan_in`` children. A group is differenced at the highest node where it weighs more than one in
+    ``n_shards * fan_in`` parts of what the node holds, so a node has few of them whatever their sizes. What the
+    shards then differ by is handed on to the children, in proportion to their chunks, as a partial partition that
+    each child differences with its own groups: large groups are levelled by the small ones of all chunks. Two
+    chunks wait until all others are done, and level what little these leave. No task holds more than two
+    chunks, or the large groups of one node.
     """
-    chunks = max(1, math.ceil(groups.count() / chunk_groups))
-
-    def leaf(chunk: pd.DataFrame) -> pd.DataFrame:
-        chunk = chunk.sort_values(["bytes", "key"], ascending=False, kind="stable")
-        parts = np.zeros((len(chunk), n_shards), np.int64)
-        parts[:, 0] = chunk["bytes"]
-        _, slots = differencing(parts)
-        return chunk.assign(slot=slots[:, 0].astype(np.int32))
-
-    leaves = stored(
-        groups.select("key", "bytes", F.pmod(F.xxhash64("key"), F.lit(chunks)).alias("chunk"))
-        .groupBy("chunk")
-        .applyInPandas(leaf, f"key {groups.schema['key'].dataType.simpleString()}, bytes long, chunk long, slot int"),
-        "shard-leaves",
-    )
-    by_slot = F.map_from_entries(F.collect_list(F.struct("slot", "bytes")))
-    sums = (
-        leaves.groupBy("chunk", "slot")
-        .agg(F.sum("bytes").alias("bytes"))
-        .groupBy("chunk")
-        .agg(by_slot.alias("by_slot"))
-        .select(
-            F.col("chunk").alias("node"),
-            F.transform(
-                F.sequence(F.lit(0), F.lit(n_shards - 1)), lambda i: F.coalesce(F.col("by_slot")[i], F.lit(0))
-            ).alias("sums"),
-        )
-    )
-
-    def combine(nodes: pd.DataFrame) -> pd.DataFrame:
-        nodes = nodes.sort_values("node")
-        total, slots = differencing(np.stack(nodes["sums"].to_numpy()).astype(np.int64))
+    groups = stored(groups.select("key", "bytes"), "shard-groups")
+    seen = groups.agg(F.count("*").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    chunks = max(1, math.ceil(seen["n"] / chunk_groups))
+    depth = 0
+    while fan_in**depth < chunks:
+        depth += 1
+    widths = [math.ceil(chunks / fan_in ** (depth - level)) for level in range(depth + 1)]
+    at = F.lit(depth)
+    for level in range(depth - 1, -1, -1):
+        at = F.when(F.col("bytes") > seen["bytes"] / (n_shards * fan_in * widths[level]), level).otherwise(at)
+    placed = stored(groups.select("key", "bytes", at.alias("level"), F.pmod(F.xxhash64("key"), F.lit(chunks)).alias("leaf")), "shard-leaves")
+
+    def level_off(items: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
+        items = items.sort_values(["bytes", "key"], ascending=False, kind="stable")
+        parts = np.zeros((len(items) + 1, n_shards), np.int64)
+        parts[0] = given["sums"].iloc[0]
+        parts[1:, 0] = items["bytes"]
+        total, slots = differencing(parts)
+        # What was handed down belongs to shards by number; they name the columns of the result.
+        shard = np.empty(n_shards, np.int32)
+        shard[slots[0]] = np.arange(n_shards)
+        node = given["node"].iloc[0]
         return pd.DataFrame(
-            {"node": nodes["node"], "parent": nodes["parent"], "place": list(slots), "sums": [total] * len(nodes)}
+            {
+                "node": node,
+                "key": [*items["key"], None],
+                "shard": [*shard[slots[1:, 0]], -1],
+                "sums": [*[None] * len(items), total[slots[0]]],
+            }
         )
 
-    # place: for each chunk, the column of the newest level that each of its columns went to.
-    places, width = None, chunks
-    while places is None or width > 1:
-        level = stored(
-            sums.withColumn("parent", F.floor(F.col("node") / fan_in))
-            .groupBy("parent")
-            .applyInPandas(combine, "node long, parent long, place array<long>, sums array<long>"),
-            "shard-level",
-        )
-        if places is None:
-            places = level.select(F.col("node").alias("chunk"), "parent", "place")
-        else:
-            upper = level.select(F.col("node").alias("up_node"), F.col("parent").alias("up"), F.col("place").alias("up_place"))
-            places = places.join(upper, places["parent"] == upper["up_node"]).select(
-                "chunk", F.col("up").alias("parent"), F.transform("place", lambda s: F.col("up_place")[s.cast("int")]).alias("place")
-            )
-        width = math.ceil(width / fan_in)
-        sums = level.groupBy("parent").agg(F.first("sums").alias("sums")).select(F.col("parent").alias("node"), "sums")
-    return leaves.join(places, "chunk").select("key", F.col("place")[F.col("slot")].cast("int").alias("shard"))
+    schema = f"node long, key {groups.schema['key'].dataType.simpleString()}, shard int, sums array<long>"
+    given = groups.sparkSession.createDataFrame([(0, [0] * n_shards)], "node long, sums array<long>")
+    assigned = None
+
+    def run(mine: DataFrame, given: DataFrame) -> DataFrame:
+        return stored(mine.groupBy("node").cogroup(given.groupBy("node")).applyInPandas(level_off, schema), "shard-level")
+
+    for level in range(depth + 1):
+        below = fan_in ** (depth - level)
+        mine = placed.where(F.col("level") == level).select("key", "bytes", F.floor(F.col("leaf") / below).alias("node"))
+        if level == depth and depth:
+            last, waiting = mine.where("node < 2").withColumn("node", F.lit(0).cast("long")), given.where("node < 2")
+            mine, given = mine.where("node >= 2"), given.where("node >= 2")
+        done = run(mine, given)
+        found = done.where("sums is null").select("key", "shard")
+        assigned = found if assigned is None else assigned.unionByName(found)
+        if level < depth:
+            step = below // fan_in
+            parts = done.where("sums is not null").selectExpr(
+                f"explode(sequence(node * {fan_in}L, least((node + 1) * {fan_in}L, {widths[level + 1]}L) - 1)) as child",
+                f"least({below}L, {chunks}L - node * {below}L) as of", f"node * {below}L as start",
+                "transform(sums, s -> s - array_min(sums)) as sums",
+            ).selectExpr("child", "of", f"child * {step}L - start as x", f"least((child + 1) * {step}L, {chunks}L) - start as y", "sums")
+            share = "(s div of) * (y - x) + ((s % of) * y) div of - ((s % of) * x) div of"
+            given = parts.selectExpr("child as node", f"transform(sums, s -> {share}) as sums")
+    if depth:
+        # One number for each shard.
+        so_far = done.where("sums is not null").select("sums").unionByName(waiting.select("sums"))
+        total = so_far.select(F.posexplode("sums").alias("shard", "bytes")).groupBy("shard").agg(F.sum("bytes").alias("bytes"))
+        sums = [row["bytes"] for row in sorted(total.collect(), key=lambda row: row["shard"])]
+        rest = groups.sparkSession.createDataFrame([(0, sums)], "node long, sums array<long>")
+        assigned = assigned.unionByName(run(last, rest).where("sums is null").select("key", "shard"))
+    return assigned
 
 
 def shard_documents(
@@ -139,6 +152,7 @@ def shard_documents(
             (F.octet_length(text) + F.lit(ROW_OVERHEAD)).cast("long").alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
             F.unhex(F.md5(text.cast("binary"))).alias("key"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "shard-rows",
     )
@@ -148,7 +162,7 @@ def shard_documents(
     placed = stored(
         rows.join(shards, "key").select(
             "doc_id", "size", "text_crc32", "shard",
-            F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(blocks)).cast("int").alias("block"),
+            F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"),
         ),
         "shard-placed",
     )

@@ -220,6 +220,11 @@ def simhash_components(
     zero and link like any other. Repeated rows each give a row; an empty table none. Other columns
     are not read.
     """
+    return _rooted(docs, id_col, text_col, shingle, radius, unit).select("doc_id", "fp", "component_id")
+
+
+def _rooted(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, unit: int = UNIT) -> DataFrame:
+    """``simhash_components`` with ``root``, the fingerprint that names the component."""
     ids = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     rows = stored(fingerprints(ids, "text", ["doc_id"], shingle), "fingerprints")
     distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
@@ -229,8 +234,8 @@ def simhash_components(
     )
     rooted = stored(rooted, "rooted-fingerprints")
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = rooted.join(first, "root").select("fp", "component_id")
-    return rows.join(labels, "fp").select("doc_id", "fp", "component_id")
+    labels = rooted.join(first, "root").select("fp", "root", "component_id")
+    return rows.join(labels, "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def near_dedup(
@@ -238,24 +243,30 @@ def near_dedup(
 ) -> DataFrame:
     """``docs`` with one document of each linked set: the one with the smallest id.
 
-    All columns come through. Of repeated rows with one id, one stays (which, if they differ, is not
-    stated). Rows without an id cannot be named and stay, unless they are linked to a row with one.
+    All columns come through. Rows are told apart by id and linked set: different texts under one id each
+    stay or go with their own set, and of several rows of a set that have its smallest id one stays (which, if
+    they differ, is not stated). Rows without an id cannot be named and stay, unless they are linked to a row
+    with one.
     """
-    found = stored(simhash_components(docs, id_col, text_col, shingle, radius), "components")
-    named = found.where("doc_id is not null")
-    gone = named.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    counts = named.agg(
-        F.expr("count_if(doc_id <> component_id)").alias("gone"),
-        F.expr("count_if(doc_id = component_id)").alias("kept"),
-    ).first()
-    n_kept = named.where("doc_id = component_id").select("doc_id").distinct().count()
-    kept = docs.join(small(gone, counts["gone"], 64), docs[f"`{id_col}`"] == F.col("_gone"), "left_anti")
-    if found.where("doc_id is null").isEmpty():
-        return kept if n_kept == counts["kept"] else kept.dropDuplicates([id_col])
-    nameless = kept.where(F.col(f"`{id_col}`").isNull())
-    linked_null = found.where("doc_id is null and component_id is not null").select(F.col("fp").alias("_fp")).distinct()
-    whole = nameless.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
-    marked = fingerprints(whole, "text", ["row"], shingle)
-    alone = marked.join(linked_null, marked["fp"] == F.col("_fp"), "left_anti").select("row.*")
-    rest = kept.where(F.col(f"`{id_col}`").isNotNull())
-    return (rest if n_kept == counts["kept"] else rest.dropDuplicates([id_col])).unionByName(alone)
+    found = stored(_rooted(docs, id_col, text_col, shingle, radius), "components")
+    by_id = stored(
+        found.where("doc_id is not null")
+        .groupBy(F.col("doc_id").alias("_id"))
+        .agg(F.count("*").alias("_rows"), F.expr("bool_or(doc_id <> component_id)").alias("_gone")),
+        "components-by-id",
+    )
+    odd = by_id.where("_rows > 1").select("_id")
+    gone = by_id.where("_rows > 1 or _gone").select("_id")
+    id_ = F.col(f"`{id_col}`")
+    plain = docs.where(id_.isNotNull())
+    plain = plain.join(small(gone, gone.count(), 64), id_ == F.col("_id"), "left_anti")
+    n_odd = odd.count()
+    if not n_odd and found.where("doc_id is null").isEmpty():
+        return plain
+    # Ids that do not name one row: their sets are found by the fingerprint of their text.
+    whole = docs.select(id_.alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    repeated = whole.join(small(odd, n_odd, 64), whole["id"] == F.col("_id"), "left_semi")
+    sets = found.select("fp", "root", "component_id").distinct()
+    marked = fingerprints(repeated.unionByName(whole.where("id is null")), "text", ["id", "row"], shingle).join(sets, "fp")
+    named = marked.where("id = component_id").dropDuplicates(["root"]).select("row.*")
+    return plain.unionByName(named).unionByName(marked.where("id is null and component_id is null").select("row.*"))

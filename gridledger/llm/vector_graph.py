@@ -13,15 +13,19 @@ from .shared import stored
 
 DEGREE = 32
 BUILD_BEAM = 64
-SEARCH_BEAM = 160
+SEARCH_BEAM = 128
 #: How much nearer a kept neighbour must be to a candidate than the point itself, to make it needless.
 RELAX = 1.2
 _FAR = np.float32(np.inf)
+#: Powers of two that the longest components of a shard's vectors span.
+_BAND = 16
 
 
 def _lifted(vectors: np.ndarray) -> np.ndarray:
     """Vectors with one more coordinate that makes all norms equal, so that the nearest by distance
-    are those with the largest inner product with a query."""
+    are those with the largest inner product with a query. Their largest component becomes 1 before
+    anything is squared, so that no value overflows."""
+    vectors = vectors / np.abs(vectors).max()
     squares = np.einsum("nd,nd->n", vectors, vectors, dtype=np.float64)
     last = np.sqrt(np.maximum(squares.max() - squares, 0.0))
     return np.column_stack([vectors, last]).astype(np.float32)
@@ -39,6 +43,9 @@ def beam_search(points: np.ndarray, edges: np.ndarray, entry: int, queries: np.n
     ids = np.full((count, beam), -1, np.int64)
     far = np.full((count, beam), _FAR)
     done = np.ones((count, beam), bool)
+    # A point that was met once is not measured again, whether it is still in the beam or not.
+    met = np.zeros((count, len(points)), bool)
+    met[:, entry] = True
     ids[:, 0] = entry
     far[:, 0] = norms[entry] + own - 2 * (queries @ points[entry])
     done[:, 0] = False
@@ -52,9 +59,10 @@ def beam_search(points: np.ndarray, edges: np.ndarray, entry: int, queries: np.n
             break
         done[active, pick] = True
         near = edges[ids[active, pick]]
-        held = (near[:, :, None] == ids[active][:, None, :]).any(axis=2)
-        valid = (near >= 0) & ~held
-        at = np.where(valid, near, 0)
+        at = np.maximum(near, 0)
+        valid = (near >= 0) & ~met[active[:, None], at]
+        row, column = np.nonzero(valid)
+        met[active[row], at[row, column]] = True
         dots = np.einsum("qrd,qd->qr", points[at], queries[active])
         reach = np.where(valid, norms[at] + own[active][:, None] - 2 * dots, _FAR)
         all_ids = np.concatenate([ids[active], np.where(valid, near, -1)], axis=1)
@@ -98,7 +106,7 @@ def robust_prune(points: np.ndarray, nodes: np.ndarray, options: np.ndarray, deg
 
 
 def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, relax: float = RELAX) -> tuple[np.ndarray, int]:
-    """Edges (n x degree, -1 for none) of a robust-pruned graph, and the point that searches enter at.
+    """Edges (n x degree or a little more, -1 for none) of a robust-pruned graph, and the point that searches enter at.
 
     Points join in random order, in batches that double: each searches the graph so far, and prunes what
     it met; its neighbours get an edge back, and prune when they are full.
@@ -130,7 +138,35 @@ def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM
             edges[nodes[part]] = robust_prune(points, nodes[part], np.concatenate([edges[nodes[part]], added], axis=1), degree, relax)
         begin += len(batch)
         size = min(2 * size, max(64, begin // 8))
-    return edges, entry
+    return all_reached(points, edges, entry), entry
+
+
+def all_reached(points: np.ndarray, edges: np.ndarray, entry: int) -> np.ndarray:
+    """``edges`` with one more from a point's nearest reached one wherever pruning left no way to it, in
+    columns of their own."""
+    reached = np.zeros(len(points), bool)
+
+    def spread(front: np.ndarray) -> None:
+        reached[front] = True
+        while len(front):
+            near = np.unique(edges[front])
+            front = near[(near >= 0) & ~reached[near]]
+            reached[front] = True
+
+    spread(np.array([entry]))
+    more: dict[int, list[int]] = {}
+    for node in np.flatnonzero(~reached):
+        if reached[node]:
+            continue
+        gaps = np.where(reached, ((points - points[node]) ** 2).sum(axis=1), _FAR)
+        more.setdefault(int(gaps.argmin()), []).append(int(node))
+        spread(np.array([node]))
+    if not more:
+        return edges
+    added = np.full((len(edges), max(map(len, more.values()))), -1, edges.dtype)
+    for node, ends in more.items():
+        added[node, : len(ends)] = ends
+    return np.concatenate([edges, added], axis=1)
 
 
 def _usable(column: str) -> str:
@@ -170,8 +206,15 @@ def nearest_neighbours(
     copies = rows.distinct().withColumn("n", first).where(F.col("n") <= k + 1)
     points = copies.groupBy("key", "v").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     points = stored(points, "points")
-    n_points = points.count()
-    n_shards = max(shards, math.ceil(n_points / shard_rows))
+    # Lengths of one shard are within some powers of two, which single precision can hold side by side.
+    points = points.withColumn("band", F.floor(F.log2(F.array_max(F.transform("v", F.abs))) / _BAND))
+    sizes = {row["band"]: row["count"] for row in points.groupBy("band").count().collect()}
+    firsts, n_shards = {}, 0
+    for band in sorted(sizes):
+        firsts[band] = n_shards, max(math.ceil(shards * sizes[band] / sum(sizes.values())), math.ceil(sizes[band] / shard_rows))
+        n_shards += firsts[band][1]
+    # At most one entry for each power that a double can have.
+    bands = F.create_map(*[x for band, (first, n) in firsts.items() for x in (F.lit(band).cast("long"), F.struct(F.lit(first).alias("first"), F.lit(n).alias("n")))]) if firsts else None
     queries = rows.where(F.col("id") % query_step == 0).select(F.col("id").alias("query_id"), "v").distinct()
     n_blocks = max(1, math.ceil(queries.count() / query_rows))
 
@@ -183,7 +226,8 @@ def nearest_neighbours(
         )
 
     graph = stored(
-        points.withColumn("shard", F.pmod("key", F.lit(n_shards)).cast("int"))
+        points.withColumn("_of", bands[F.col("band")] if firsts else F.struct(F.lit(0).alias("first"), F.lit(1).alias("n")))
+        .select("v", "ids", (F.col("_of.first") + F.pmod("key", F.col("_of.n"))).cast("int").alias("shard"))
         .groupBy("shard")
         .applyInPandas(build, "shard int, node int, entry int, v array<double>, ids array<long>, edges array<int>"),
         "graph",
@@ -197,24 +241,26 @@ def nearest_neighbours(
         matrix = np.stack(nodes["v"].to_numpy()).astype(np.float64)
         edges = np.stack(nodes["edges"].to_numpy()).astype(np.int64)
         ids = nodes["ids"].to_numpy()
+        smallest = np.array([own[0] for own in ids])
         points, entry = _lifted(matrix), int(nodes["entry"].iloc[0])
         out = []
         query_ids = asked["query_id"].to_numpy()
         wanted = np.stack(asked["v"].to_numpy()).astype(np.float64)
         for at in range(0, len(asked), 1024):
             part = wanted[at : at + 1024]
-            found, _ = beam_search(points, edges, entry, np.column_stack([part, np.zeros(len(part))]).astype(np.float32), max(beam, k + 1))
+            found, _ = beam_search(points, edges, entry, np.column_stack([part / np.abs(part).max(axis=1, keepdims=True), np.zeros(len(part))]).astype(np.float32), max(beam, k + 1))
             for query, vector, hits in zip(query_ids[at : at + 1024], part, found):
                 hits = hits[hits >= 0]
                 scores = matrix[hits] @ vector
-                order = np.lexsort((hits, -scores))[: k + 1]
+                hits, scores = hits[~np.isnan(scores)], scores[~np.isnan(scores)]
+                order = np.lexsort((smallest[hits], -scores))[: k + 1]
                 for hit, score in zip(hits[order], scores[order]):
                     out += [(query, other, score) for other in ids[hit] if other != query]
         return pd.DataFrame(out, columns=columns)
 
     spread = graph.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     asked = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int")).withColumn(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)))
+        "shard", F.explode(F.sequence(F.lit(0), F.lit(max(n_shards, 1) - 1)))
     )
     found = (
         spread.groupBy("shard", "block")

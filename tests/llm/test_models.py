@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import types as T
 
 from gridledger.llm import byte_network, languages, queries, toxicity
-from gridledger.llm.vector_graph import beam_search, build_graph, nearest_neighbours, robust_prune
+from gridledger.llm.vector_graph import SEARCH_BEAM, _lifted, beam_search, build_graph, nearest_neighbours, robust_prune
 
 from .messy import SCHEMA, frame, messy_rows
 
@@ -198,6 +198,48 @@ def test_neighbour_query_recall(spark):
     assert len(got) == 20 * len(want) and hits / len(got) > 0.95
 
 
+def test_equal_scores_go_to_the_smallest_ids(spark):
+    # Sixty candidates of one score, in an order of rows that is not that of their ids.
+    rng = np.random.default_rng(5)
+    rows = [(20, [1.0, 0.0, 0.0], "q")] + [(int(i), [1.0, float(np.cos(i)), float(np.sin(i))], "s") for i in rng.permutation(np.arange(101, 161))]
+    got = nearest_neighbours(spark.createDataFrame(rows, VECTORS).repartition(3), shards=1).where("query_id = 20").collect()
+    assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"])] == list(range(101, 121))
+
+
+@pytest.mark.parametrize("large", [1e20, 1e200])
+def test_vectors_of_very_different_length(spark, large):
+    rng = np.random.default_rng(6)
+    schema = VECTORS.fromJson(VECTORS.jsonValue())
+    schema.fields[1].dataType = T.ArrayType(T.DoubleType())
+    rows = [(i, [float(x) for x in rng.normal(size=4)], "s") for i in range(1, 101)]
+    rows += [(200, [large, 1.0, 0.0, 0.0], "s"), (201, [-large, 0.0, 1.0, 0.0], "s")]
+    got = nearest_neighbours(spark.createDataFrame(rows, schema), shards=2).collect()
+    want = neighbours_by_hand(rows, 20, 20)
+    by = {}
+    for r in got:
+        by.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert set(by) == set(want)
+    assert sum(len(by[q] & {j for _, j in want[q]}) for q in want) >= 0.95 * sum(len(w) for w in want.values())
+
+
+def test_recall_of_a_large_shard():
+    # Unit vectors around a few directions, as embeddings are.
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(10, 64))[rng.integers(0, 10, 4096)] * 0.6 + rng.normal(size=(4096, 64))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    lifted = _lifted(points)
+    edges, entry = build_graph(lifted)
+    wanted = points[:80]
+    found, _ = beam_search(lifted, edges, entry, np.column_stack([wanted, np.zeros(80)]).astype(np.float32), SEARCH_BEAM)
+    hits = sum(len(set(np.argsort(-(points @ q))[:20].tolist()) & set(own.tolist())) for q, own in zip(wanted, found))
+    assert hits / 1600 >= 0.9
+    reached, front = {entry}, [entry]
+    while front:
+        front = [int(n) for n in set(edges[front].ravel().tolist()) - reached - {-1}]
+        reached.update(front)
+    assert len(reached) == 4096
+
+
 def test_graph_is_pruned_and_searchable():
     rng = np.random.default_rng(2)
     points = rng.normal(size=(700, 6)).astype(np.float32)

@@ -202,6 +202,18 @@ def test_groups_spread_evenly_over_levels(spark):
     assert len(sizes) == 10 and max(sizes) - min(sizes) < 20
 
 
+@pytest.mark.parametrize("chunk_groups, fan_in", [(2000, 64), (100, 4)])
+def test_a_group_of_half_a_shard_is_levelled(spark, chunk_groups, fan_in):
+    # Ten shards of about a million bytes; large groups of several sizes among many small ones.
+    rows = [(i, 1000 + i * 37 % 5000) for i in range(2000)]
+    rows += [(5000, 500_000), (5001, 300_000), (5002, 120_000), (5003, 90_000), (5004, 40_000)]
+    groups = spark.createDataFrame(rows, "id long, bytes long").selectExpr("unhex(md5(cast(id as string))) as key", "bytes")
+    got = groups.join(assign_groups(groups, 10, chunk_groups=chunk_groups, fan_in=fan_in), "key")
+    sizes = [r["b"] for r in got.groupBy("shard").agg(F.sum("bytes").alias("b")).collect()]
+    assert got.count() == len(rows) and len(sizes) == 10
+    assert max(sizes) - min(sizes) < sum(sizes) / 10 / 1000
+
+
 def test_written_shards_hold_all_rows(spark, tmp_path):
     docs = frame(spark)
     write_shards(docs, str(tmp_path / "out"), n_shards=3)
@@ -219,3 +231,39 @@ def test_shard_query(spark):
 def test_md5_is_the_group_key(spark):
     row = spark.createDataFrame([("é",)], "text string").select(F.hex(F.unhex(F.md5(F.col("text").cast("binary"))))).first()
     assert row[0].lower() == hashlib.md5("é".encode()).hexdigest()
+
+
+def test_shard_query_is_balanced_and_keeps_equal_texts_together(spark):
+    sf = "/root/testdata/sf0.01"
+    got = queries.op10_differencing_shards(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), "doc_id")
+    assert got.groupBy("text").agg(F.count_distinct("shard").alias("n")).where("n > 1").isEmpty()
+    sizes = [r["b"] for r in got.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    largest = got.groupBy("text").agg(F.sum("size").alias("b")).agg(F.max("b")).first()[0]
+    mean = sum(sizes) / 40
+    assert len(sizes) == 40
+    # A group larger than a shard cannot be cut; else shards differ by next to nothing.
+    assert max(sizes) - min(sizes) < max(mean / 1000, 2 * (largest - mean))
+
+
+def test_texts_under_one_id_stay_apart(spark):
+    one = "the quick brown fox jumps over the lazy dog near the river bank today"
+    other = "completely different words appear in this second sentence about rainfall"
+    rows = [(1, one, "a"), (1, other, "b"), (2, one, "c"), (3, other, "d"), (4, other, "e"), (4, "alone here with no partner at all in the set", "f"), (5, one, "g"), (5, one, "h")]
+    got = near_dedup(spark.createDataFrame(rows, "doc_id long, text string, root string"))
+    assert sorted(r["root"] for r in got.collect()) == ["a", "b", "f"]
+
+
+def test_rules_equal_sql_where_hosts_fall(spark, tmp_path):
+    good = " ".join(f"word{i}" for i in range(80))
+    rows = []
+    for host, n, bad in [("fine.org", 60, 1), ("poor.net", 60, 52), ("small.com", 2, 2), ("half.io", 40, 17), (None, 5, 5)]:
+        rows += [(len(rows) + i, "#### **** " * 30 if i < bad else f"{good} {len(rows)} {i}", host) for i in range(n)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    cur = con.execute(oracles.build_oracles()["op1_quality_rules"])
+    names = [d[0] for d in cur.description]
+    got = queries.op1_quality_rules(spark, str(tmp_path)).select(*names)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, cur.fetchall()))
+    fallen = {r[0] for r in got.join(spark.read.parquet(str(tmp_path / "documents.parquet")), "doc_id").where("host_rejected").select("source").distinct().collect()}
+    assert "poor.net" in fallen and "fine.org" not in fallen

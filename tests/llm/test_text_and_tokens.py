@@ -93,6 +93,22 @@ def test_masking(spark):
     assert sorted((str(r["doc_id"]), r["text"] or "", r["text"] is None, str(tuple(r)[6:])) for r in got.collect()) == sorted(want)
 
 
+def test_texts_with_many_secrets(spark):
+    # More than one block of matches, signs of two UTF-16 units, runs that overlap across blocks.
+    text = "".join(f"😀é token={'a1' * 8} {'0123456789abcdef' * (i % 3)} password:'{'b' * 14}'x\n" for i in range(400))
+    docs = spark.createDataFrame([(1, text, "mine", 2)], "doc_id long, text string, kinds string, _key int")
+    spans = spans_by_hand(text, BASE | MORE)
+    row = secret_spans(docs).collect()[0]
+    assert (row["kinds"], row["_key"]) == ("mine", 2) and [tuple(s) for s in row["spans"]] == spans and len(spans) > 900
+    out, at = "", 0
+    for a, _, b, _ in spans:
+        if a >= at:
+            out += text[at:a] + "[SECRET]"
+        at = max(at, b)
+    masked = mask_secrets(docs).collect()[0]
+    assert masked["text"] == out + text[at:] and (masked["kinds"], masked["_key"]) == ("mine", 2)
+
+
 def test_secrets_of_an_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert secret_spans(empty).count() == 0 and pack_documents(empty).count() == 0
@@ -181,6 +197,17 @@ def test_rates(spark, weights, least):
     assert np.allclose(np.array(report["reached"]), (tokens * rate) @ posterior)
 
 
+def test_an_unsettled_mixture_says_so(spark):
+    docs = spark.createDataFrame([(i, 10, [0.9, 0.1] if i % 3 else [0.2, 0.8]) for i in range(30)], "id int, tokens long, posterior array<double>")
+    with pytest.warns(UserWarning, match="did not settle"):
+        _, report = fit_rates(docs, ["a", "b"], {"a": 0.2, "b": 0.8}, rounds=1)
+    assert not report["converged"] and report["steps"] == 1
+    rated, report = fit_rates(docs, ["a", "b"], {"a": 0.4, "b": 0.6})
+    reached = rated.selectExpr("sum(tokens * rate * posterior[0]) as a", "sum(tokens * rate * posterior[1]) as b").first()
+    # What is reported holds for the rates that are returned.
+    assert report["converged"] and np.allclose(report["reached"], tuple(reached)) and abs(reached["a"] / 300 - 0.4) <= 1e-4
+
+
 def test_mixture_covers_every_row(spark):
     rows = [(i, ("good prose stays " * 30 if i % 4 else "loser idiot trash " * 30) + str(i), "en", "s", 1, *[None] * 6) for i in range(200)]
     rows += [(300, None, None, None, None, *[None] * 6), (301, "", None, None, None, *[None] * 6), rows[0]]
@@ -198,6 +225,11 @@ def test_mixture_covers_every_row(spark):
     assert 2.5 < np.mean(toxic) < 3.5 and all(counts[i] == 1 for i in range(200) if i % 4)
     empty = spark.createDataFrame([], SCHEMA)
     assert mixed(empty, labels, {"good": 1.0}).count() == 0
+    # Names that the operator uses itself.
+    clashing = docs.withColumns({"domain": F.lit("mine"), "tokens": F.lit(5), "posterior": F.lit("p"), "rate": F.lit("r"), "row": F.lit(1), "_low": F.lit(2)})
+    out = mixed(clashing, labels, {"good": 0.5, "toxic": 0.5})
+    assert out.columns == clashing.columns and {tuple(r) for r in out.select("domain", "tokens", "posterior", "rate", "row", "_low").distinct().collect()} == {("mine", 5, "p", "r", 1, 2)}
+    assert mixing_rates(clashing, labels, {"good": 0.5, "toxic": 0.5})[0].count() == len(rows)
     with pytest.raises(ValueError):
         mixing_rates(docs, labels.where("false"), {"good": 1.0})
 
