@@ -24,7 +24,9 @@ MIX_WEIGHTS = {"good": 0.82, "poor": 0.06, "toxic": 0.12}
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail neither the base rules nor with their host."""
-    return quality_rules(docs).where("kept").select(*[f"`{c}`" for c in docs.columns])
+    # The row goes along as one value, so that its columns cannot be taken for the rules' own.
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole"), "text", "source")
+    return quality_rules(whole, carry=["_whole"]).where("kept").select("_whole.*")
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +44,11 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mixture asks for."""
-    return mixed(docs, label_domains(spark, sf_dir), MIX_WEIGHTS)
+    """Documents as often as the mixture asks for; as they are where nothing is labelled."""
+    domains = label_domains(spark, sf_dir)
+    if domains.where("doc_id is not null and domain is not null").isEmpty():
+        return docs
+    return mixed(docs, domains, MIX_WEIGHTS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
