@@ -37,34 +37,43 @@ def grid_cell_counts(points: DataFrame, cell: int = 20, extent: int = 10000) ->
     )
 
 
-def relative_density(points: DataFrame, cell: int = 20, extent: int = 10000) -> DataFrame:
+#: Cells on a side of a tile. What a tile needs of its surroundings is one cell deep, so copies add about 4 / TILE.
+TILE = 32
+
+
+def relative_density(points: DataFrame, cell: int = 20, extent: int = 10000, tile: int = TILE) -> DataFrame:
     """cell_count over the average count of the occupied ones among its 8 neighbours.
 
-    I_X is null for a cell without occupied neighbours. Each cell hands its count to itself and
-    its neighbours and one aggregate collects them: no self-join, cells counted once, and the
-    rows moved number nine for each occupied cell whatever the number of points. The grid is keyed
-    with a spare column on either side, so a neighbour is one addition away and what is handed
-    past an edge lands on a key no cell has.
+    I_X is null for a cell without occupied neighbours. Counted cells move once, to the tile of ``tile``
+    by ``tile`` cells they lie in; those on a tile's border go to the tiles they touch as well. Cells
+    then hand their counts to their neighbours inside the tile's task, where an aggregate that the
+    tiles already partition collects them: no self-join, and a tile has at most (tile + 2) ** 2 rows
+    however many points or cells there are.
     """
+    if tile < 2:
+        raise ValueError("tile must be at least 2")
     columns = _columns(cell, extent)
-    stride = columns + 2
-    key = f"{cell_index('(y - 1)', cell)} * {stride} + {cell_index('(x - 1)', cell)} + 1"
-    shifts = ", ".join(f"{dr * stride + dc}L" for dr, dc in [(0, 0), *NEIGHBOUR_OFFSETS])
+    across = columns // tile + 1  # tiles in a row of tiles, one past the edge included
+    key = f"{cell_index('(y - 1)', cell)} * {columns} + {cell_index('(x - 1)', cell)}"
     return (
         _count_by(points, key, extent)
-        .selectExpr("key", "cell_count", f"explode(array({shifts})) as shift")
-        .groupBy(F.expr("key + shift as key"))
+        .selectExpr("cell_count", f"key div {columns} as row", f"key % {columns} as col")
+        # Truncation sends -1 to tile 0, where row 0 lies: no copy is made past that edge.
+        .selectExpr("*", f"explode(sequence((row - 1) div {tile}, (row + 1) div {tile})) as down")
+        .selectExpr("*", f"explode(sequence((col - 1) div {tile}, (col + 1) div {tile})) as along")
+        .selectExpr("cell_count", "row", "col", f"down * {across} + along as tile")
+        .repartition("tile")
+        .selectExpr("*", f"{offset_rows([(0, 0), *NEIGHBOUR_OFFSETS])} as d")
+        .selectExpr("tile", "cell_count", "row + d.d0 as row", "col + d.d1 as col", "d.d0 = 0 and d.d1 = 0 as own")
+        .where(f"row >= 0 and col between 0 and {columns - 1}")
+        .where(f"row div {tile} * {across} + col div {tile} = tile")
+        .groupBy("tile", F.expr(f"row * {columns} + col as cell_id"))
         .agg(
-            F.expr("max(if(shift = 0, cell_count, null)) as cell_count"),
-            F.expr("avg(if(shift <> 0, cell_count, null)) as neighbor_avg"),
+            F.expr("max(if(own, cell_count, null)) as cell_count"),
+            F.expr("avg(if(own, null, cell_count)) as neighbor_avg"),
         )
         .where("cell_count is not null")
-        .selectExpr(
-            f"key div {stride} * {columns} + key % {stride} - 1 as cell_id",
-            "cell_count",
-            "neighbor_avg",
-            "cell_count / neighbor_avg as I_X",
-        )
+        .selectExpr("cell_id", "cell_count", "neighbor_avg", "cell_count / neighbor_avg as I_X")
     )
 
 

@@ -93,3 +93,32 @@ def test_bad_arguments(spark):
         relative_density(df, 0, 100)
     with pytest.raises(ValueError):
         top_dense_cells(df, 0)
+
+
+def test_cells_are_moved_once_and_borders_twice(spark):
+    # Every cell of a 128 by 128 grid is taken.
+    points = spark.range(128 * 128).selectExpr("cast(1 + id % 128 as int) as x", "cast(1 + id div 128 as int) as y")
+    density = relative_density(points, 1, 128)
+    assert density.where("neighbor_avg = 1").count() == 128 * 128
+    density.collect()
+
+    def moved(node):
+        """Rows that exchanges by tile have written."""
+        name, total = node.getClass().getSimpleName(), 0
+        if name == "AdaptiveSparkPlanExec":
+            return moved(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return moved(node.plan())
+        if name == "ShuffleExchangeExec" and "REPARTITION_BY_COL" in node.toString():
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        return total + sum(moved(children.apply(i)) for i in range(children.size()))
+
+    assert 128 * 128 <= moved(density._jdf.queryExecution().executedPlan()) <= 1.2 * 128 * 128
+
+
+@pytest.mark.parametrize("tile", [2, 3, 64])
+def test_tiles_do_not_change_the_result(spark, points, tile):
+    df = spark.createDataFrame(points, schemas.POINTS)
+    got = {r.cell_id: (r.cell_count, r.neighbor_avg, r.I_X) for r in relative_density(df, 7, 120, tile).collect()}
+    assert got == brute_density(points, 7, 120)
