@@ -252,6 +252,8 @@ def _lines(query: str, line: str) -> str:
 def build_oracles() -> dict[str, str]:
     sql = {
         "customer_txn_summary": _summary(),
+        "customer_txn_summary_keyed": _summary(),
+        "customer_txn_summary_keyed_hot": _summary(),
         "country_txn_report": _country(),
         "age_gender_spend": _age_gender(True),
         "age_gender_spend_cols": _age_gender(False),

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from .. import operators as op
 from .. import schemas
 from ..functions.artefacts import new_path
-from ..sources import generators, read_window, sinks, text, write_points
+from ..sources import generators, per_key, read_window, sinks, text, write_keyed, write_points
 from .fixtures import fixture, generator_ids, record_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,18 @@ def _written_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_window(spark, path, QUERY_WINDOW)
 
 
+def _keyed(function: Callable[..., DataFrame], **options: object) -> Query:
+    """A report by customer from both tables written by customer ID."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = new_path(spark, "by-customer")
+        customers, transactions = (fixture(spark, sf_dir, name) for name in ("customers", "transactions"))
+        write_keyed({"customers": (customers, "ID"), "transactions": (transactions, "CustID")}, path, **options)
+        return per_key(spark, path, function, "customers", "transactions")
+
+    return query
+
+
 def _then(query: Query, function: Callable[..., DataFrame], **options: object) -> Query:
     return lambda spark, sf_dir: function(query(spark, sf_dir), **options)
 
@@ -124,6 +136,9 @@ def build_queries() -> dict[str, Query]:
         "text_transactions": _parsed("transactions", schemas.TRANSACTIONS),
     }
     named |= {f"split_{kind}": _split(kind) for kind in ("customers", "transactions", text.BAD)}
+    named["customer_txn_summary_keyed"] = _keyed(op.customer_txn_summary)
+    # Every customer with more than one in 400 rows counts as hot.
+    named["customer_txn_summary_keyed_hot"] = _keyed(op.customer_txn_summary, hot_share=400)
     named["window_of_written_points"] = _written_window
     density = named["relative_density"]
     named["cell_ranks"] = _then(density, op.rank_cells)
