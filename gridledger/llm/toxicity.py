@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections import Counter
+import warnings
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +30,52 @@ IDENTITY_TERMS = (
     ("immigrants", "natives", "refugees", "citizens"),
     ("old", "young"),
     ("disabled", "blind", "deaf"),
+    # German.
+    ("frauen", "männer"),
+    ("frau", "mann"),
+    ("muslime", "christen", "juden"),
+    ("schwarze", "weiße"),
+    ("einwanderer", "flüchtlinge"),
+    ("schwule", "lesben"),
+    # French.
+    ("femmes", "hommes"),
+    ("femme", "homme"),
+    ("musulmans", "chrétiens", "juifs"),
+    ("noirs", "blancs"),
+    ("immigrés", "réfugiés"),
+    # Spanish.
+    ("mujeres", "hombres"),
+    ("mujer", "hombre"),
+    ("musulmanes", "cristianos", "judíos"),
+    ("negros", "blancos"),
+    ("inmigrantes", "refugiados"),
+    # Words that say whether a man or a woman is meant; French and Spanish share some.
+    ("he", "she"),
+    ("his", "her"),
+    ("himself", "herself"),
+    ("er", "sie"),
+    ("der", "die"),
+    ("ein", "eine"),
+    ("il", "elle"),
+    ("le", "la", "el"),
+    ("un", "une", "una"),
+    ("él", "ella"),
+    ("los", "las"),
 )
 _SEPARATORS = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 32)
 _BEGINNINGS = (4, 5)
 
 
+class ToxicityModel(NamedTuple):
+    """Intercept and weights; how many of the texts fitted on name an identity, and how many swapped
+    forms of these the penalty has seen."""
+
+    bias: float
+    weights: dict[bytes, float]
+    mentions: int = 0
+    swaps: int = 0
+
+
 def words_of(raw: bytes | None) -> list[bytes]:
     return (raw or b"").lower().translate(_SEPARATORS).split()
 
@@ -59,34 +101,52 @@ def swapped(words: list[bytes], terms=IDENTITY_TERMS) -> list[list[bytes]]:
     ]
 
 
-def _sparse(sets: list[set[bytes]], index: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    rows = [np.fromiter((index[f] for f in s if f in index), np.int64) for s in sets]
-    return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows) if rows else np.empty(0, np.int64)
+def _sparse(rows: list[np.ndarray], place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of every feature that has a place; others have -1."""
+    kept = [np.sort(place[r][place[r] >= 0]) for r in rows]
+    return np.repeat(np.arange(len(kept)), [len(r) for r in kept]), np.concatenate(kept) if kept else np.empty(0, np.int64)
+
+
+def fit(*args, **options) -> tuple[float, dict[bytes, float]]:
+    """Intercept and weights of ``fit_model``."""
+    return fit_model(*args, **options)[:2]
 
 
-def fit(
+def fit_model(
     texts: list[bytes | None], labels: np.ndarray, weights: np.ndarray, fairness: float = 1.0, sparsity: float = 2e-4,
     rounds: int = 300, terms=IDENTITY_TERMS,
-) -> tuple[float, dict[bytes, float]]:
-    """Intercept and weights of a sparse logistic model over which features a text has.
+) -> ToxicityModel:
+    """A sparse logistic model over which features a text has.
 
     The loss is the weighted log loss, ``sparsity`` times the absolute weights, and ``fairness`` times
     the mean square of how much a text's logit moves when its identity terms are swapped. Minimised
     by proximal gradient steps with momentum.
     """
-    words = [words_of(text) for text in texts]
-    base = [features(w) for w in words]
-    pairs = [(i, features(other)) for i, w in enumerate(words) for other in swapped(w, terms)]
-    seen = Counter(f for s in base for f in s)
+    numbers: dict[bytes, int] = {}
+
+    def numbered(found: set[bytes]) -> np.ndarray:
+        return np.fromiter((numbers.setdefault(f, len(numbers)) for f in found), np.int64, len(found))
+
+    # Texts are held as numbers of features; of a swapped text only what it gains and loses is.
+    base, source, gained, lost = [], [], [], []
+    for i, text in enumerate(texts):
+        words = words_of(text)
+        own = features(words)
+        base.append(numbered(own))
+        for other in map(features, swapped(words, terms)):
+            source.append(i)
+            gained.append(numbered(other - own))
+            lost.append(numbered(own - other))
+    seen = np.bincount(np.concatenate(base), minlength=len(numbers)) if base else np.zeros(0, np.int64)
     # Identity terms stay in even where they are rare, so that swaps see them.
     named = {f for group in terms for t in group for f in features([t.encode()])}
-    names = sorted(f for f, n in seen.items() if n >= LEAST_DOCS or f in named)
-    names += sorted({f for _, s in pairs for f in s if f in named} - set(names))
-    index = {f: i for i, f in enumerate(names)}
-    row, col = _sparse(base, index)
-    # Differences of a swapped text and its source: +1 and -1 on what they do not share.
-    plus_row, plus_col = _sparse([s - base[i] for i, s in pairs], index)
-    minus_row, minus_col = _sparse([base[i] - s for i, s in pairs], index)
+    names = sorted(f for f, n in numbers.items() if seen[n] >= LEAST_DOCS or f in named)
+    place = np.full(len(numbers), -1)
+    place[[numbers[f] for f in names]] = np.arange(len(names))
+    row, col = _sparse(base, place)
+    plus_row, plus_col = _sparse(gained, place)
+    minus_row, minus_col = _sparse(lost, place)
+    pairs = len(source)
     total = weights.sum()
     size = np.zeros(len(texts))
     np.add.at(size, row, 1.0)
@@ -98,16 +158,16 @@ def fit(
         error = weights * (1 / (1 + np.exp(-np.clip(logits, -30, 30))) - labels) / total
         grad = np.bincount(col, error[row], len(names))
         if pairs:
-            moved = np.bincount(plus_row, at[plus_col], len(pairs)) - np.bincount(minus_row, at[minus_col], len(pairs))
-            pull = 2 * fairness * moved / len(pairs)
+            moved = np.bincount(plus_row, at[plus_col], pairs) - np.bincount(minus_row, at[minus_col], pairs)
+            pull = 2 * fairness * moved / pairs
             grad += np.bincount(plus_col, pull[plus_row], len(names)) - np.bincount(minus_col, pull[minus_row], len(names))
         return grad, error.sum()
 
     # Frequent features get small steps: a diagonal bound on the curvature.
     mean_size = np.bincount(col, (weights * (size + 1))[row], len(names)) / total
     swaps = np.bincount(plus_col, minlength=len(names)) + np.bincount(minus_col, minlength=len(names))
-    wide = max((len(base[i] ^ s) for i, s in pairs), default=0)
-    steps = 1 / (0.25 * mean_size + 2 * fairness * wide * swaps / max(1, len(pairs)) + 1e-3)
+    wide = max((len(g) + len(m) for g, m in zip(gained, lost)), default=0)
+    steps = 1 / (0.25 * mean_size + 2 * fairness * wide * swaps / max(1, pairs) + 1e-3)
     bias_step = 1 / (0.25 * ((weights * (size + 1)).sum() / total))
     for _ in range(rounds):
         grad, grad_bias = gradient(ahead, ahead_bias)
@@ -118,16 +178,18 @@ def fit(
         beta, momentum = (momentum - 1) / following, following
         ahead, ahead_bias = new + beta * (new - w), new_bias + beta * (new_bias - bias)
         w, bias = new, new_bias
-    return float(bias), {f: float(w[i]) for f, i in index.items() if w[i] != 0}
+    return ToxicityModel(float(bias), {f: float(w[i]) for i, f in enumerate(names) if w[i] != 0}, len(set(source)), pairs)
 
 
 def toxicity_model(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    folds: int = 5, held_out: int = 0, sample_rows: int = SAMPLE_ROWS, fairness: float = 1.0,
-) -> tuple[float, dict[bytes, float]]:
-    """``fit`` on a bounded sample outside the held-out fold. Without a labelled document, all score 0.5.
+    folds: int = 5, held_out: int = 0, sample_rows: int = SAMPLE_ROWS, fairness: float = 1.0, terms=IDENTITY_TERMS,
+) -> ToxicityModel:
+    """``fit_model`` on a bounded sample outside the held-out fold. Without a labelled document, all score 0.5.
 
-    The sample reaches the driver as its distinct words, in text order, not as texts.
+    The sample reaches the driver as its distinct words, in text order, not as texts. Where none of these
+    texts names an identity the penalty is empty: the model's ``swaps`` is 0 and a warning says so. Give
+    the corpus's own ``terms`` then.
     """
     sample, counts = labelled_sample(docs, labels, label_col, id_col, text_col, sample_rows, folds, held_out)
 
@@ -136,16 +198,19 @@ def toxicity_model(
 
     rows = add_columns(sample, "text", ["_id", "label"], [("words", pa.binary(), T.BinaryType())], distinct).collect()
     if not rows:
-        return 0.0, {}
+        return ToxicityModel(0.0, {})
     rows.sort(key=lambda r: (str(r["_id"]), bytes(r["words"])))
     target = np.array([r["label"] for r in rows], float)
     drawn = {label: max(1.0, float((target == label).sum())) for label in counts}
     weights = np.array([counts[r["label"]] / drawn[r["label"]] for r in rows], float)
-    return fit([bytes(r["words"]) for r in rows], target, weights, fairness)
+    model = fit_model([bytes(r["words"]) for r in rows], target, weights, fairness, terms=terms)
+    if not model.swaps:
+        warnings.warn("no labelled text names an identity term, so no score change was penalised", stacklevel=2)
+    return model
 
 
 def toxicity_scores(
-    docs: DataFrame, model: tuple[float, dict[bytes, float]], id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text",
     folds: int = 5, held_out: int = 0, carry: list[str] | None = None,
 ) -> DataFrame:
     """The carried columns with held_out, score and predicted for every row.
@@ -154,7 +219,7 @@ def toxicity_scores(
     not held out (nor learned from); an empty table gives no rows; carried columns with these names
     are replaced.
     """
-    bias, weights = model
+    bias, weights = model[:2]
     plain = {f: w for f, w in weights.items() if f[:1] != b"^"}
     begin = {n: {f[1:]: w for f, w in weights.items() if f[:1] == b"^" and len(f) == n + 1} for n in _BEGINNINGS}
 
