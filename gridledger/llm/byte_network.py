@@ -11,10 +11,8 @@ from pyspark.sql import types as T
 from .labelled import labelled_sample, remainder
 from .shared import add_columns
 
-#: Labelled documents that the network is fitted on, for each label at most (by expectation), and the
-#: chunks of each that are used in fitting, evenly spaced over it. Scores use all chunks.
+#: Labelled documents that the network is fitted on, for each label at most (by expectation). Each is used whole.
 SAMPLE_ROWS = 1500
-SAMPLE_CHUNKS = 8
 #: Bytes of a chunk, and how far the next one starts after it.
 CHUNK, STEP = 512, 448
 #: Numbers for each byte; filters; bytes in half a filter's width, which is also the filters' step.
@@ -23,7 +21,7 @@ EPOCHS = 8
 _AT_ONCE = 256
 
 
-def chunks_of(raw: bytes | None, most: int | None = None) -> tuple[np.ndarray, int]:
+def chunks_of(raw: bytes | None) -> tuple[np.ndarray, int]:
     """Overlapping chunks (rows of ``CHUNK`` bytes) that cover a text, and the bytes filled in each.
 
     The last chunk ends where the text does. A text shorter than a chunk is filled up with zeros.
@@ -32,8 +30,6 @@ def chunks_of(raw: bytes | None, most: int | None = None) -> tuple[np.ndarray, i
     if len(data) <= CHUNK:
         return np.pad(data, (0, CHUNK - len(data)))[None], len(data)
     starts = np.append(np.arange(0, len(data) - CHUNK, STEP), len(data) - CHUNK)
-    if most is not None and len(starts) > most:
-        starts = starts[np.linspace(0, len(starts) - 1, most).round().astype(int)]
     return np.lib.stride_tricks.sliding_window_view(data, CHUNK)[starts], CHUNK
 
 
@@ -109,11 +105,27 @@ def network_scores(net: dict[str, np.ndarray], texts: list[bytes | None]) -> np.
     return np.round(1 / (1 + np.exp(-np.clip(logits, -30, 30))), 6)
 
 
+def _backward(
+    net: dict[str, np.ndarray], grads: dict[str, np.ndarray], chunks: np.ndarray, place: np.ndarray, flow: np.ndarray
+) -> None:
+    """Add what some chunks contribute to the gradients of filters and byte numbers."""
+    rows = np.arange(len(chunks))[:, None]
+    windows = np.lib.stride_tricks.sliding_window_view(chunks, 2 * HALF, axis=1)[rows, place * HALF]
+    inputs = net["embed"][windows].reshape(len(chunks), FILTERS, 2, HALF * EMBED)
+    grads["left"] += np.einsum("cfe,cf->ef", inputs[:, :, 0], flow)
+    grads["right"] += np.einsum("cfe,cf->ef", inputs[:, :, 1], flow)
+    both = np.concatenate([net["left"], net["right"]]).T.reshape(FILTERS, 2 * HALF, EMBED)
+    spread = (flow[:, :, None, None] * both).reshape(-1, EMBED)
+    flat = windows.reshape(-1)
+    grads["embed"] += np.stack([np.bincount(flat, spread[:, e], 256) for e in range(EMBED)], axis=1)
+
+
 def fit(texts: list[tuple[np.ndarray, int]], labels: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS, rate: float = 4e-3) -> dict:
     """A network that minimises the weighted log loss over documents given as chunks, by Adam.
 
     The pooled maximum passes its gradient to one window a filter and chunk, so a step back costs
-    little beside the step forward.
+    little beside the step forward. Chunks go through both a bounded number at a time; between them only
+    what the filters pooled is held.
     """
     net = empty_network()
     share = (weights * labels).sum() / weights.sum()
@@ -125,32 +137,28 @@ def fit(texts: list[tuple[np.ndarray, int]], labels: np.ndarray, weights: np.nda
         pace = rate * (1 - epoch / epochs)
         for at in range(0, len(order), 48):
             docs = order[at : at + 48]
-            counts = np.array([len(texts[i][0]) for i in docs])
+            cut = [texts[i] for i in docs]
+            counts = np.array([len(c) for c, _ in cut])
             firsts = np.cumsum(counts) - counts
-            chunks = np.concatenate([texts[i][0] for i in docs])
-            fill = np.repeat([texts[i][1] for i in docs], counts)
-            raw, place = _pooled(net, chunks, fill)
+            chunks = np.concatenate([c for c, _ in cut])
+            fill = np.repeat([f for _, f in cut], counts)
+            pieces = [slice(i, i + _AT_ONCE) for i in range(0, len(chunks), _AT_ONCE)]
+            pooled = [_pooled(net, chunks[p], fill[p]) for p in pieces]
+            raw, place = (np.concatenate(part) for part in zip(*pooled))
             active = np.maximum(raw, 0)
             joined = _combined(active, firsts, counts)
             logit = joined @ net["dense"] + net["shift"]
             error = (scale[docs] * (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels[docs]) / len(docs)).astype(np.float32)
-            grads = {"dense": joined.T @ error, "shift": error.sum(keepdims=True)}
             back = error[:, None] * net["dense"]
             mean, top, low = (np.repeat(back[:, k * FILTERS : (k + 1) * FILTERS], counts, axis=0) for k in range(3))
             per = np.repeat(joined, counts, axis=0)
             flow = mean / np.repeat(counts, counts)[:, None]
             flow += top * (active == per[:, FILTERS : 2 * FILTERS]) + low * (active == per[:, 2 * FILTERS :])
             flow *= raw > 0
-            rows = np.arange(len(chunks))[:, None]
-            windows = np.lib.stride_tricks.sliding_window_view(chunks, 2 * HALF, axis=1)[rows, place * HALF]
-            inputs = net["embed"][windows].reshape(len(chunks), FILTERS, 2, HALF * EMBED)
-            grads["left"] = np.einsum("cfe,cf->ef", inputs[:, :, 0], flow)
-            grads["right"] = np.einsum("cfe,cf->ef", inputs[:, :, 1], flow)
-            grads["bias"] = flow.sum(axis=0)
-            both = np.concatenate([net["left"], net["right"]]).T.reshape(FILTERS, 2 * HALF, EMBED)
-            spread = (flow[:, :, None, None] * both).reshape(-1, EMBED)
-            flat = windows.reshape(-1)
-            grads["embed"] = np.stack([np.bincount(flat, spread[:, e], 256) for e in range(EMBED)], axis=1)
+            grads = {k: np.zeros_like(net[k], np.float64) for k in ("left", "right", "embed")}
+            grads |= {"dense": joined.T @ error, "shift": error.sum(keepdims=True), "bias": flow.sum(axis=0)}
+            for p in pieces:
+                _backward(net, grads, chunks[p], place[p], flow[p])
             step += 1
             for k, grad in grads.items():
                 first[k] += 0.1 * (grad - first[k])
@@ -159,28 +167,43 @@ def fit(texts: list[tuple[np.ndarray, int]], labels: np.ndarray, weights: np.nda
     return net
 
 
+def place_threshold(net: dict[str, np.ndarray], scores: np.ndarray, labels: np.ndarray, threshold: float) -> dict:
+    """The network with its logits moved so that ``threshold`` parts the labels best.
+
+    Best is where the shares of both labels that fall on their own side have the greatest sum; the cut lies
+    in the middle between the two scores it parts. Without both labels nothing moves.
+    """
+    if len(set(labels.tolist())) < 2:
+        return net
+    order = np.argsort(scores, kind="stable")
+    ranked, good = scores[order], labels[order] == 1
+    # A cut before i sends the first i to label 0; only places between unlike scores are cuts.
+    gain = np.cumsum(np.where(good, -1 / good.sum(), 1 / (~good).sum()))[:-1]
+    gain[ranked[1:] == ranked[:-1]] = -np.inf
+    if not len(gain) or gain.max() <= 0:
+        return net
+    i = int(gain.argmax())
+    odds = np.log(np.clip(ranked[i : i + 2], 1e-6, 1 - 1e-6) / np.clip(1 - ranked[i : i + 2], 1e-6, 1 - 1e-6)).mean()
+    return net | {"shift": (net["shift"] + np.log(threshold / (1 - threshold)) - odds).astype(np.float32)}
+
+
 def quality_network(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-    folds: int = 5, held_out: int = 0, sample_rows: int = SAMPLE_ROWS,
+    folds: int = 5, held_out: int = 0, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.3,
 ) -> dict[str, np.ndarray]:
-    """``fit`` on a bounded sample outside the held-out fold, which reaches the driver as at most
-    ``SAMPLE_CHUNKS`` chunks a document. Without a labelled document the network is not fitted, and
-    scores near 0.5."""
+    """``fit`` on a bounded sample of whole texts outside the held-out fold, with ``threshold`` placed where it
+    parts the sample best. Without a labelled document the network is not fitted, and scores near 0.5."""
     sample, counts = labelled_sample(docs, labels, label_col, id_col, text_col, sample_rows, folds, held_out)
-
-    def cut(texts: list[bytes | None]) -> list[list]:
-        pairs = [chunks_of(raw, SAMPLE_CHUNKS) for raw in texts]
-        return [[chunks.tobytes() for chunks, _ in pairs], [fill for _, fill in pairs]]
-
-    fields = [("chunks", pa.binary(), T.BinaryType()), ("fill", pa.int64(), T.LongType())]
-    rows = add_columns(sample, "text", ["_id", "label"], fields, cut).collect()
+    rows = sample.select("_id", "label", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("raw")).collect()
     if not rows:
         return empty_network()
-    rows.sort(key=lambda r: (str(r["_id"]), bytes(r["chunks"])))
+    rows.sort(key=lambda r: (str(r["_id"]), bytes(r["raw"])))
+    texts = [bytes(r["raw"]) for r in rows]
     target = np.array([r["label"] for r in rows], float)
     drawn = {label: max(1.0, float((target == label).sum())) for label in counts}
     weights = np.array([counts[r["label"]] / drawn[r["label"]] for r in rows], float)
-    return fit([(np.frombuffer(r["chunks"], np.uint8).reshape(-1, CHUNK), r["fill"]) for r in rows], target, weights)
+    net = fit([chunks_of(raw) for raw in texts], target, weights)
+    return place_threshold(net, network_scores(net, texts), target, threshold)
 
 
 def quality_scores(

@@ -58,6 +58,35 @@ def test_fairness_penalty_spares_group_mentions():
     assert fair[1][b"rotten"] > 0.3
 
 
+def test_identity_terms_are_swapped_in_the_given_tables(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels"))
+    model = toxicity.toxicity_model(docs, labels)
+    assert model.swaps >= model.mentions > 0
+    known = {r["doc_id"] for r in labels.collect()}
+    spoken = {}
+    for row in docs.where("text is not null").collect():
+        if row["doc_id"] in known and toxicity.swapped(toxicity.words_of(row["text"].encode())):
+            spoken.setdefault(row["lang"], []).append(row["text"].encode())
+    assert set(spoken) == {r["lang"] for r in docs.where("lang is not null").select("lang").distinct().collect()}
+
+    def logit(words):
+        return sum(model.weights.get(f, 0.0) for f in toxicity.features(words))
+
+    # A swap moves no score by much, in whichever language.
+    for texts in spoken.values():
+        for text in texts:
+            words = toxicity.words_of(text)
+            assert all(abs(logit(other) - logit(words)) < 0.5 for other in toxicity.swapped(words))
+
+
+def test_terms_that_no_text_has_are_reported(spark):
+    docs = spark.createDataFrame([(i, "fine words" if i % 2 else "vile words") for i in range(40)], "doc_id bigint, text string")
+    labels = docs.selectExpr("doc_id", "cast(text like 'vile%' as int) as toxic")
+    with pytest.warns(UserWarning, match="no labelled text"):
+        assert toxicity.toxicity_model(docs, labels).swaps == 0
+    assert toxicity.toxicity_model(docs, labels, terms=(("fine", "vile"),)).swaps > 20
+
+
 def test_swaps():
     assert toxicity.swapped([b"nothing", b"here"]) == []
     turns = toxicity.swapped([b"women", b"x", b"women"])
@@ -76,6 +105,37 @@ def test_network_query(spark):
     assert np.mean([a > b for a in good for b in poor]) > 0.85
 
 
+def test_network_on_held_out_rows(spark):
+    sf = SF.replace("sf0.01", "sf0.1")
+    known = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = [r for r in queries.op4_byte_network(spark, sf).collect() if r["held_out"] and known.get(r["doc_id"]) is not None]
+    good, poor = ([r for r in got if known[r["doc_id"]] == k] for k in (1, 0))
+    assert np.mean([a["score"] > b["score"] for a in good for b in poor]) > 0.95
+    assert np.mean([r["predicted"] == 1 for r in poor]) < 0.15
+    assert np.mean([r["predicted"] == 0 for r in good]) < 0.15
+
+
+def test_threshold_parts_the_sample():
+    net = byte_network.empty_network()
+    scores, labels = np.array([0.6, 0.7, 0.8, 0.9]), np.array([0.0, 0.0, 1.0, 1.0])
+    moved = byte_network.place_threshold(net, scores, labels, 0.3)
+    logit = lambda p: np.log(p / (1 - p))
+    after = 1 / (1 + np.exp(-(logit(scores) + moved["shift"][0] - net["shift"][0])))
+    assert (after >= 0.3).tolist() == [False, False, True, True]
+    assert byte_network.place_threshold(net, scores, np.ones(4), 0.3) is net
+    assert byte_network.place_threshold(net, np.full(4, 0.5), labels, 0.3) is net
+
+
+def test_fitting_reads_texts_to_their_end():
+    # Only the last of some forty chunks tells the labels apart.
+    rng = random.Random(3)
+    texts = [("".join(rng.choice("abcdefgh ") for _ in range(18000)) + (" ##**##**" * 20 if i % 2 else " calm day" * 20)).encode() for i in range(40)]
+    labels = np.array([float(i % 2) for i in range(40)])
+    net = byte_network.fit([byte_network.chunks_of(t) for t in texts], labels, np.ones(40), epochs=25, rate=1e-2)
+    scores = byte_network.network_scores(net, texts)
+    assert scores[labels == 1].min() > scores[labels == 0].max()
+
+
 def test_chunks_cover_whole_texts():
     rng = random.Random(0)
     for n in (0, 1, 511, 512, 513, 960, 961, 5000):
