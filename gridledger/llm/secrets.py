@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import re._constants as sre
-import re._parser as sre_parser
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small, stored
+from .pattern_trigrams import trigram_query
+from .shared import join_marks, stored
 
 #: Bytes that a broadcast candidate key is taken to need.
 _KEY_BYTES = 128
@@ -40,65 +39,12 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 
-_MOST_STRINGS = 64
-
 #: Matches folded at a time.
 _BLOCK = 128
 #: Spans from which a text is cut as an array of characters: each cut counts its way through a string.
 _MANY_SPANS = 64
 
 
-def _strings(items) -> list[set[str] | None]:
-    """For each item of a parsed pattern the strings it can be, or None where they are too many."""
-    found: list[set[str] | None] = []
-    for op, arg in items:
-        if op is sre.LITERAL:
-            found.append({chr(arg).lower()})
-        elif op is sre.IN and all(o is sre.LITERAL for o, _ in arg) and len(arg) <= 8:
-            found.append({chr(code).lower() for _, code in arg})
-        elif op is sre.SUBPATTERN:
-            found += _strings(arg[3])
-        elif op is sre.BRANCH:
-            options = [_joined(_strings(branch)) for branch in arg[1]]
-            found.append(None if None in options else set().union(*options))
-        elif op is sre.MAX_REPEAT and arg[:2] == (0, 1):
-            inner = _joined(_strings(arg[2]))
-            found.append(None if inner is None else inner | {""})
-        elif op is sre.MAX_REPEAT and arg[0] == arg[1] and (inner := _joined(_strings(arg[2]))) is not None:
-            found += [inner] * arg[0]
-        else:
-            found.append(None)
-    return found
-
-
-def _joined(parts: list[set[str] | None]) -> set[str] | None:
-    if None in parts:
-        return None
-    strings = reduce(lambda a, b: {x + y for x in a for y in b}, parts, {""})
-    return strings if len(strings) <= _MOST_STRINGS else None
-
-
-def trigram_query(pattern: str) -> list[frozenset[str]]:
-    """Trigrams of lower-cased text that any match must have: at least one set must be there whole.
-
-    Runs of items with few possible strings are spelled out; each run asks for the trigrams of one of
-    its strings. The most selective run is kept. An empty list means that nothing is mandatory.
-    """
-    runs: list[set[str]] = [{""}]
-    for strings in _strings(sre_parser.parse(pattern)):
-        longer = None if strings is None else _joined([runs[-1], strings])
-        if longer is None:
-            runs.append({""} if strings is None else strings)
-        else:
-            runs[-1] = longer
-    options = []
-    for run in runs:
-        sets = {frozenset(s[i : i + 3] for i in range(len(s) - 2)) for s in run}
-        if frozenset() not in sets:
-            options.append(sorted((s for s in sets if not any(t < s for t in sets)), key=sorted))
-    return max(options, key=lambda sets: min(map(len, sets)), default=[])
-
-
 def trigram_postings(texts: DataFrame, key: str, text: str, vocabulary: list[str]) -> DataFrame:
     """The inverted index, as far as rules ask for it: (trigram, key) for each trigram of
     ``vocabulary`` that a lower-cased text holds."""
@@ -108,12 +54,12 @@ def trigram_postings(texts: DataFrame, key: str, text: str, vocabulary: list[str
 
 
 def candidates(postings: DataFrame, key: str, queries: dict[str, list[frozenset[str]]]) -> DataFrame:
-    """One row a key with ``kinds``: the rules whose trigram query it satisfies.
+    """One row a key with ``kinds``, the rules whose trigram query it satisfies, and ``n``, its postings.
 
     A key is in the intersection of some posting lists if it occurs in each of them; what is gathered
     for a key is bounded by the rules' trigrams.
     """
-    held = postings.groupBy(key).agg(F.collect_set("trigram").alias("held"))
+    held = postings.groupBy(key).agg(F.collect_set("trigram").alias("held"), F.count("*").alias("n"))
 
     def whole(trigrams: frozenset[str]) -> Column:
         return reduce(lambda a, b: a & b, [F.array_contains("held", t) for t in sorted(trigrams)])
@@ -122,7 +68,7 @@ def candidates(postings: DataFrame, key: str, queries: dict[str, list[frozenset[
         F.when(reduce(lambda a, b: a | b, [whole(trigrams) for trigrams in sets]), F.lit(kind))
         for kind, sets in queries.items()
     ]
-    return held.select(key, F.array_compact(F.array(*wanted)).alias("kinds")).where("size(kinds) > 0")
+    return held.select(key, F.array_compact(F.array(*wanted)).alias("kinds"), "n").where("size(kinds) > 0")
 
 
 def rule_spans(text: Column, rule: Rule, rank: int) -> Column:
@@ -192,7 +138,7 @@ def _found(docs: DataFrame, text_col: str, rules: tuple[Rule, ...]) -> DataFrame
     if indexed:
         postings = trigram_postings(docs.select(F.xxhash64(text).alias("_key"), text.alias("_text")), "_key", "_text", vocabulary)
         kinds = stored(candidates(postings, "_key", indexed), "secret-candidates")
-        keyed = keyed.join(small(kinds, kinds.count(), _KEY_BYTES), "_key", "left")
+        keyed = join_marks(keyed, kinds, "_key", "kinds", "n", _KEY_BYTES)
     parts = []
     for rank, rule in enumerate(rules):
         spans = rule_spans(F.col("_text"), rule, rank)

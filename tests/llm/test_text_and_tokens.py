@@ -9,13 +9,16 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gridledger.llm import queries
 from gridledger.llm.mixing import fit_rates, mixed, mixing_rates
 from gridledger.llm.packing import capacities, pack, pack_documents
-from gridledger.llm.secrets import RULES, mask_secrets, secret_spans, spans_text, trigram_query
+from gridledger.llm.pattern_trigrams import trigram_query
+from gridledger.llm.secrets import RULES, mask_secrets, secret_spans, spans_text
 
 from .messy import SCHEMA, frame, messy_rows
 
@@ -72,6 +75,26 @@ def test_trigram_queries():
             if re.search(rule.pattern, text) and query:
                 assert any(all(t in text.lower() for t in s) for s in query)
     assert len(sets) == 6
+    assert trigram_query(r"(?:foo|bar)\d{2}bazz\b") == [frozenset({"baz", "azz"})]
+    assert trigram_query(r"x{3}y+") == [frozenset({"xxx", "xxy"})]
+    assert set(trigram_query(r"[\x41-B]\.c??d")) == {frozenset(s) for s in ({"a.c", ".cd"}, {"a.d"}, {"b.c", ".cd"}, {"b.d"})}
+
+
+@pytest.mark.parametrize("pattern", [r"\Qabcd\E", r"[a[b]]cde", r"(abcd", r"abcd)", r"(?x)ab cd", r"(abcd)\1", r"abcd|", r"[]abcd]", "ÄÖÜ", "abc{"])
+def test_patterns_that_ask_for_nothing(pattern):
+    assert trigram_query(pattern) == []
+
+
+PIECES = st.sampled_from(["a", "bc", "Key", r"\.", r"\x20", "[ab]", "[^x]", r"\d", ".", "(?:ab|c)", "(de|f|)", "(?i:Tok)", "_?", "(?:gh)+", "i{2}", "j{1,3}", "k*?", "^", r"\b", "(?=a)"])
+
+
+@given(st.lists(PIECES, min_size=1, max_size=6), st.lists(st.sampled_from(["a", "b", "c", "bc", "Key", "de", "f", "gh", "tok", "TOK", "ii", "jj", "k", " ", ".", "_", "1", "x"]), max_size=14))
+@settings(max_examples=400, deadline=None)
+def test_every_match_has_its_trigrams(pieces, parts):
+    pattern, text = "".join(pieces), "".join(parts)
+    query = trigram_query(pattern)
+    if re.search(pattern, text):
+        assert not query or any(all(t in text.lower() for t in s) for s in query)
 
 
 def test_masking(spark):
