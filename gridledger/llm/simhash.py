@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import add_columns, small, stored
+from .shared import add_columns, join_marks, small, stored
 
 BITS = 64
 #: Rows and columns of a compared tile.
@@ -256,10 +256,12 @@ def near_dedup(
         "components-by-id",
     )
     odd = by_id.where("_rows > 1").select("_id")
-    gone = by_id.where("_rows > 1 or _gone").select("_id")
+    gone = by_id.where("_rows > 1 or _gone").withColumn("_out", F.lit(True))
     id_ = F.col(f"`{id_col}`")
-    plain = docs.where(id_.isNotNull())
-    plain = plain.join(small(gone, gone.count(), 64), id_ == F.col("_id"), "left_anti")
+    # The row goes along as one value, so that its columns cannot be taken for those used here.
+    keyed = docs.where(id_.isNotNull()).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), id_.alias("_id"))
+    plain = join_marks(keyed, gone, "_id", "_out", "_rows", 64).where("_out is null")
+    plain = plain.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
     n_odd = odd.count()
     if not n_odd and found.where("doc_id is null").isEmpty():
         return plain
