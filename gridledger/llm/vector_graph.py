@@ -17,6 +17,9 @@ SEARCH_BEAM = 128
 #: How much nearer a kept neighbour must be to a candidate than the point itself, to make it needless.
 RELAX = 1.2
 _FAR = np.float32(np.inf)
+#: Points of a beam that one step expands, and queries that walk together.
+_STRIDE = 8
+_WALKERS = 256
 #: Powers of two that the longest components of a shard's vectors span.
 _BAND = 16
 
@@ -32,45 +35,62 @@ def _lifted(vectors: np.ndarray) -> np.ndarray:
 
 
 def beam_search(points: np.ndarray, edges: np.ndarray, entry: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``beam`` points found nearest to each query: indices (-1 where fewer) and squared distances.
+    """The ``beam`` points found nearest to each query, nearest first: indices (-1 where fewer) and squared distances."""
+    norms = np.einsum("nd,nd->n", points, points)
+    parts = [_walk(points, norms, edges, entry, queries[at : at + _WALKERS], beam) for at in range(0, max(len(queries), 1), _WALKERS)]
+    return np.concatenate([ids for ids, _ in parts]), np.concatenate([far for _, far in parts])
+
 
-    All queries walk together. Each step expands, for every query, the nearest point of its beam that
-    is not expanded yet; a query is done when its whole beam is.
+def _walk(points: np.ndarray, norms: np.ndarray, edges: np.ndarray, entry: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    """``beam_search`` for some queries that walk together. Each step expands, for every query, the nearest
+    points of its beam that are not expanded yet, ``_STRIDE`` at a time; a query is done when its whole beam is.
     """
     count = len(queries)
-    norms = np.einsum("nd,nd->n", points, points)
     own = np.einsum("nd,nd->n", queries, queries)
+    # Beams in order of distance, the empty places last.
     ids = np.full((count, beam), -1, np.int64)
     far = np.full((count, beam), _FAR)
     done = np.ones((count, beam), bool)
     # A point that was met once is not measured again, whether it is still in the beam or not.
     met = np.zeros((count, len(points)), bool)
     met[:, entry] = True
+    last = np.empty((count, len(points)), np.int32)
     ids[:, 0] = entry
     far[:, 0] = norms[entry] + own - 2 * (queries @ points[entry])
     done[:, 0] = False
     active = np.arange(count)
     while len(active):
-        open_far = np.where(done[active], _FAR, far[active])
-        pick = open_far.argmin(axis=1)
-        alive = open_far[np.arange(len(active)), pick] < _FAR
-        active, pick = active[alive], pick[alive]
-        if not len(active):
-            break
-        done[active, pick] = True
-        near = edges[ids[active, pick]]
-        at = np.maximum(near, 0)
-        valid = (near >= 0) & ~met[active[:, None], at]
-        row, column = np.nonzero(valid)
-        met[active[row], at[row, column]] = True
-        dots = np.einsum("qrd,qd->qr", points[at], queries[active])
-        reach = np.where(valid, norms[at] + own[active][:, None] - 2 * dots, _FAR)
-        all_ids = np.concatenate([ids[active], np.where(valid, near, -1)], axis=1)
-        all_far = np.concatenate([far[active], reach], axis=1)
-        all_done = np.concatenate([done[active], ~valid], axis=1)
-        best = np.argsort(all_far, axis=1, kind="stable")[:, :beam]
-        rows = np.arange(len(active))[:, None]
-        ids[active], far[active], done[active] = all_ids[rows, best], all_far[rows, best], all_done[rows, best]
+        unseen = ~done[active]
+        row, column = np.nonzero(unseen & (np.cumsum(unseen, axis=1, dtype=np.int32) <= _STRIDE))
+        asking = active[row]
+        done[asking, column] = True
+        near = edges[ids[asking, column]]
+        asking = np.broadcast_to(asking[:, None], near.shape)
+        fresh = (near >= 0) & ~met[asking, np.maximum(near, 0)]
+        asking, near = asking[fresh], near[fresh]
+        # Of a point that several expanded ones lead to, one is kept.
+        turn = np.arange(len(near), dtype=np.int32)
+        last[asking, near] = turn
+        once = last[asking, near] == turn
+        asking, near = asking[once], near[once]
+        met[asking, near] = True
+        reach = norms[near] + own[asking] - 2 * np.einsum("nd,nd->n", points[near], queries[asking])
+        better = reach < far[asking, -1]
+        asking, near, reach = asking[better], near[better], reach[better]
+        if len(near):
+            movers, row, counts = np.unique(asking, return_inverse=True, return_counts=True)
+            column = beam + np.arange(len(near)) - np.repeat(np.cumsum(counts) - counts, counts)
+            width = beam + int(counts.max())
+            all_ids = np.full((len(movers), width), -1, np.int64)
+            all_far = np.full((len(movers), width), _FAR)
+            all_done = np.ones((len(movers), width), bool)
+            all_ids[:, :beam], all_far[:, :beam], all_done[:, :beam] = ids[movers], far[movers], done[movers]
+            all_ids[row, column], all_far[row, column], all_done[row, column] = near, reach, False
+            best = np.argsort(all_far, axis=1, kind="stable")[:, :beam]
+            ids[movers] = np.take_along_axis(all_ids, best, 1)
+            far[movers] = np.take_along_axis(all_far, best, 1)
+            done[movers] = np.take_along_axis(all_done, best, 1)
+        active = active[~done[active].all(axis=1)]
     return ids, far
 
 
@@ -83,8 +103,9 @@ def robust_prune(points: np.ndarray, nodes: np.ndarray, options: np.ndarray, deg
     options = np.sort(options, axis=1)
     options[:, 1:][options[:, 1:] == options[:, :-1]] = -1
     options[options == nodes[:, None]] = -1
-    given = points[np.maximum(options, 0)]
-    to_node = ((given - points[nodes][:, None]) ** 2).sum(axis=2)
+    # Seen from the node, so that distances between its options keep their digits.
+    given = points[np.maximum(options, 0)] - points[nodes][:, None]
+    to_node = np.einsum("nod,nod->no", given, given)
     to_node[options < 0] = _FAR
     order = np.argsort(to_node, axis=1, kind="stable")
     options, to_node = np.take_along_axis(options, order, 1), np.take_along_axis(to_node, order, 1)
@@ -98,7 +119,8 @@ def robust_prune(points: np.ndarray, nodes: np.ndarray, options: np.ndarray, deg
         if not found.any():
             break
         kept[found, k] = options[rows, first][found]
-        between = ((given - given[rows, first][:, None]) ** 2).sum(axis=2)
+        dots = np.matmul(given, given[rows, first][:, :, None])[:, :, 0]
+        between = to_node + to_node[rows, first][:, None] - 2 * dots
         needless = relax * relax * between <= to_node
         needless[rows, first] = True
         open_far[needless & found[:, None]] = _FAR
