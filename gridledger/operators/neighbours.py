@@ -1,14 +1,16 @@
 """Counts of neighbours within a radius, for every point.
 
-A cell that lies wholly inside the circle is added as a number. Pairs of cells are refined only where the
-circle's rim may pass, and points are compared only there.
+Where points lie dense, running totals along the columns of a tile give the points between two ends of a column
+as one difference, whatever their number. Elsewhere a cell that lies wholly inside the circle is added as a
+number; pairs of cells are refined only where the circle's rim may pass, and points are compared only there.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.artefacts import artefacts, new_path, stored
@@ -17,6 +19,16 @@ from ..functions.grid import cell_index, packed
 #: Pairs of positions up to which two cells are compared rather than cut into four each.
 PAIRS = 4096
 
+# Least side of a tile of running totals, and the greatest radius that tiles are made for.
+_TILE = 512
+_TILE_R = 1023
+
+# A tile of fewer than one position in so many places is left to the pairs of cells.
+_SPARSE = 256
+
+# Columns that one row looks up: few enough for the JVM to compile the sum.
+_LOOKUPS = 16
+
 
 def _distances(side: int) -> tuple[str, str]:
     """Squares of the least and the greatest distance that points of two cells of a side, i and j cells
@@ -45,6 +57,9 @@ def neighbour_counts(points: DataFrame, r: int, pairs: int = PAIRS) -> DataFrame
 
     * Positions are counted once, and cells of each level from them: a pile of copies is one row, and
       a cell with a third of all points is a number.
+    * For radii up to 1023, tiles that hold many positions for their area are answered by running totals:
+      ``2 r + 1`` differences for a position, however many neighbours it has. No pair of points is made.
+      The rest of this holds for positions in other tiles.
     * A level has cells half as wide as the one before. Whether two cells lie within r, cannot, or may
       partly, follows from their offset alone. Cells within r give their number of points to each
       other; pairs at the rim are compared point by point if that is at most ``pairs`` comparisons, and
@@ -69,22 +84,106 @@ def _counts(points: DataFrame, r: int, pairs: int) -> DataFrame:
         .agg(F.expr("count(*) as m")),
         "positions",
     )
+    if r > _TILE_R:
+        return _by_cells(positions.selectExpr("*", "true as asks"), r, pairs)
+    side = max(_TILE, 2 << r.bit_length())
+    tile = [f"{cell_index('x', side)} as tx", f"{cell_index('y', side)} as ty"]
+    tiles = stored(
+        positions.groupBy(*map(F.expr, tile)).agg(F.expr(f"count(*) * {_SPARSE}L >= {side * side}L as dense")), "tiles"
+    )
+    kinds = {row["dense"] for row in tiles.select("dense").distinct().collect()}
+    if True not in kinds:
+        return _by_cells(positions.selectExpr("*", "true as asks"), r, pairs)
+    dense = _by_totals(positions, tiles.where("dense").select("tx", "ty"), r, side)
+    if False not in kinds:
+        return dense
+    asking = positions.selectExpr("*", *tile).join(tiles, ["tx", "ty"]).selectExpr("x", "y", "m", "not dense as asks")
+    return dense.unionByName(_by_cells(stored(asking, "asking"), r, pairs))
+
+
+def _by_totals(positions: DataFrame, tiles: DataFrame, r: int, side: int) -> DataFrame:
+    """Counts for the positions of the given tiles (tx, ty), each with a margin of ``r`` all round.
+
+    A column of a tile holds, for each of its places, the points up to there. What lies in the circle's part of a
+    column is the difference of two places, and the places' distances from a position are the same for all.
+    A tile is a row of at most ``(side + 2 r) ** 2`` numbers, however many points it has.
+    """
+    width = side + 2 * r
+    met = positions
+    for c in "xy":
+        ends = ", ".join(cell_index(f"({c} {sign} {r})", side) for sign in "-+")
+        met = met.selectExpr("*", f"explode(sequence({ends})) as t{c}")
+    place = {c: f"cast({c} - t{c} * {side}L + {r} as int)" for c in "xy"}
+    placed = met.join(tiles, ["tx", "ty"]).selectExpr("tx", "ty", f"{place['x']} as col", f"{place['y']} as at", "m")
+    # Every column has a place before the first, where its total is 0.
+    margin = tiles.selectExpr("tx", "ty", f"explode(sequence(0, {width - 1})) as col", "-1 as at", "0L as m")
+    # An explicit number: a tile's work does not show in its bytes, by which AQE would merge them.
+    parts = int(positions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    column = Window.partitionBy("tx", "ty", "col").orderBy("at")
+    summed = placed.unionByName(margin).repartition(parts, "tx", "ty").select(
+        "tx", "ty", "col", "at", "m",
+        F.sum("m").over(column.rowsBetween(Window.unboundedPreceding, 0)).alias("total"),
+        (F.lead("at", 1, width).over(column) - F.col("at")).alias("run"),
+    )
+    inner = f"between {r} and {r + side - 1}"
+    columns = (
+        summed.groupBy("tx", "ty", "col")
+        .agg(F.expr("sort_array(collect_list(struct(at, m, total, run))) as spots"))
+        .selectExpr(
+            "tx", "ty", "col", "flatten(transform(spots, s -> array_repeat(s.total, s.run))) as totals",
+            f"transform(filter(spots, s -> col {inner} and s.at {inner}), s -> struct(s.at, s.m)) as own",
+        )
+    )
+    whole = (
+        columns.groupBy("tx", "ty")
+        .agg(F.expr("sort_array(collect_list(struct(col, totals, own))) as columns"))
+        .selectExpr("tx", "ty", "flatten(transform(columns, c -> c.totals)) as totals", "transform(columns, c -> struct(c.col, c.own)) as columns")
+    )
+    # Distances, in the row of numbers, to the last place within r and to the one before the first.
+    ends = []
+    for d in range(-r, r + 1):
+        half = math.isqrt(r * r - d * d)
+        ends.append((d * (width + 1) + half, d * (width + 1) - half - 1))
+    ends += [(0, 0)] * (-len(ends) % _LOOKUPS)
+    steps = ", ".join(
+        "struct({}, {})".format(*(f"array({', '.join(map(str, part))}) as {name}" for name, part in zip(("last", "before"), zip(*ends[k : k + _LOOKUPS]))))
+        for k in range(0, len(ends), _LOOKUPS)
+    )
+    some = " + ".join(f"totals[place + s.last[{k}]] - totals[place + s.before[{k}]]" for k in range(_LOOKUPS))
+    return (
+        whole.selectExpr("tx", "ty", "totals", "explode(columns) as c")
+        .selectExpr("tx", "ty", "totals", "c.col", "explode(c.own) as o")
+        .selectExpr("tx", "ty", "totals", "col", "o.at", "o.m", f"col * {width + 1} + o.at + 1 as place", f"explode(array({steps})) as s")
+        .selectExpr("tx", "ty", "col", "at", "m", f"{some} as some")
+        .groupBy("tx", "ty", "col", "at", "m")
+        .agg(F.expr("sum(some) as within"))
+        .selectExpr(
+            f"cast(tx * {side}L + col - {r} as int) as x", f"cast(ty * {side}L + at - {r} as int) as y", "m as copies", "within - 1 as neighbours"
+        )
+    )
+
+
+def _by_cells(positions: DataFrame, r: int, pairs: int) -> DataFrame:
+    """Counts for the positions that ask, among all."""
+
     def key(side: int) -> str:
         return packed(cell_index("x", side), cell_index("y", side))
 
     def cells(side: int) -> DataFrame:
-        return positions.groupBy(F.expr(f"{key(side)} as cell")).agg(F.expr("sum(m) as n"), F.expr("count(*) as spots"))
+        return positions.groupBy(F.expr(f"{key(side)} as cell")).agg(
+            F.expr("sum(m) as n"), F.expr("count(*) as spots"), F.expr("count_if(asks) as asking")
+        )
 
     # Cells about as wide as the radius: those that matter to one are among the 25 around it.
     side = 1 << max(r, 1).bit_length()
     level = stored(cells(side), "cells")
     around = ", ".join(f"struct({i}L as i, {j}L as j)" for i in range(-2, 3) for j in range(-2, 3))
     met = (
-        level.selectExpr("cell as a", "spots as aspots", f"explode(array({around})) as d")
+        level.where("asking > 0").selectExpr("cell as a", "asking as aspots", f"explode(array({around})) as d")
         .selectExpr("a", "aspots", f"a + {packed('d.i', 'd.j')} as b", "d.i", "d.j")
         .join(level.selectExpr("cell as b", "n as bn", "spots as bspots"), "b")
     )
-    given = level.selectExpr("cell", "0L as had")
+    given = level.where("asking > 0").selectExpr("cell", "0L as had")
     compared = []
     while True:
         near, far = _distances(side)
@@ -104,16 +203,16 @@ def _counts(points: DataFrame, r: int, pairs: int) -> DataFrame:
         quarters = stored(
             cells(side).selectExpr("*", f"{packed(f'({_row("cell")} >> 1)', f'({_column("cell")} >> 1)')} as parent"), "quarters"
         )
-        given = quarters.join(given.selectExpr("cell as parent", "had"), "parent").select("cell", "had")
+        given = quarters.where("asking > 0").join(given.selectExpr("cell as parent", "had"), "parent").select("cell", "had")
         met = (
             rest.select("a", "b")
-            .join(quarters.selectExpr("parent as a", "cell as qa", "spots as aspots"), "a")
+            .join(quarters.where("asking > 0").selectExpr("parent as a", "cell as qa", "asking as aspots"), "a")
             .join(quarters.selectExpr("parent as b", "cell as qb", "n as bn", "spots as bspots"), "b")
             .selectExpr("qa as a", "aspots", "qb as b", "bn", "bspots", f"{_row('(qb - qa)')} as i", f"{_column('(qb - qa)')} as j")
         )
     close = reduce(DataFrame.unionByName, compared).groupBy("x", "y").agg(F.expr("sum(m) as close"))
     return (
-        positions.selectExpr("*", f"{key(side)} as cell")
+        positions.where("asks").selectExpr("*", f"{key(side)} as cell")
         .join(given, "cell")
         .join(close, ["x", "y"], "left")
         # The point itself is one of those within r.
@@ -123,7 +222,7 @@ def _counts(points: DataFrame, r: int, pairs: int) -> DataFrame:
 
 def _compared(placed: DataFrame, rim: DataFrame, r: int) -> DataFrame:
     """(x, y, m): for each position of a cell a, the points of b that are within r."""
-    asking = rim.select("a", "b").join(placed.selectExpr("cell as a", "x as ax", "y as ay"), "a")
+    asking = rim.select("a", "b").join(placed.where("asks").selectExpr("cell as a", "x as ax", "y as ay"), "a")
     near = asking.join(placed.selectExpr("cell as b", "x as bx", "y as by", "m"), "b").where(
         f"(ax - bx) * (ax - bx) + (ay - by) * (ay - by) <= {r}L * {r}L"
     )

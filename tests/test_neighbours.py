@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 from gridledger import schemas
-from gridledger.operators import distance_outliers, neighbour_counts
+from gridledger.operators import distance_outliers, neighbour_counts, neighbours
 
 
 def brute(points, r):
@@ -56,3 +56,23 @@ def test_outliers_are_the_points_with_few_neighbours(spark):
     df = spark.createDataFrame([(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(600)], schemas.POINTS)
     few = [r for r in neighbour_counts(df, 20).collect() if r.neighbours < 4]
     assert sorted((r.x, r.y) for r in few for _ in range(r.copies)) == sorted(tuple(r) for r in distance_outliers(df, 20, 4).collect())
+
+
+@pytest.mark.parametrize("r", [0, 1, 7, 40])
+def test_dense_tiles_are_counted_without_pairs(spark, r, monkeypatch):
+    def pairs(*_):
+        raise AssertionError("pairs of points")
+
+    monkeypatch.setattr(neighbours, "_compared", pairs)
+    rng = random.Random(r)
+    # Half of all places of a square on the corner of four tiles, so that each has enough of them.
+    points = [(rng.randint(-70, 69), rng.randint(-70, 69)) for _ in range(20_000)] + [(3, 4)] * 700
+    assert found(spark, points, r) == brute(points, r)
+
+
+@pytest.mark.parametrize("r", [5, 90, 400])
+def test_dense_tiles_beside_sparse_ones(spark, r):
+    rng = random.Random(r)
+    points = [(rng.randint(500, 570), rng.randint(-100, 100)) for _ in range(9000)]
+    points += [(rng.randint(-900, 1900), rng.randint(-900, 900)) for _ in range(400)]
+    assert found(spark, points, r, pairs=100) == brute(points, r)
