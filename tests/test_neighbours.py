@@ -70,6 +70,15 @@ def test_dense_tiles_are_counted_without_pairs(spark, r, monkeypatch):
     assert found(spark, points, r) == brute(points, r)
 
 
+def test_a_wide_radius_over_dense_tiles_takes_no_pairs(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "_compared", None)
+    monkeypatch.setattr(neighbours, "_SPARSE", 1 << 40)
+    rng = random.Random(5)
+    points = [(rng.randint(-1500, 1500), rng.randint(-300, 900)) for _ in range(900)]
+    points += [(0, 0), (400, 0), (0, 401), (-400, 0), (240, 320), (2**31 - 1, -(2**31))]
+    assert found(spark, points, 400, pairs=256) == brute(points, 400)
+
+
 @pytest.mark.parametrize("r", [5, 90, 400])
 def test_dense_tiles_beside_sparse_ones(spark, r):
     rng = random.Random(r)
