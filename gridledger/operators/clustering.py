@@ -20,6 +20,9 @@ LITERAL_CENTRES = 1000
 # Candidates that a cell may keep before it is cut into four.
 _LEAF = 16
 
+# Extent, in bits, up to which the costs of a cell's candidates and their places fit a BIGINT.
+_EXACT_BITS = 27
+
 # Up to this many centres the nearest one is a flat expression, compiled into the scan's stage.
 # Beyond it the generated method would pass the 8000 bytecodes up to which the JVM compiles one.
 _FLAT_CENTRES = 32
@@ -202,10 +205,55 @@ def candidate_cells(centres: DataFrame, low: tuple[int, int], bits: int, leaf: i
     return reduce(DataFrame.unionByName, done)
 
 
-def _assigned(points: DataFrame, cells: DataFrame, low: tuple[int, int], wide: bool, broadcast_bytes: int) -> DataFrame:
+def _assigned(points: DataFrame, cells: DataFrame, low: tuple[int, int], extent: int, broadcast_bytes: int) -> DataFrame:
     """All columns of the points (x, y and others), with ``idx`` of the nearest centre, the lowest on ties, and
-    ``dist2``, the square of its distance."""
-    sizes = cells.groupBy("level").agg(F.first("size").alias("size"), F.expr("sum(size(near_centres) + 4) as entries")).collect()
+    ``dist2``, the square of its distance.
+
+    Cells of up to ``_LEAF`` candidates have a column for each, so that the least cost (see ``nearest_centre``,
+    coordinates counted from ``low``) is one flat expression; other cells go through their lists.
+    """
+    sizes = cells.groupBy("level").agg(F.first("size").alias("size"), F.expr("sum(size(near_centres) + 4) as entries"), F.expr("max(size(near_centres)) as most")).collect()
+    if extent.bit_length() > _EXACT_BITS:
+        return _assigned_by_lists(points, cells, sizes, low, extent >= 1 << 30, broadcast_bytes)
+    listed = [row for row in sizes if row["most"] > _LEAF]
+    flat = cells.where(f"size(near_centres) <= {_LEAF}")
+    sorted_cells = flat.selectExpr("level", "cx", "cy", "sort_array(transform(near_centres, c -> struct(c.idx, c.x - {}L as x, c.y - {}L as y))) as c".format(*low))
+    # Costs are compared times _LEAF, plus the place, which settles ties.
+    columns = [
+        f"{value} as {name}{k}"
+        for k in range(_LEAF)
+        for name, value in (
+            ("f", f"{_LEAF} * (get(c, {k}).x * get(c, {k}).x + get(c, {k}).y * get(c, {k}).y) + {k}L"),
+            ("fx", f"{2 * _LEAF}L * get(c, {k}).x"),
+            ("fy", f"{2 * _LEAF}L * get(c, {k}).y"),
+        )
+    ]
+    told = sorted_cells.selectExpr("level", "cx", "cy", "c.idx as ids", *columns)
+    if sum(row["entries"] for row in sizes) * 32 + cells.count() * (24 * _LEAF + ROW_OVERHEAD) <= broadcast_bytes:
+        told = F.broadcast(told)
+    costs = ", ".join(f"f{k} - px * fx{k} - py * fy{k}" for k in range(_LEAF))
+    names = [f"`{c}`" for c in points.columns]
+    levels = ", ".join(f"struct({row['level']} as level, {row['size']}L as size)" for row in sizes)
+    placed = points.select(F.struct(*[F.col(c) for c in names]).alias("p"), F.expr(f"x - {low[0]}L as px"), F.expr(f"y - {low[1]}L as py"))
+    found = (
+        placed.selectExpr("*", f"explode(array({levels})) as l")
+        .selectExpr("p", "px", "py", "l.level", "px div l.size as cx", "py div l.size as cy")
+        .join(told, ["level", "cx", "cy"])
+        .selectExpr("p", "px", "py", "ids", f"least({costs}) as least_cost")
+        .selectExpr(
+            "p.*", f"ids[cast(pmod(least_cost, {_LEAF}L) as int)] as idx",
+            f"px * px + py * py + (least_cost - pmod(least_cost, {_LEAF}L)) div {_LEAF}L as dist2",
+        )
+    )
+    if not listed:
+        return found
+    many = cells.where(f"size(near_centres) > {_LEAF}")
+    return found.unionByName(_assigned_by_lists(points, many, listed, low, False, broadcast_bytes))
+
+
+def _assigned_by_lists(
+    points: DataFrame, cells: DataFrame, sizes: list[Row], low: tuple[int, int], wide: bool, broadcast_bytes: int
+) -> DataFrame:
     levels = ", ".join(f"struct({row['level']} as level, {row['size']}L as size)" for row in sizes)
     if sum(row["entries"] for row in sizes) * 32 <= broadcast_bytes:
         cells = F.broadcast(cells)
@@ -280,7 +328,7 @@ def assign_centres(
     table = _checked_table(centres)
     low, extent = _bounds(placed, table)
     cells = stored(candidate_cells(table, low, max(1, extent.bit_length())), "cells")
-    return _assigned(placed, cells, low, extent >= 1 << 30, broadcast_bytes).withColumn("dist2", F.col("dist2").cast("long"))
+    return _assigned(placed, cells, low, extent, broadcast_bytes).withColumn("dist2", F.col("dist2").cast("long"))
 
 
 def _kmeans_by_cells(
@@ -296,8 +344,12 @@ def _kmeans_by_cells(
         # What a round looks up is gone after it; only its centres stay.
         with artefacts(points.sparkSession):
             cells = stored(candidate_cells(centres, low, bits), "cells")
-            sums = _assigned(points, cells, low, extent >= 1 << 30, broadcast_bytes).groupBy("idx").agg(
-                F.expr("sum(x) as sx"), F.expr("sum(y) as sy"), F.expr("count(*) as n")
+            # Stored: a join straight on it would push a test for nulls, and with it the whole search, below again.
+            sums = stored(
+                _assigned(points, cells, low, extent, broadcast_bytes)
+                .groupBy("idx")
+                .agg(F.expr("sum(x) as sx"), F.expr("sum(y) as sy"), F.expr("count(*) as n")),
+                "sums",
             )
             moved = sums.selectExpr("idx", "cast(sx div n as int) as x", "cast(sy div n as int) as y").join(
                 centres.selectExpr("idx", "x as ox", "y as oy"), "idx"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridledger import schemas
 from gridledger.functions.artefacts import artefacts
 from gridledger.functions.grid import merged_ranges
-from gridledger.operators import assign_centres, kmeans
+from gridledger.operators import assign_centres, clustering, kmeans
 from gridledger.operators.clustering import PlacedPoints, nearest_centre
 
 
@@ -222,3 +222,22 @@ def test_assignments_equal_brute_force(spark, literal):
 def test_ranges_cover_their_keys():
     assert merged_ranges([], 4) == [] and merged_ranges([5, 3, 4, 9], 4) == [(3, 5), (9, 9)]
     assert merged_ranges([1, 10, 12, 40], 2) == [(1, 12), (40, 40)] and merged_ranges([1, 10], 1) == [(1, 10)]
+
+
+def test_few_candidates_are_compared_without_lists(spark, monkeypatch):
+    monkeypatch.setattr(clustering, "_assigned_by_lists", None)
+    rng = random.Random(4)
+    points = spark.createDataFrame([(rng.randint(-500, 500), rng.randint(-500, 500)) for _ in range(800)], schemas.POINTS)
+    seeds = spark.createDataFrame([(i * 3, rng.randint(-500, 500), rng.randint(-500, 500)) for i in range(60)], "idx int, x int, y int")
+    by_cells, literal = (sorted(map(tuple, kmeans(points, seeds, max_iter=3, literal_centres=n).collect())) for n in (0, 100))
+    assert by_cells == literal
+
+
+def test_more_candidates_than_columns(spark):
+    # All on one circle round the origin, whose cell keeps every one of them.
+    ring = [(x, y) for x in range(-19, 20) for y in range(-19, 20) if x * x + y * y == 325]
+    assert len(ring) == 24
+    centres = spark.createDataFrame([(50 - i, x, y) for i, (x, y) in enumerate(ring)], "idx int, x int, y int")
+    points = [(x, y) for x in range(-6, 7) for y in range(-6, 7)]
+    got = sorted(tuple(r) for r in assign_centres(spark.createDataFrame(points, schemas.POINTS), centres, literal_centres=0).collect())
+    assert got == sorted((x, y, *min(((x - a) ** 2 + (y - b) ** 2, 50 - i) for i, (a, b) in enumerate(ring))[::-1]) for x, y in points)
