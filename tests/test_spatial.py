@@ -134,3 +134,15 @@ def test_outliers_shrink_with_r_and_grow_with_k(spark):
     assert by_r[0] >= by_r[1] >= by_r[2]
     by_k = [set(bag(distance_outliers(points, 15, k))) for k in (1, 3, 6)]
     assert by_k[0] <= by_k[1] <= by_k[2]
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_large_rectangles_are_joined_by_half_cells(spark, limit):
+    # Fewer points tested in vain: two by two halves where one cell would be as large as the rectangle.
+    assert spatial._halved([(4, 32), (128, 8), (1024, 64)], (2, 2)) == ([(4, 32), (64, 8), (512, 32)], [4, 6, 9])
+    assert spatial._halved([(128, 128)], (100, 2)) == ([(128, 64)], [6])
+    rng = random.Random(3)
+    points = [(rng.randint(-900, 900), rng.randint(-900, 900)) for _ in range(500)]
+    rects = [(f"r{i}", rng.randint(-1000, 800), rng.randint(-1000, 800), *rng.choice([(100, 100), (900, 3), (7, 900), (2, 9)])) for i in range(120)]
+    got = spatial_join(frame(spark, points, schemas.POINTS), frame(spark, rects, schemas.RECTANGLES), broadcast_bytes=limit)
+    assert bag(got) == brute_join(points, rects)
