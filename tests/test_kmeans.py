@@ -241,3 +241,18 @@ def test_more_candidates_than_columns(spark):
     points = [(x, y) for x in range(-6, 7) for y in range(-6, 7)]
     got = sorted(tuple(r) for r in assign_centres(spark.createDataFrame(points, schemas.POINTS), centres, literal_centres=0).collect())
     assert got == sorted((x, y, *min(((x - a) ** 2 + (y - b) ** 2, 50 - i) for i, (a, b) in enumerate(ring))[::-1]) for x, y in points)
+
+
+def test_a_round_searches_once_for_each_point(spark, monkeypatch):
+    labels, keep = [], clustering.stored
+
+    def noted(df, label, **options):
+        labels.append(label)
+        return keep(df, label, **options)
+
+    monkeypatch.setattr(clustering, "stored", noted)
+    points = spark.createDataFrame([(0, 0), (9, 9)], schemas.POINTS)
+    seeds = spark.createDataFrame([(0, 1, 1), (1, 8, 8)], "idx int, x int, y int")
+    assert sorted(map(tuple, kmeans(points, seeds, max_iter=1, literal_centres=0).collect())) == [(0, 0, 0, "CHANGED"), (1, 9, 9, "CHANGED")]
+    # The join with the old centres reads sums, not the search.
+    assert labels.index("sums") < labels.index("centres")
