@@ -8,9 +8,12 @@ number; pairs of cells are refined only where the circle's rim may pass, and poi
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.artefacts import artefacts, new_path, stored
@@ -26,8 +29,15 @@ _TILE_R = 1023
 # A tile of fewer than one position in so many places is left to the pairs of cells.
 _SPARSE = 256
 
-# Columns that one row looks up: few enough for the JVM to compile the sum.
-_LOOKUPS = 16
+# Share of a tile's places up to which positions are looked up one by one, instead of all places in order;
+# how many at a time; and columns of a strip, whose totals are to stay in a core's cache.
+_GATHERED = 1 / 64
+_GATHER = 4096
+_STRIP = 32
+
+# Partitions for a tile, that two seldom share one, and the most of them.
+_TILES_APART = 3
+_PARTS = 4096
 
 
 def _distances(side: int) -> tuple[str, str]:
@@ -91,78 +101,84 @@ def _counts(points: DataFrame, r: int, pairs: int) -> DataFrame:
     tiles = stored(
         positions.groupBy(*map(F.expr, tile)).agg(F.expr(f"count(*) * {_SPARSE}L >= {side * side}L as dense")), "tiles"
     )
-    kinds = {row["dense"] for row in tiles.select("dense").distinct().collect()}
+    kinds = {row["dense"]: row["n"] for row in tiles.groupBy("dense").agg(F.expr("count(*) as n")).collect()}
     if True not in kinds:
         return _by_cells(positions.selectExpr("*", "true as asks"), r, pairs)
-    dense = _by_totals(positions, tiles.where("dense").select("tx", "ty"), r, side)
+    dense = _by_totals(positions, tiles.where("dense").select("tx", "ty"), r, side, kinds[True])
     if False not in kinds:
         return dense
     asking = positions.selectExpr("*", *tile).join(tiles, ["tx", "ty"]).selectExpr("x", "y", "m", "not dense as asks")
     return dense.unionByName(_by_cells(stored(asking, "asking"), r, pairs))
 
 
-def _by_totals(positions: DataFrame, tiles: DataFrame, r: int, side: int) -> DataFrame:
+def _by_totals(positions: DataFrame, tiles: DataFrame, r: int, side: int, n_tiles: int) -> DataFrame:
     """Counts for the positions of the given tiles (tx, ty), each with a margin of ``r`` all round.
 
     A column of a tile holds, for each of its places, the points up to there. What lies in the circle's part of a
     column is the difference of two places, and the places' distances from a position are the same for all.
-    A tile is a row of at most ``(side + 2 r) ** 2`` numbers, however many points it has.
+    A tile is a task's array of ``(side + 2 r) ** 2`` numbers, however many points it has.
     """
     width = side + 2 * r
     met = positions
     for c in "xy":
         ends = ", ".join(cell_index(f"({c} {sign} {r})", side) for sign in "-+")
         met = met.selectExpr("*", f"explode(sequence({ends})) as t{c}")
-    place = {c: f"cast({c} - t{c} * {side}L + {r} as int)" for c in "xy"}
-    placed = met.join(tiles, ["tx", "ty"]).selectExpr("tx", "ty", f"{place['x']} as col", f"{place['y']} as at", "m")
-    # Every column has a place before the first, where its total is 0.
-    margin = tiles.selectExpr("tx", "ty", f"explode(sequence(0, {width - 1})) as col", "-1 as at", "0L as m")
+    # A column has one place before the first, where its total is 0.
+    place = f"cast((x - tx * {side}L + {r}) * {width + 1} + y - ty * {side}L + {r} + 1 as int) as place"
+    placed = met.join(tiles, ["tx", "ty"]).selectExpr("tx", "ty", place, "m")
     # An explicit number: a tile's work does not show in its bytes, by which AQE would merge them.
-    parts = int(positions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    column = Window.partitionBy("tx", "ty", "col").orderBy("at")
-    summed = placed.unionByName(margin).repartition(parts, "tx", "ty").select(
-        "tx", "ty", "col", "at", "m",
-        F.sum("m").over(column.rowsBetween(Window.unboundedPreceding, 0)).alias("total"),
-        (F.lead("at", 1, width).over(column) - F.col("at")).alias("run"),
-    )
-    inner = f"between {r} and {r + side - 1}"
-    columns = (
-        summed.groupBy("tx", "ty", "col")
-        .agg(F.expr("sort_array(collect_list(struct(at, m, total, run))) as spots"))
-        .selectExpr(
-            "tx", "ty", "col", "flatten(transform(spots, s -> array_repeat(s.total, s.run))) as totals",
-            f"transform(filter(spots, s -> col {inner} and s.at {inner}), s -> struct(s.at, s.m)) as own",
-        )
-    )
-    whole = (
-        columns.groupBy("tx", "ty")
-        .agg(F.expr("sort_array(collect_list(struct(col, totals, own))) as columns"))
-        .selectExpr("tx", "ty", "flatten(transform(columns, c -> c.totals)) as totals", "transform(columns, c -> struct(c.col, c.own)) as columns")
-    )
-    # Distances, in the row of numbers, to the last place within r and to the one before the first.
-    ends = []
-    for d in range(-r, r + 1):
-        half = math.isqrt(r * r - d * d)
-        ends.append((d * (width + 1) + half, d * (width + 1) - half - 1))
-    ends += [(0, 0)] * (-len(ends) % _LOOKUPS)
-    steps = ", ".join(
-        "struct({}, {})".format(*(f"array({', '.join(map(str, part))}) as {name}" for name, part in zip(("last", "before"), zip(*ends[k : k + _LOOKUPS]))))
-        for k in range(0, len(ends), _LOOKUPS)
+    parts = max(int(positions.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(_TILES_APART * n_tiles, _PARTS))
+    counted = placed.repartition(parts, "tx", "ty").groupBy("tx", "ty").applyInArrow(
+        _tile_counts(r, side), "tx long, ty long, place int, m long, within long"
     )
-    some = " + ".join(f"totals[place + s.last[{k}]] - totals[place + s.before[{k}]]" for k in range(_LOOKUPS))
-    return (
-        whole.selectExpr("tx", "ty", "totals", "explode(columns) as c")
-        .selectExpr("tx", "ty", "totals", "c.col", "explode(c.own) as o")
-        .selectExpr("tx", "ty", "totals", "col", "o.at", "o.m", f"col * {width + 1} + o.at + 1 as place", f"explode(array({steps})) as s")
-        .selectExpr("tx", "ty", "col", "at", "m", f"{some} as some")
-        .groupBy("tx", "ty", "col", "at", "m")
-        .agg(F.expr("sum(some) as within"))
-        .selectExpr(
-            f"cast(tx * {side}L + col - {r} as int) as x", f"cast(ty * {side}L + at - {r} as int) as y", "m as copies", "within - 1 as neighbours"
-        )
+    column = f"(place div {width + 1})"
+    return counted.selectExpr(
+        f"cast(tx * {side}L + {column} - {r} as int) as x", f"cast(ty * {side}L + (place - {column} * {width + 1}) - {r} - 1 as int) as y",
+        "m as copies", "within - 1 as neighbours",
     )
 
 
+def _tile_counts(r: int, side: int) -> Callable[[pa.Table], pa.Table]:
+    """For the places of one tile that are not in its margin: (tx, ty, place, m, within)."""
+    width = side + 2 * r
+    ends = [(d, math.isqrt(r * r - d * d)) for d in range(-r, r + 1)]
+    rare, batch, rows = _GATHERED * side * side, _GATHER, _STRIP
+
+    def counts(rows_of_tile: pa.Table) -> pa.Table:
+        places = rows_of_tile["place"].to_numpy()
+        copies = rows_of_tile["m"].to_numpy()
+        # Half the bytes where every total fits; sums may then wrap on the way, but not in the end.
+        number = np.int32 if copies.sum(dtype=np.float64) < 2**31 else np.int64
+        totals = np.zeros((width, width + 1), number)
+        flat = totals.reshape(-1)
+        flat[places] = copies
+        np.cumsum(totals, axis=1, out=totals)
+        col, at = np.divmod(places, width + 1)
+        own = (col >= r) & (col < r + side) & (at > r) & (at <= r + side)
+        asked, own_copies = places[own].astype(np.int64), copies[own]
+        if len(asked) < rare:
+            within = np.zeros(len(asked), np.int64)
+            for a in range(0, len(asked), batch):
+                some, found = asked[a : a + batch], within[a : a + batch]
+                for d, half in ends:
+                    found += flat[some + (d * (width + 1) + half)]
+                    found -= flat[some + (d * (width + 1) - half - 1)]
+        else:
+            # Strips of columns, few enough to stay in a core's cache while all distances are gone through.
+            sums = np.zeros((side, side), number)
+            for a in range(0, side, rows):
+                strip = sums[a : a + rows]
+                for d, half in ends:
+                    near = totals[a + r + d : a + r + d + len(strip)]
+                    strip += near[:, r + half + 1 : r + half + 1 + side]
+                    strip -= near[:, r - half : r - half + side]
+            within = sums[col[own] - r, at[own] - r - 1].astype(np.int64)
+        tile = [pa.repeat(pa.scalar(rows_of_tile[c][0].as_py(), pa.int64()), len(asked)) for c in ("tx", "ty")]
+        return pa.table([*tile, asked.astype(np.int32), own_copies, within], names=["tx", "ty", "place", "m", "within"])
+
+    return counts
+
+
 def _by_cells(positions: DataFrame, r: int, pairs: int) -> DataFrame:
     """Counts for the positions that ask, among all."""
 

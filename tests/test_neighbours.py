@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from gridledger import schemas
@@ -85,3 +86,31 @@ def test_dense_tiles_beside_sparse_ones(spark, r):
     points = [(rng.randint(500, 570), rng.randint(-100, 100)) for _ in range(9000)]
     points += [(rng.randint(-900, 1900), rng.randint(-900, 900)) for _ in range(400)]
     assert found(spark, points, r, pairs=100) == brute(points, r)
+
+
+@pytest.mark.parametrize("gathered", [0, 2])
+@pytest.mark.parametrize("copies", [1, 2**33])
+def test_a_tile_is_counted_whole_in_one_array(gathered, copies, monkeypatch):
+    monkeypatch.setattr(neighbours, "_GATHERED", gathered)
+    rng = random.Random(6)
+    r, side = 9, 40
+    width = side + 2 * r
+    spots = {(rng.randrange(width), rng.randrange(width)): copies * rng.randint(1, 3) for _ in range(900)}
+    places = [x * (width + 1) + y + 1 for x, y in spots]
+    n = len(places)
+    tile = pa.table({"tx": [3] * n, "ty": [-2] * n, "place": pa.array(places, pa.int32()), "m": pa.array(spots.values(), pa.int64())})
+    inner = [(x, y) for x, y in spots if r <= x < r + side and r <= y < r + side]
+    told = neighbours._tile_counts(r, side)(tile).to_pylist()
+    assert [(row["tx"], row["ty"], row["place"], row["m"], row["within"]) for row in told] == [
+        (3, -2, x * (width + 1) + y + 1, spots[x, y], sum(m for (a, b), m in spots.items() if (a - x) ** 2 + (b - y) ** 2 <= r * r)) for x, y in inner
+    ]
+
+
+def test_positions_of_dense_tiles_are_no_rows_for_each_column(spark):
+    df = spark.createDataFrame([(x, y, 1) for x in range(30) for y in range(30)], "x long, y long, m long")
+    counted = neighbours._by_totals(df, df.selectExpr("0L as tx", "0L as ty").distinct(), 400, 1024, 1)
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan
+    # Margins only: one for each coordinate.
+    assert plan.count("Generate explode") == 2
+    assert sorted(map(tuple, counted.collect())) == [(x, y, 1, 899) for x in range(30) for y in range(30)]
