@@ -20,6 +20,12 @@ LITERAL_CENTRES = 1000
 # Candidates that a cell may keep before it is cut into four.
 _LEAF = 16
 
+# Rows of candidates up to which several cuts into four are made at once.
+_CUT_ROWS = 1 << 22
+
+# Rows of candidates for a task.
+_TASK_ROWS = 1 << 14
+
 # Extent, in bits, up to which the costs of a cell's candidates and their places fit a BIGINT.
 _EXACT_BITS = 27
 
@@ -165,11 +171,13 @@ def candidate_cells(centres: DataFrame, low: tuple[int, int], bits: int, leaf: i
     The square starts at ``low`` and is 2**bits wide. A cell keeps a centre if its nearest point of the
     cell is no farther than the farthest point of the cell is from some other centre. Cells with more
     than ``leaf`` candidates are cut into four, all of a level together: a level is one aggregate and
-    one join over the candidates that are left.
+    one join over the candidates that are left. Where cells have many times that, several cuts are made at once.
     """
     open_cells = centres.groupBy("x", "y").agg(F.min("idx").alias("idx")).selectExpr("0L as cx", "0L as cy", "idx", "x", "y")
+    most_tasks = int(centres.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     done = []
-    for level in range(bits + 1):
+    level = 0
+    while True:
         size = 1 << (bits - level)
         left, top = f"(cx * {size}L + {low[0]}L)", f"(cy * {size}L + {low[1]}L)"
 
@@ -197,11 +205,27 @@ def candidate_cells(centres: DataFrame, low: tuple[int, int], bits: int, leaf: i
             .selectExpr(f"{level} as level", f"{size}L as size", "cx", "cy", "near_centres")
         )
         rest = kept.where(full)
-        if rest.isEmpty():
+        left_over = rest.agg(F.expr("count(*) as n"), F.expr("sum(1D / n) as cells")).first()
+        if not left_over["n"]:
             break
-        open_cells = rest.selectExpr(
-            "explode(array(struct(0L as a, 0L as b), struct(0L as a, 1L as b), struct(1L as a, 0L as b), struct(1L as a, 1L as b))) as q", "*"
-        ).selectExpr("cx * 2 + q.a as cx", "cy * 2 + q.b as cy", "idx", "x", "y")
+        # Levels at which hardly any cell would be done are passed over, while that makes few rows.
+        cuts = 1
+        while (
+            level + cuts < bits
+            and left_over["n"] / left_over["cells"] >= leaf * 4 ** (cuts + 1)
+            and left_over["n"] * 4 ** (cuts + 1) <= _CUT_ROWS
+        ):
+            cuts += 1
+        within = f"explode(sequence(0L, {2**cuts - 1}L))"
+        open_cells = (
+            rest.selectExpr(f"{within} as a", "*").selectExpr(f"{within} as b", "*")
+            .selectExpr(f"cx * {2**cuts} + a as cx", f"cy * {2**cuts} + b as cy", "idx", "x", "y")
+        )
+        # An explicit number: AQE would leave a level's few bytes, and all the next ones, to one task.
+        tasks = min(most_tasks, left_over["n"] * 4**cuts // _TASK_ROWS)
+        if tasks > 1:
+            open_cells = open_cells.repartition(tasks, "cx", "cy")
+        level += cuts
     return reduce(DataFrame.unionByName, done)
 
 

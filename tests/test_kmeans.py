@@ -256,3 +256,32 @@ def test_a_round_searches_once_for_each_point(spark, monkeypatch):
     assert sorted(map(tuple, kmeans(points, seeds, max_iter=1, literal_centres=0).collect())) == [(0, 0, 0, "CHANGED"), (1, 9, 9, "CHANGED")]
     # The join with the old centres reads sums, not the search.
     assert labels.index("sums") < labels.index("centres")
+
+
+def test_cells_with_many_candidates_are_cut_several_times_at_once(spark, monkeypatch):
+    written = []
+
+    def counted(df, label, **options):
+        written.append(label)
+        return stored(df, label, **options)
+
+    stored = clustering.stored
+    monkeypatch.setattr(clustering, "stored", counted)
+    rng = random.Random(12)
+    seeds = [(i, rng.randrange(4096), rng.randrange(4096)) for i in range(2500)]
+    points = [(rng.randrange(4096), rng.randrange(4096)) for _ in range(300)]
+    told = assign_centres(spark.createDataFrame(points, schemas.POINTS), spark.createDataFrame(seeds, schemas.SEEDS), literal_centres=0).collect()
+    # Cut by cut it would be eight.
+    assert written.count("open-cells") <= 6
+    assert sorted((row.x, row.y, row.idx, row.dist2) for row in told) == sorted(
+        (x, y, i, d) for x, y in points for d, i in [min(((x - a) ** 2 + (y - b) ** 2, i) for i, a, b in seeds)]
+    )
+
+
+def test_levels_of_cells_are_shared_by_tasks(spark):
+    rng = random.Random(13)
+    seeds = [(i, rng.randrange(65536), rng.randrange(65536)) for i in range(20_000)]
+    with artefacts(spark):
+        cells = clustering.candidate_cells(spark.createDataFrame(seeds, schemas.SEEDS).selectExpr("idx", "x", "y"), (0, 0), 16)
+        files = cells.inputFiles()
+    assert len(files) > 3 * 8  # before: one a level
