@@ -270,7 +270,7 @@ def test_cells_with_many_candidates_are_cut_several_times_at_once(spark, monkeyp
     rng = random.Random(12)
     seeds = [(i, rng.randrange(4096), rng.randrange(4096)) for i in range(2500)]
     points = [(rng.randrange(4096), rng.randrange(4096)) for _ in range(300)]
-    told = assign_centres(spark.createDataFrame(points, schemas.POINTS), spark.createDataFrame(seeds, schemas.SEEDS), literal_centres=0).collect()
+    told = assign_centres(spark.createDataFrame(points, schemas.POINTS), spark.createDataFrame(seeds, schemas.CENTRES), literal_centres=0).collect()
     # Cut by cut it would be eight.
     assert written.count("open-cells") <= 6
     assert sorted((row.x, row.y, row.idx, row.dist2) for row in told) == sorted(
@@ -282,6 +282,6 @@ def test_levels_of_cells_are_shared_by_tasks(spark):
     rng = random.Random(13)
     seeds = [(i, rng.randrange(65536), rng.randrange(65536)) for i in range(20_000)]
     with artefacts(spark):
-        cells = clustering.candidate_cells(spark.createDataFrame(seeds, schemas.SEEDS).selectExpr("idx", "x", "y"), (0, 0), 16)
+        cells = clustering.candidate_cells(spark.createDataFrame(seeds, schemas.CENTRES).selectExpr("idx", "x", "y"), (0, 0), 16)
         files = cells.inputFiles()
     assert len(files) > 3 * 8  # before: one a level
