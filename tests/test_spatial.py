@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import Row
 
 from gridledger import schemas
 from gridledger.operators import distance_outliers, spatial, spatial_join
@@ -146,3 +147,51 @@ def test_large_rectangles_are_joined_by_half_cells(spark, limit):
     rects = [(f"r{i}", rng.randint(-1000, 800), rng.randint(-1000, 800), *rng.choice([(100, 100), (900, 3), (7, 900), (2, 9)])) for i in range(120)]
     got = spatial_join(frame(spark, points, schemas.POINTS), frame(spark, rects, schemas.RECTANGLES), broadcast_bytes=limit)
     assert bag(got) == brute_join(points, rects)
+
+
+def aggregates(df):
+    return df._jdf.queryExecution().sparkPlan().toString().count("Aggregate")
+
+
+def test_copies_are_collapsed_before_a_shuffle_only_where_it_pays(spark, monkeypatch):
+    rng = random.Random(5)
+    rects = [(f"r{i}", rng.randint(0, 300), rng.randint(0, 300), rng.randint(0, 9), rng.randint(0, 30)) for i in range(200)]
+    apart = [(i * 37 % 401, i * 53 % 397) for i in range(900)]
+    again = apart[:150] * 5 + [(None, 1)]
+    monkeypatch.setattr(spatial, "_COUNTED", 1)
+    for points, crowd, collapsed in [(apart, 1 << 18, False), (again, 1 << 18, True), (apart, 10, True)]:
+        got = spatial_join(
+            frame(spark, points, schemas.POINTS), frame(spark, rects, schemas.RECTANGLES), broadcast_bytes=0, crowd=crowd
+        )
+        # Distinct points took one more shuffle and an aggregate, whatever they were.
+        assert (aggregates(got) > 0) == collapsed
+        assert bag(got) == brute_join([p for p in points if p[0] is not None], rects)
+
+
+def test_a_pile_is_written_out_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "_COPIES", 4)
+    points = [(5, 5)] * 70 + [(6, 5)] * 4 + [(90, 90), (-3, 7)]
+    rects = [("a", 0, 0, 9, 9), ("b", 5, 5, 0, 0), ("c", -5, 0, 200, 200)]
+    got = spatial_join(frame(spark, points, schemas.POINTS), frame(spark, rects, schemas.RECTANGLES), broadcast_bytes=0, crowd=10)
+    assert bag(got) == brute_join(points, rects)
+
+
+def test_cells_shrink_with_the_density_of_points():
+    small = [Row(bw=3, bh=5, n=1000)]
+    assert spatial._refined((8, 32), (2, 2), small, 0.01) == (8, 32)
+    dense = spatial._refined((8, 32), (2, 2), small, 4.0)
+    assert dense[0] < 8 and dense[1] < 32
+    assert spatial._refined((8, 32), (8, 20), small, 4.0) == (8, 32)
+    large = [Row(bw=10, bh=10, n=1000)]
+    # However dense, a rectangle is not copied to more than about 16 cells.
+    assert spatial._refined((1024, 1024), (2, 2), large, 1000.0) == (256, 256)
+
+
+def test_small_cells_of_dense_points_give_the_same_rows(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "_TESTS", 0)
+    rng = random.Random(8)
+    points = [(rng.randint(-60, 60), rng.randint(-60, 60)) for _ in range(800)]
+    rects = [(f"r{i}", rng.randint(-70, 60), rng.randint(-70, 60), *rng.choice([(6, 19), (0, 0), (60, 3), (30, 30)])) for i in range(100)]
+    for crowd in (10, 1 << 18):
+        got = spatial_join(frame(spark, points, schemas.POINTS), frame(spark, rects, schemas.RECTANGLES), broadcast_bytes=0, crowd=crowd)
+        assert bag(got) == brute_join(points, rects)
