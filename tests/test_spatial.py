@@ -159,6 +159,7 @@ def test_copies_are_collapsed_before_a_shuffle_only_where_it_pays(spark, monkeyp
     apart = [(i * 37 % 401, i * 53 % 397) for i in range(900)]
     again = apart[:150] * 5 + [(None, 1)]
     monkeypatch.setattr(spatial, "_COUNTED", 1)
+    monkeypatch.setattr(spatial, "_FEW", 0)
     for points, crowd, collapsed in [(apart, 1 << 18, False), (again, 1 << 18, True), (apart, 10, True)]:
         got = spatial_join(
             frame(spark, points, schemas.POINTS), frame(spark, rects, schemas.RECTANGLES), broadcast_bytes=0, crowd=crowd
@@ -189,6 +190,7 @@ def test_cells_shrink_with_the_density_of_points():
 
 def test_small_cells_of_dense_points_give_the_same_rows(spark, monkeypatch):
     monkeypatch.setattr(spatial, "_TESTS", 0)
+    monkeypatch.setattr(spatial, "_FEW", 0)
     rng = random.Random(8)
     points = [(rng.randint(-60, 60), rng.randint(-60, 60)) for _ in range(800)]
     rects = [(f"r{i}", rng.randint(-70, 60), rng.randint(-70, 60), *rng.choice([(6, 19), (0, 0), (60, 3), (30, 30)])) for i in range(100)]
