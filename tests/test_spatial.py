@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from gridledger import schemas
 from gridledger.operators import distance_outliers, spatial, spatial_join
@@ -197,3 +198,72 @@ def test_small_cells_of_dense_points_give_the_same_rows(spark, monkeypatch):
     for crowd in (10, 1 << 18):
         got = spatial_join(frame(spark, points, schemas.POINTS), frame(spark, rects, schemas.RECTANGLES), broadcast_bytes=0, crowd=crowd)
         assert bag(got) == brute_join(points, rects)
+
+
+def rows_shuffled(plan):
+    """Rows written by the shuffles of an executed plan, reused ones once."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        below = [plan.executedPlan()]
+    elif plan.nodeName().endswith("QueryStage"):
+        below = [plan.plan()]
+    else:
+        children = plan.children()
+        below = [children.apply(i) for i in range(children.size())]
+    metrics = plan.metrics()
+    own = metrics.apply("shuffleRecordsWritten").value() if plan.nodeName() == "Exchange" else 0
+    return own + sum(map(rows_shuffled, below))
+
+
+def mixed_scene(rng, n_points, n_rects, span):
+    points = [(rng.randint(-span, span), rng.randint(-span, span)) for _ in range(n_points)]
+    shapes = [(100, 100), (900, 3), (7, 900), (2, 9), (5, 17), (0, 0), (1, 1)]
+    rects = [(f"r{i}", rng.randint(-span - 50, span), rng.randint(-span - 50, span), *rng.choice(shapes)) for i in range(n_rects)]
+    return points, rects
+
+
+def test_a_large_join_shuffles_points_once_and_hardly_copies_rectangles(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "_FEW", 0)
+    monkeypatch.setattr(spatial, "_SHUFFLED", 0, raising=False)
+    points, rects = mixed_scene(random.Random(21), 30_000, 3_000, 1500)
+    points, rects = spark.createDataFrame(points, schemas.POINTS), spark.createDataFrame(rects, schemas.RECTANGLES)
+    got = spatial_join(points, rects, broadcast_bytes=0)
+    boxes = rects.selectExpr("x as x1", "y as y1", "x + w as x2", "y + h as y2")
+    assert len(got.collect()) == points.join(boxes, F.expr("x between x1 and x2 and y between y1 and y2")).count()
+    # Points went to every level, and a rectangle to up to 16 cells.
+    assert rows_shuffled(got._jdf.queryExecution().executedPlan()) <= 1.3 * 30_000 + 3 * 3_000
+
+
+@pytest.mark.parametrize("collapse", [True, False], ids=["collapsed", "apart"])
+@pytest.mark.parametrize("point", [0, 4000], ids=["levels apart", "levels merged"])
+@pytest.mark.parametrize("leaf", [4, 4096])
+def test_join_by_tiles_equals_brute_force(spark, monkeypatch, collapse, point, leaf):
+    monkeypatch.setattr(spatial, "_SHUFFLED", 0, raising=False)
+    monkeypatch.setattr(spatial, "_POINT", point, raising=False)
+    monkeypatch.setattr(spatial, "_LEAF", leaf, raising=False)
+    monkeypatch.setattr(spatial, "_COPIES", 4)
+    if not collapse:
+        monkeypatch.setattr(spatial, "_FEW", 0)
+        monkeypatch.setattr(spatial, "_REPEATED", 1000)
+    points, rects = mixed_scene(random.Random(leaf + point), 600, 150, 1000)
+    points += [(50, 50)] * 70 + [(-3, 7)] * 4 + [(-2, 7)] * 5 + [(2**31 - 1, -(2**31)), (-(2**31), 2**31 - 1)]
+    rects += [("dot", 50, 50, 0, 0), ("all", -(2**31), -(2**31), 2**31 - 1, 2**31 - 1), ("end", 2**31 - 9, -(2**31), 9, 9), ("twice", 1, 1, 60, 60), ("twice", 1, 1, 60, 60)]
+    gaps = [(None, 1), (1, None)]
+    got = spatial_join(
+        frame(spark, points + gaps, schemas.POINTS),
+        frame(spark, [*rects, ("none", None, 1, 5, 5), (None, 40, 40, 20, 20)], schemas.RECTANGLES),
+        broadcast_bytes=0,
+    )
+    assert bag(got) == brute_join(points, [*rects, (None, 40, 40, 20, 20)])
+
+
+def test_leaves_are_shared_where_points_are_many():
+    many = spatial._Seen(False, 2.0, 2.0, 2e8)
+    levels = [[Row(bw=3, bh=5, n=30_000_000)], [Row(bw=10, bh=5, n=6_000_000)], [Row(bw=3, bh=10, n=6_000_000)]]
+    (classes, leaf, tile), = spatial._leaves(levels, (2, 2), many)
+    assert len(classes) == 3 and leaf[0] * leaf[1] * 2 <= spatial._LEAF
+    assert tile[0] * tile[1] <= spatial._LEAVES * leaf[0] * leaf[1]
+    assert spatial._copies(classes, tile) <= 2.5 * 42_000_000
+    # Where they are few, leaves grow until they hold some, and stay within the bits of a code.
+    rare = spatial._Seen(False, 1e-12, 1e-12, 2e8)
+    for _, leaf, tile in spatial._leaves(levels, (2, 2), rare):
+        assert max(leaf) <= 2**26 and leaf[0] * leaf[1] > 2**20
