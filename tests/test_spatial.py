@@ -267,3 +267,20 @@ def test_leaves_are_shared_where_points_are_many():
     rare = spatial._Seen(False, 1e-12, 1e-12, 2e8)
     for _, leaf, tile in spatial._leaves(levels, (2, 2), rare):
         assert max(leaf) <= 2**26 and leaf[0] * leaf[1] > 2**20
+
+
+def test_levels_too_large_to_broadcast_are_joined_by_tiles(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "_FEW", 0)
+    monkeypatch.setattr(spatial, "_SHUFFLED", 0, raising=False)
+    points, rects = mixed_scene(random.Random(4), 20_000, 700, 1500)
+    # Two more levels, which are few and broadcast, beside those that are not.
+    rects += [(f"b{i}", 40 * i, -30 * i, 30_000, 4) for i in range(40)] + [(f"c{i}", 30 * i, -40 * i, 4, 30_000) for i in range(40)]
+    points, rects = spark.createDataFrame(points, schemas.POINTS), spark.createDataFrame(rects, schemas.RECTANGLES)
+    got = spatial_join(points, rects, broadcast_bytes=50_000)
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1
+    boxes = rects.selectExpr("rectId", "x as x1", "y as y1", "x + w as x2", "y + h as y2")
+    want = points.join(boxes, F.expr("x between x1 and x2 and y between y1 and y2")).select("rectId", "x", "y")
+    assert bag(got) == bag(want)
+    # Points went to each of the levels that were not broadcast, and rectangles to up to 16 cells.
+    assert rows_shuffled(got._jdf.queryExecution().executedPlan()) <= 1.3 * 20_000 + 3 * 700
